@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyspark.llm import spans, tokens
+from tallyspark.llm import lookup, spans, tokens
 from tallyspark.sources.tables import table
 
 
@@ -12,6 +12,22 @@ def _documents(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text", *more)
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    acts = table(spark, d, "activities", F.col("id").alias("activity_id"), "filing_id")
+    years = acts.join(table(spark, d, "filings", F.col("id").alias("filing_id"), "year"), "filing_id").select("activity_id", "year")
+    rules = table(spark, d, "activity_extractions_rules", "activity_id", "legislation", "entities")
+    return lookup.resolve_entries(rules, years, table(spark, d, "legislation_ref"), table(spark, d, "agency_ref"))
+
+
+def p3_unlisted(spark: SparkSession, d: str) -> DataFrame:
+    """Entries that mean no listed row, with how often they occur."""
+    rules = table(spark, d, "activity_extractions_rules", "activity_id", "legislation", "entities")
+    typed = [rules.select("activity_id", F.lit(c).alias("field_name"), F.posexplode(c).alias("p", "entry")) for c in ("legislation", "entities")]
+    rows = typed[0].unionByName(typed[1]).withColumn("pos", F.col("p") + 1)
+    missed = p3_found(spark, d).where("ref_id = 0")
+    return rows.join(missed, ["activity_id", "field_name", "pos"], "left_semi").groupBy("field_name", "entry").agg(F.count(F.lit(1)).alias("n_entries"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(_documents(spark, d), tokens.vocabulary("byte_bpe_50k")).withColumnRenamed("id", "doc_id")
 
@@ -30,4 +46,4 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return spans.text_classes(_documents(spark, d)).select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p10_found, p10_shares, p10_classes)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_unlisted, p8_ids, p10_found, p10_shares, p10_classes)}
