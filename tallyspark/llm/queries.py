@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyspark.llm import lookup, spans, tokens
+from tallyspark.llm import lookup, names, spans, tokens
 from tallyspark.sources.tables import table
 
 
@@ -28,6 +28,18 @@ def p3_unlisted(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(missed, ["activity_id", "field_name", "pos"], "left_semi").groupBy("field_name", "entry").agg(F.count(F.lit(1)).alias("n_entries"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    one = lambda party, t: names.linked_pairs(names.linked_rows(table(spark, d, t, "id", "name", "normalized_name"))).select(F.lit(party).alias("party"), "id_a", "id_b")
+    return one("client", "clients").unionByName(one("registrant", "registrants"))
+
+
+def p5_parties(spark: SparkSession, d: str) -> DataFrame:
+    """One row per client with the smallest id of its party."""
+    linked = names.linked_rows(table(spark, d, "clients", "id", "name", "normalized_name"))
+    party = linked.groupBy("comp").agg(F.min("id").alias("party_id"), F.count(F.lit(1)).alias("n_rows"))
+    return linked.join(party, "comp").select("id", "party_id", "n_rows")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(_documents(spark, d), tokens.vocabulary("byte_bpe_50k")).withColumnRenamed("id", "doc_id")
 
@@ -46,4 +58,4 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return spans.text_classes(_documents(spark, d)).select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unlisted, p8_ids, p10_found, p10_shares, p10_classes)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p10_found, p10_shares, p10_classes)}
