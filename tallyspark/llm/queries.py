@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyspark.llm import lookup, names, spans, tokens
+from tallyspark.llm import lookup, names, spans, subjects, tokens
 from tallyspark.sources.tables import table
 
 
@@ -12,6 +12,17 @@ def _documents(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return table(spark, d, "documents", "doc_id", "text", *more)
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.subjects(
+        table(spark, d, "activities", "id", "description", "issue_code"), _documents(spark, d), table(spark, d, "subject_areas", "subject", "issue_codes"), table(spark, d, "subject_labels", "doc_id", "subject")
+    )
+
+
+def p1_volume(spark: SparkSession, d: str) -> DataFrame:
+    """Records per kind and subject."""
+    return p1_found(spark, d).groupBy("rec_kind", "subject").agg(F.count(F.lit(1)).alias("n_records"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     acts = table(spark, d, "activities", F.col("id").alias("activity_id"), "filing_id")
     years = acts.join(table(spark, d, "filings", F.col("id").alias("filing_id"), "year"), "filing_id").select("activity_id", "year")
@@ -58,4 +69,4 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return spans.text_classes(_documents(spark, d)).select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p10_found, p10_shares, p10_classes)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_volume, p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p10_found, p10_shares, p10_classes)}
