@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyspark.llm import lookup, names, spans, subjects, tokens
+from tallyspark.llm import lookup, mixing, names, spans, subjects, tokens
 from tallyspark.sources.tables import table
 
 
@@ -55,6 +55,25 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(_documents(spark, d), tokens.vocabulary("byte_bpe_50k")).withColumnRenamed("id", "doc_id")
 
 
+#: Slopes of the sources' weight schedules: bill summaries and fact sheets early, filing narratives late.
+SLOPES = {"bill_summary": 0.5, "fact_sheet": 0.5, "filing_narrative": -0.25}
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sized = tokens.count_tokens(_documents(spark, d, "source"), tokens.vocabulary("byte_bpe_50k"), keep=("source",))
+    return mixing.mix(sized, table(spark, d, "mix_targets", "source", "target_share", "max_repeats"), SLOPES)
+
+
+def p9_schedule(spark: SparkSession, d: str) -> DataFrame:
+    """Each use of a document in the mix, in training order."""
+    return _mixed(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Of each source, the share asked and the share reached."""
+    return _mixed(spark, d)[1]
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return spans.sharing_pairs(_documents(spark, d))
 
@@ -69,4 +88,4 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     return spans.text_classes(_documents(spark, d)).select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_volume, p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p10_found, p10_shares, p10_classes)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_volume, p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p9_schedule, p9_shares, p10_found, p10_shares, p10_classes)}
