@@ -38,3 +38,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows of df, written once to the shared checkpoint folder, so that no later loss of an executor recomputes them."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of df over as many partitions as there are cores or shuffle partitions: few bytes whose work per row is heavy, which would else be joined in one task."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
