@@ -67,10 +67,8 @@ def _top(df: DataFrame, key: str) -> DataFrame:
     return per.groupBy(key).agg(F.sum("n").alias("n"), F.max(F.struct("n", "subject")).alias("m"), F.count(F.lit(1)).alias("k")).select(key, "n", F.col("m.subject").alias("subject"), F.col("m.n").alias("top"), "k")
 
 
-def learn_phrases(records: DataFrame) -> list[tuple[str, str]]:
-    """(phrase, subject) of the verified phrases of coded activities."""
-    counts = cut_lineage(phrase_counts(records))
-    n = records.where("description is not null").count()
+def learn_phrases(counts: DataFrame, n: int) -> list[tuple[str, str]]:
+    """(phrase, subject) of the verified phrases of n coded activities, from phrase_counts."""
     words = F.split("phrase", " ")
     cuts = counts.where(F.size(words) > 1).select("phrase", "subject", "n", words.alias("w"), F.explode(F.sequence(F.lit(1), F.least(F.size(words) - 1, F.lit(4)))).alias("k"))
     cuts = cuts.select("subject", "n", F.array_join(F.slice("w", 1, F.col("k")), " ").alias("lead"), F.array_join(F.expr("slice(w, k + 1, size(w))"), " ").alias("rest"))
@@ -208,13 +206,13 @@ def label_activities(activities: DataFrame, areas: DataFrame, phrases: list[tupl
 
 
 def own_phrases(plain: str) -> list[str]:
-    """Words and pairs of words of a text, each once, within sentences."""
+    """Words, pairs of words, and words joined by a short one, of a text, each once, within sentences."""
     out = set()
     for s in plain.split("\x00"):
-        w = s.split()
-        out.update(x for x in w if len(x) > 4 and x.isalpha())
-        out.update(f"{x} {y}" for x, y in zip(w, w[1:]) if x.isalpha() and y.isalpha())
-        out.update(f"{x} {y} {z}" for x, y, z in zip(w, w[1:], w[2:]) if len(y) < 5 and x.isalpha() and y.isalpha() and z.isalpha())
+        w = [x if x.isalpha() else "" for x in s.split()]
+        out.update(x for x in w if len(x) > 3)
+        out.update(f"{x} {y}" for x, y in zip(w, w[1:]) if len(x) > 3 and len(y) > 3)
+        out.update(f"{x} {y} {z}" for x, y, z in zip(w, w[1:], w[2:]) if len(x) > 3 and 0 < len(y) < 4 and len(z) > 3)
     return sorted(out)
 
 
@@ -272,11 +270,10 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS)
     return _minimal({r.phrase: r.subject for r in found.collect()})
 
 
-def common_words(activities: DataFrame) -> list[str]:
+def common_words(counts: DataFrame, n: int) -> list[str]:
     """Words in a share of SUPPORT of the descriptions, which are no typing errors: a list of bounded length."""
-    rows = activities.where("description is not null").select(F.explode(F.array_distinct(F.split(F.lower("description"), r"(?U)[^\p{L}\p{N}]+"))).alias("w"))
-    n = activities.where("description is not null").count()
-    return [r[0] for r in rows.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= max(2 * LEAST, 2 * SUPPORT * n)) & (F.col("w") != "")).select("w").collect()]
+    words = counts.select(F.explode(F.array_distinct(F.split("phrase", " "))).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
+    return [r[0] for r in words.where(F.col("n") >= max(2 * LEAST, 2 * SUPPORT * n)).select("w").collect()]
 
 
 def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labels: DataFrame) -> DataFrame:
@@ -288,8 +285,9 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     """
     activities = activities.where("id is not null")
     documents = documents.where("doc_id is not null")
-    phrases = learn_phrases(coded(activities, areas))
-    common = common_words(activities)
+    counts = cut_lineage(phrase_counts(coded(activities, areas)))
+    n = activities.where("description is not null").count()
+    phrases, common = learn_phrases(counts, n), common_words(counts, n)
     acts = label_activities(activities, areas, phrases, common)
     read = cut_lineage(read_documents(documents, [phrases], common))
     own = learn_own_phrases(read, labels)
