@@ -16,12 +16,15 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tallyspark.session import cut_lineage
+from tallyspark.session import cut_lineage, spread
 
-Q = 3
-#: Typing errors that the prefix filter provides for: each destroys at most Q + 1 grams.
-ERRORS = 2
+Q = 4
+#: Typing errors between two spellings that the prefix filter is sure to pass: each destroys at most Q + 1 grams, so of the
+#: rarest ERRORS * (Q + 1) + 1 two such spellings share one. Spellings further apart are linked through those between them.
+ERRORS = 1
 PREFIX = ERRORS * (Q + 1) + 1
+#: Errors in one word that the verification accepts.
+MOST_EDITS = 2
 LEAST_SIMILARITY = 0.8
 #: A word is frequent if at least this share of the distinct spellings holds it (and 10 at least): so there are at most 1 / share * words per name.
 FREQUENT_SHARE = 0.002
@@ -56,6 +59,7 @@ NICKNAMES = {
 FORMAL = {n: full for full, ns in NICKNAMES.items() for n in ns.split()}
 GIVEN = set(NICKNAMES)
 
+ALONE = re.compile(r"[(\"]\s*([^\W_]+)\s*[)\"]|^\s*([^\W_]+)\s+-\s|\s-\s+([^\W_]+)\s*$")
 BEHALF = re.compile(r"^.*?\b(?:on\s+behalf\s+of|o\.?b\.?o\.?)\s+(.+?)\)?\s*$", re.I | re.S)
 FORMER = re.compile(r"[\s,(\[]*\b(?:f/?k/?a|f\.k\.a\.|formerly(?:\s+known\s+as)?|previously(?:\s+known\s+as)?|n/?k/?a|now\s+known\s+as|d/?b/?a|a/?k/?a|also\s+known\s+as)\b\.?:?\s*", re.I)
 AFFILIATES = re.compile(r"[\s,]*\b(?:and|&)\s+(?:its\s+|their\s+|all\s+)*(?:subsidiar\w+|affiliat\w+)(?:\s+(?:and|&)\s+(?:subsidiar\w+|affiliat\w+))?\s*$", re.I)
@@ -87,12 +91,8 @@ def words_of(reading: str) -> list[str]:
     s = re.sub(r"^co\.?\s+of\b", "county of", s)
     raw = re.findall(r"[^\W_]+|[\"()]|\s-\s", s)
     plain = [w for w in raw if w[0].isalnum()]
-    keep = []
-    for i, w in enumerate(plain):
-        rest = plain[:i] + plain[i + 1 :]
-        lone = re.search(rf"[(\"]\s*{re.escape(w)}\s*[)\"]|^\s*{re.escape(w)}\s+-\s|\s-\s+{re.escape(w)}\s*$", s)
-        if not (lone and len(w) > 1 and _initials(w, rest)):
-            keep.append(w)
+    lone = {w for m in ALONE.findall(s) for w in m if len(w) > 1} if '"' in s or "(" in s or " - " in s else ()
+    keep = [w for i, w in enumerate(plain) if not (w in lone and _initials(w, plain[:i] + plain[i + 1 :]))]
     out = [FORMAL.get(w, w) for w in (SHORT_FORMS.get(w, w) for w in keep) if w not in SMALL_WORDS and w not in LEGAL_FORMS]
     return out or keep
 
@@ -109,8 +109,8 @@ def near(a: str, b: str) -> int:
     """Edits between two words, a swap of neighbours counted as one (optimal string alignment)."""
     if a == b:
         return 0
-    if abs(len(a) - len(b)) > ERRORS:
-        return ERRORS + 1
+    if abs(len(a) - len(b)) > MOST_EDITS or _bag_distance(a, b) > 2 * MOST_EDITS:
+        return MOST_EDITS + 1
     before, last = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         row = [i]
@@ -123,6 +123,14 @@ def near(a: str, b: str) -> int:
     return last[-1]
 
 
+def _bag_distance(a: str, b: str) -> int:
+    """Letters of one word that the other has not, both ways; an edit changes two at most."""
+    out = len(a) + len(b)
+    for c in set(a):
+        out -= 2 * min(a.count(c), b.count(c))
+    return out
+
+
 def _deletions(w: str) -> Iterator[str]:
     yield w
     for i in range(len(w)):
@@ -177,7 +185,7 @@ class Reader:
 
 
 def grams(rare: list[str]) -> set[str]:
-    return {w[i : i + Q] for w in (f"^{r}$" for r in rare) for i in range(max(1, len(w) - Q + 1))}
+    return {w[i : i + Q] for w in (f"^^{r}$$" for r in rare) for i in range(max(1, len(w) - Q + 1))}
 
 
 def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = None, usual: float = 10.0) -> float:
@@ -200,7 +208,7 @@ def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = Non
         n = (weight or {}).get(w, usual)
         total += n
         d = near(w, best)
-        got += n * (1 - d / max(len(w), len(best)) if d <= ERRORS else 0)
+        got += n * (1 - d / max(len(w), len(best)) if d <= MOST_EDITS else 0)
     return got / total
 
 
@@ -244,7 +252,7 @@ def frequent_words(readings_df: DataFrame, share: float = FREQUENT_SHARE) -> lis
         for f in frames:
             yield pd.DataFrame({"word": [w for r in f.reading for w in set(words_of(r)) if len(w) > 1]})
 
-    distinct = readings_df.select("reading").distinct()
+    distinct = spread(readings_df.select("reading").distinct())
     n = distinct.count()
     return [r[0] for r in distinct.mapInPandas(split, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(10, share * n)).select("word").collect()]
 
@@ -263,10 +271,10 @@ def linked_rows(rows: DataFrame, id_col: str = "id", name_cols: tuple[str, ...]
                 out += [(r, signature, rare, f"{signature}|{' '.join(sorted(rare))}") for signature, rare in reader.read_all(r)]
             yield pd.DataFrame(out, columns=["reading", "signature", "rare", "key"])
 
-    keyed = cut_lineage(read.select("reading").distinct().mapInPandas(key, "reading string, signature string, rare array<string>, key string"))
+    keyed = cut_lineage(spread(read.select("reading").distinct()).mapInPandas(key, "reading string, signature string, rare array<string>, key string"))
     row_keys = cut_lineage(read.join(keyed.select("reading", "key"), "reading").select("id", "key").distinct())
     keys = keyed.groupBy("key").agg(F.min("signature").alias("signature"), F.min("rare").alias("rare"))
-    cut = F.expr(f"array_distinct(flatten(transform(rare, w -> transform(sequence(1, greatest(1, length(w) - {Q - 3})), i -> substring(concat('^', w, '$'), i, {Q})))))")
+    cut = F.expr(f"array_distinct(flatten(transform(rare, w -> transform(sequence(1, length(w) + {5 - Q}), i -> substring(concat('^^', w, '$$'), i, {Q})))))")
     exploded = cut_lineage(keys.where(F.size("rare") > 0).select("key", "signature", F.explode(cut).alias("gram")))
     often = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     ranked = exploded.join(often, "gram").groupBy("key", "signature").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram"))), 1, PREFIX).alias("g"))
@@ -282,7 +290,7 @@ def linked_rows(rows: DataFrame, id_col: str = "id", name_cols: tuple[str, ...]
                 ok.append(sa == sb and similarity(ra.split(), rb.split()) >= LEAST_SIMILARITY)
             yield f[ok]
 
-    similar = candidates.mapInPandas(verify, "a string, b string")
+    similar = spread(candidates).mapInPandas(verify, "a string, b string")
     # the spellings of one row stand for one party
     first = row_keys.groupBy("id").agg(F.min("key").alias("a"))
     same_row = row_keys.join(first, "id").where("key <> a").select("a", F.col("key").alias("b")).distinct()
