@@ -14,6 +14,8 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyspark.session import spread
+
 #: Reference entries up to which the list is broadcast to all workers.
 MOST_BROADCAST = 50_000
 
@@ -107,6 +109,8 @@ def closest(entries: DataFrame, reference: DataFrame, key_col: str = "key", shar
     if shards == 1:
         known = entries.sparkSession.sparkContext.broadcast([r[0] for r in ref.collect()])
 
+        keys = spread(keys)
+
         def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tree = BKTree(known.value)
             for f in frames:
@@ -298,7 +302,7 @@ def resolve_entries(rules: DataFrame, years: DataFrame, bills: DataFrame, agenci
                     out.append((field, entry, 0, [{"congress": c, "ref_id": r} for c, r in sorted(by.items())]))
             yield pd.DataFrame(out, columns=["field_name", "entry", "fixed", "by_congress"])
 
-    distinct = entries.where("entry is not null").select("field_name", "entry").distinct()
+    distinct = spread(entries.where("entry is not null").select("field_name", "entry").distinct())
     found = distinct.mapInPandas(look, "field_name string, entry string, fixed long, by_congress array<struct<congress:int,ref_id:long>>")
     year = years.where("activity_id is not null").groupBy("activity_id").agg(F.max("year").alias("year"))
     joined = entries.join(found, ["field_name", "entry"], "left")
