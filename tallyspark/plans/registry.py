@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import core_problems
+from tallyspark.plans import core_problems, q_measures, q_versions
 
-MODULES = [core_problems]
+MODULES = [core_problems, q_versions, q_measures]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
