@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import core_problems, q_measures, q_versions
+from tallyspark.plans import core_problems, q_measures, q_trends, q_versions
 
-MODULES = [core_problems, q_versions, q_measures]
+MODULES = [core_problems, q_versions, q_measures, q_trends]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
