@@ -33,7 +33,9 @@ PURITY = 0.5
 LEAD_SUPPORT, NEUTRAL = 2e-3, 0.35
 MOST_WORDS = 6
 #: Of texts without a known phrase: share of these texts that must hold a phrase, at least and at most; purity; rounds of propagation.
-OWN_LEAST, OWN_MOST, OWN_PURITY, ROUNDS = 4e-3, 0.2, 0.6, 3
+OWN_LEAST, OWN_MOST, OWN_PURITY, ROUNDS = 4e-3, 0.12, 0.6, 3
+#: A phrase known from a single rated text is believed only in less than this share of these texts: a turn of speech is in more.
+OWN_SINGLE = 0.05
 #: A text of whose words at least this share is common in the activities is in their language, whose phrases are known: it teaches none of its own.
 SAME_LANGUAGE = 0.15
 #: Below this share of sentences with a known phrase a text is read again with the phrases found in such texts.
@@ -259,7 +261,7 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS)
         held = edges.join(current.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("phrase").agg(F.count(F.lit(1)).alias("held"), F.max("df").alias("df"))
         best = per.groupBy("phrase").agg(F.max(F.struct("w", "subject")).alias("m")).join(held, "phrase")
         # one labelled text may err: it is believed only at first and where no second is to be expected
-        least = F.when(F.col("df") * share < 1.5, 1).otherwise(2) if r == 0 else F.lit(2)
+        least = F.when((F.col("df") * share < 1.5) & (F.col("df") <= OWN_SINGLE * n), 1).otherwise(2) if r == 0 else F.lit(2)
         found = cut_lineage(best.where((F.col("m.w") >= OWN_PURITY * F.col("held")) & (F.col("m.w") >= least)).select("phrase", F.col("m.subject").alias("subject")))
         if r + 1 == rounds:
             break
