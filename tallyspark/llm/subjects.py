@@ -40,7 +40,8 @@ OWN_SINGLE = 0.05
 SAME_LANGUAGE = 0.15
 #: Below this share of sentences with a known phrase a text is read again with the phrases found in such texts.
 SPARSE = 0.25
-SENTENCE = re.compile(r"(?<=[.?!…])[\"”’)\]»]*\s+|\s*[\r\n]+\s*")
+SENTENCE = re.compile(r"[.?!…][\"”’)\]»]*\s+|[\r\n]+")
+PIECE = re.compile(r"[;,/\r\n]|\sand\s", re.I)
 WORD = re.compile(r"[^\W_]+|\x00")
 
 
@@ -71,11 +72,11 @@ def _top(df: DataFrame, key: str) -> DataFrame:
 
 def learn_phrases(counts: DataFrame, n: int) -> list[tuple[str, str]]:
     """(phrase, subject) of the verified phrases of n coded activities, from phrase_counts."""
-    words = F.split("phrase", " ")
-    cuts = counts.where(F.size(words) > 1).select("phrase", "subject", "n", words.alias("w"), F.explode(F.sequence(F.lit(1), F.least(F.size(words) - 1, F.lit(4)))).alias("k"))
-    cuts = cuts.select("subject", "n", F.array_join(F.slice("w", 1, F.col("k")), " ").alias("lead"), F.array_join(F.expr("slice(w, k + 1, size(w))"), " ").alias("rest"))
+    blanks = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+    cuts = counts.where(blanks > 0).select("phrase", "subject", "n", F.explode(F.sequence(F.lit(1), F.least(blanks, F.lit(4)))).alias("k"))
+    cuts = cuts.select("subject", "n", "phrase", F.expr("substring_index(phrase, ' ', k)").alias("lead"))
     leads = [r[0] for r in _top(cuts, "lead").where((F.col("n") >= max(LEAST, LEAD_SUPPORT * n)) & (F.col("top") <= NEUTRAL * F.col("n"))).select("lead").collect()]
-    bare = cuts.where(F.col("lead").isin(leads)).select(F.col("rest").alias("phrase"), "subject", "n") if leads else counts.limit(0)
+    bare = cuts.where(F.col("lead").isin(leads)).select(F.expr("substring(phrase, length(lead) + 2)").alias("phrase"), "subject", "n") if leads else counts.limit(0)
     every = counts.unionByName(bare).where(F.size(F.split("phrase", " ")) <= MOST_WORDS)
     good = _top(every, "phrase").where((F.col("n") >= max(LEAST, SUPPORT * n)) & (F.col("top") >= PURITY * F.col("n")))
     good = good.where(~F.col("phrase").isin(leads) & ~F.col("phrase").rlike(r"\bact$") & (F.length("phrase") > 3))
@@ -142,28 +143,32 @@ def _one_error(a: str, b: str) -> bool:
     return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[:2][::-1] and x[2:] == y[2:])
 
 
-def plain_words(text: str) -> str:
-    return " " + " ".join(WORD.findall(text.lower())) + " "
+def cut_words(text: str, cut: re.Pattern) -> str:
+    """The words of a text between single blanks, with a zero character where it is cut."""
+    return " " + " ".join(WORD.findall(cut.sub(" \x00 ", text.replace("\x00", " ")).lower())) + " "
 
 
 def sentences(text: str) -> str:
-    """The words of a text between single blanks, with a zero character between sentences."""
-    return " " + " ".join(WORD.findall(SENTENCE.sub(" \x00 ", text.replace("\x00", " ")).lower())) + " "
+    return cut_words(text, SENTENCE)
 
 
 def subjects_of_description(text: str | None, finder: Finder, common: set[str]) -> set[str]:
     """Every subject that a description names; in pieces that name none, typing errors are mended (common words are none)."""
     if not text:
         return set()
-    found = set()
-    for piece in re.split(r"[;,/\r\n]|\sand\s", text):
-        plain = plain_words(piece)
-        here = {h[2] for h in finder.hits(plain)}
-        if not here and len(plain) > 6:
-            mended = " ".join(w if w in common else finder.mend(w) for w in plain.split(" "))
-            here = {h[2] for h in finder.hits(mended)} if mended != plain else here
-        found |= here
-    return found or {h[2] for h in finder.hits(plain_words(text))}
+    plain = cut_words(text, PIECE)
+    hits = finder.hits(plain)
+    found = {h[2] for h in hits}
+    ends = [m.start() for m in re.finditer("\x00", plain)]
+    done = {bisect(ends, h[0]) for h in hits}
+    if len(done) <= len(ends):
+        for k, piece in enumerate(plain.split("\x00")):
+            if k not in done:
+                words = piece.split()
+                mended = [w if w in common else finder.mend(w) for w in words]
+                if mended != words:
+                    found |= {h[2] for h in finder.hits(" " + " ".join(mended) + " ")}
+    return found or {h[2] for h in finder.hits(cut_words(text, SENTENCE).replace("\x00 ", ""))}
 
 
 def sentence_counts(text: str | None, finders: list[Finder]) -> tuple[Counter, int]:
@@ -223,7 +228,7 @@ def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]],
     known = documents.sparkSession.sparkContext.broadcast((lexicons, common))
 
     def other_language(text: str, usual: set[str]) -> bool:
-        words = WORD.findall(text.lower())
+        words = sentences(text).split()
         return bool(words) and sum(w in usual for w in words) < SAME_LANGUAGE * len(words)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
