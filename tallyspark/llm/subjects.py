@@ -224,7 +224,11 @@ def own_phrases(plain: str) -> list[str]:
 
 
 def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]], common: list[str] | None = None) -> DataFrame:
-    """Rows (doc_id, counts map<subject, sentences>, n_sentences, own): own phrases of texts without a known one in another language than that of the common words, if these are given."""
+    """Rows (doc_id, counts map<subject, sentences>, n_sentences, own, text).
+
+    With common words given, own has the own phrases of texts without a known one in another language than that of these
+    words, and text the texts in few sentences of which a phrase is known, which are read again; else both are null.
+    """
     known = documents.sparkSession.sparkContext.broadcast((lexicons, common))
 
     def other_language(text: str, usual: set[str]) -> bool:
@@ -235,15 +239,16 @@ def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]],
         finders, usual = [Finder(x) for x in known.value[0]], set(known.value[1] or ())
         for b in batches:
             for part in (b.slice(i, 2000) for i in range(0, b.num_rows, 2000)):
-                counts, n, own = [], [], []
+                counts, n, own, again = [], [], [], []
                 for t in part.column(1).to_pylist():
                     c, k = sentence_counts(t, finders)
                     counts.append(list(c.items()))
                     n.append(k)
+                    again.append(t if usual and k and sum(c.values()) < SPARSE * k else None)
                     own.append(own_phrases(sentences(t)) if usual and k and not c and other_language(t, usual) else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.map_(pa.string(), pa.int32())), pa.array(n, pa.int32()), pa.array(own, pa.list_(pa.string()))], names=["doc_id", "counts", "n_sentences", "own"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.map_(pa.string(), pa.int32())), pa.array(n, pa.int32()), pa.array(own, pa.list_(pa.string())), pa.array(again, pa.string())], names=["doc_id", "counts", "n_sentences", "own", "text"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, counts map<string,int>, n_sentences int, own array<string>")
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, counts map<string,int>, n_sentences int, own array<string>, text string")
 
 
 def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> list[tuple[str, str]]:
@@ -298,9 +303,8 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     acts = label_activities(activities, areas, phrases, common)
     read = cut_lineage(read_documents(documents, [phrases], common))
     own = learn_own_phrases(read, labels)
-    sparse = (F.size("counts") == 0) | (F.aggregate(F.map_values("counts"), F.lit(0), lambda a, x: a + x) < SPARSE * F.col("n_sentences"))
-    again = read_documents(documents.join(read.where(sparse).where("n_sentences > 0").select("doc_id"), "doc_id", "left_semi"), [phrases, own])
-    counts = read.where(~sparse).select("doc_id", "counts").unionByName(again.select("doc_id", "counts"))
+    again = read_documents(read.where("text is not null"), [phrases, own])
+    counts = read.where("text is null").select("doc_id", "counts").unionByName(again.select("doc_id", "counts"))
     own_only = F.map_keys(F.when(F.size("counts") > 1, F.map_filter("counts", lambda s, n: n > 1)).otherwise(F.col("counts")))
     docs = counts.select(F.lit("document").alias("rec_kind"), F.col("doc_id").alias("rec_id"), F.explode(own_only).alias("subject"))
     return acts.select(F.lit("activity").alias("rec_kind"), F.col("id").alias("rec_id"), F.explode(F.array_distinct("subjects")).alias("subject")).unionByName(docs)
