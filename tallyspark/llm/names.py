@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -19,8 +20,8 @@ from pyspark.sql import DataFrame, functions as F
 from tallyspark.session import cut_lineage, spread
 
 Q = 4
-#: Typing errors between two spellings that the prefix filter is sure to pass: each destroys at most Q + 1 grams, so of the
-#: rarest ERRORS * (Q + 1) + 1 two such spellings share one. Spellings further apart are linked through those between them.
+#: Typing errors between two spellings that the prefix filter is sure to pass: one destroys at most Q + 1 grams (a letter Q
+#: and that of all letters, a swap Q + 1), so of the rarest ERRORS * (Q + 1) + 1 two such spellings share one. Spellings further apart are linked through those between them.
 ERRORS = 1
 PREFIX = ERRORS * (Q + 1) + 1
 #: Errors in one word that the verification accepts.
@@ -77,7 +78,10 @@ def readings(name: str | None) -> list[str]:
         s = m[1]
     out = []
     for part in FORMER.split(s):
-        part = AFFILIATES.sub("", part.strip(" ,;()[]")).strip(" ,;")
+        part = part.strip(" ,;[]")
+        if part.count(")") > part.count("("):
+            part = part.rstrip(") ")
+        part = AFFILIATES.sub("", part.lstrip("( ")).strip(" ,;")
         if part:
             out.append(part)
     return out
@@ -185,7 +189,8 @@ class Reader:
 
 
 def grams(rare: list[str]) -> set[str]:
-    return {w[i : i + Q] for w in (f"^^{r}$$" for r in rare) for i in range(max(1, len(w) - Q + 1))}
+    """Q-grams of the words with marked ends, and all letters in order of the alphabet, which neither a swap nor another order or division of the words changes."""
+    return {w[i : i + Q] for w in (f"^^{r}$$" for r in rare) for i in range(len(w) - Q + 1)} | {"=" + "".join(sorted("".join(rare)))}
 
 
 def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = None, usual: float = 10.0) -> float:
@@ -200,7 +205,10 @@ def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = Non
     if joined <= 1:
         return 1 - joined / max(len(x), len(y))
     if len(a) != len(b):
-        return 0.0
+        if abs(len(x) - len(y)) > 1 or max(len(a), len(b)) > 4:
+            return 0.0
+        joined = min(near("".join(p), "".join(q)) for p in permutations(a) for q in permutations(b))
+        return 1 - joined / max(len(x), len(y)) if joined <= 1 else 0.0
     left, total, got = list(b), 0.0, 0.0
     for w in sorted(a, key=lambda w: (w not in b, -len(w), w)):
         best = min(left, key=lambda v: (near(w, v), v))
@@ -274,7 +282,8 @@ def linked_rows(rows: DataFrame, id_col: str = "id", name_cols: tuple[str, ...]
     keyed = cut_lineage(spread(read.select("reading").distinct()).mapInPandas(key, "reading string, signature string, rare array<string>, key string"))
     row_keys = cut_lineage(read.join(keyed.select("reading", "key"), "reading").select("id", "key").distinct())
     keys = keyed.groupBy("key").agg(F.min("signature").alias("signature"), F.min("rare").alias("rare"))
-    cut = F.expr(f"array_distinct(flatten(transform(rare, w -> transform(sequence(1, length(w) + {5 - Q}), i -> substring(concat('^^', w, '$$'), i, {Q})))))")
+    letters = "concat('=', array_join(array_sort(split(array_join(rare, ''), '')), ''))"
+    cut = F.expr(f"array_distinct(array_append(flatten(transform(rare, w -> transform(sequence(1, length(w) + {5 - Q}), i -> substring(concat('^^', w, '$$'), i, {Q})))), {letters}))")
     exploded = cut_lineage(keys.where(F.size("rare") > 0).select("key", "signature", F.explode(cut).alias("gram")))
     often = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     ranked = exploded.join(often, "gram").groupBy("key", "signature").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram"))), 1, PREFIX).alias("g"))
