@@ -123,8 +123,8 @@ def closest(entries: DataFrame, reference: DataFrame, key_col: str = "key", shar
 
     # each shard of the list meets the keys in blocks, so no task holds all of either side
     blocks = 64
-    every = keys.select("key", F.pmod(F.xxhash64("key"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    parts = ref.select("ref_key", F.pmod(F.xxhash64("ref_key"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"))
+    every = keys.select("key", F.pmod(F.xxhash64("key"), F.lit(blocks).cast("long")).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    parts = ref.select("ref_key", F.pmod(F.xxhash64("ref_key"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     found = every.groupBy("shard", "block").cogroup(parts.groupBy("shard", "block")).applyInPandas(shard, schema)
     best = found.groupBy("key").agg(F.min(F.when(F.col("ref_key").isNotNull(), F.struct("distance", "ref_key"))).alias("x"))
     return best.select("key", "x.ref_key", "x.distance")
@@ -273,7 +273,8 @@ def resolve_entries(rules: DataFrame, years: DataFrame, bills: DataFrame, agenci
     """Rows (activity_id, field_name, pos, ref_id), one per entry of legislation and entities; ref_id 0: not listed.
 
     Distinct entries are looked up once and joined back. rules: activity_id, legislation, entities. years: activity_id,
-    year (of the filing; without one, an entry that needs the Congress is not listed). Null arrays give no rows, null,
+    year (of the filing; without one, an entry that needs the Congress is not listed). A short form that several titles of one
+    Congress have is read as that of the smallest ref_id. Null arrays give no rows, null,
     empty and vague entries are not listed. The two lists are fixed tables of checked size.
     """
     sc = rules.sparkSession.sparkContext
@@ -307,6 +308,6 @@ def resolve_entries(rules: DataFrame, years: DataFrame, bills: DataFrame, agenci
     year = years.where("activity_id is not null").groupBy("activity_id").agg(F.max("year").alias("year"))
     joined = entries.join(found, ["field_name", "entry"], "left")
     plain_rows = joined.where("by_congress is null").select("activity_id", "field_name", (F.col("p") + 1).alias("pos"), F.coalesce("fixed", F.lit(0).cast("long")).alias("ref_id"))
-    own = F.expr("filter(by_congress, x -> x.congress = int(floor((year - 1789) / 2)) + 1)[0].ref_id")
+    own = F.expr("get(filter(by_congress, x -> x.congress = int(floor((year - 1789) / 2)) + 1), 0).ref_id")
     dated = joined.where("by_congress is not null").join(year, "activity_id", "left").select("activity_id", "field_name", (F.col("p") + 1).alias("pos"), F.coalesce(own, F.lit(0).cast("long")).alias("ref_id"))
     return plain_rows.unionByName(dated)

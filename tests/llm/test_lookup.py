@@ -12,7 +12,7 @@ AGENCIES = [(1, "Bureau of Reefs, Kelp and Estuaries", "BRKE"), (2, "Board of We
 LAWS = [
     ("H.R. 10", 2019, 1), ("hr10", 2023, 4), ("H.R. 10", 2021, 0), ("H.R. 10 (118th Congress)", 2019, 4), ("House Bill 10, 116th Cong.", 2024, 1), ("S 5 of the 116th Congress", 2023, 2), ("solar farm access act.", 2024, 1), ("Solar Fram Access Act", 2024, 1),
     ("the Wind Park Equity Act", 2020, 2), ("the Wind Park Equity Act", 2024, 3), ("Wind Park Equity Act", 2021, 0), ("Wind Park Equity Act of 2023", 2019, 3), ("Wind Park Equity (116th)", 2024, 2), ("Pub. L. 118–4", 2019, 3), ("P.L. 118-99", 2019, 0),
-    ("HLRA", 2017, 0), ("HLRA Act", 2021, 5), ("HLRA", 2023, 0), ("Solar Farm Access Act (H.R. 10)", 2024, 1), ("H.R. 10 - Harbor Light Relief Act", 2019, 4), ("Implementation of the Hill Lake Reform Act - oversight", 2024, 5), ("Hill  Lake, Reform Act, all provisions", 2024, 5),
+    ("HLRA", 2017, 0), ("HLRA Act", 2021, 5), ("HLRA", 2023, 4), ("Solar Farm Access Act (H.R. 10)", 2024, 1), ("H.R. 10 - Harbor Light Relief Act", 2019, 4), ("Implementation of the Hill Lake Reform Act - oversight", 2024, 5), ("Hill  Lake, Reform Act, all provisions", 2024, 5),
     ("Solar Farm Reform Act", 2019, 0), ("the bill", 2019, 0), ("", 2019, 0), (None, 2019, 0), ("S. 9", None, 0), ("Section 12", 2019, 0), ("“Hill Lake Reform Act”", None, 5),
 ]
 NAMES = {
