@@ -32,10 +32,11 @@ PURITY = 0.5
 #: A lead ("the cost of", "issues related to") is no part of a phrase: in this share of the activities, and no subject has more than NEUTRAL of it.
 LEAD_SUPPORT, NEUTRAL = 2e-3, 0.35
 MOST_WORDS = 6
-#: Of texts without a known phrase: share of these texts that must hold a phrase, at least and at most; purity; rounds of propagation.
-OWN_LEAST, OWN_MOST, OWN_PURITY, ROUNDS = 4e-3, 0.12, 0.6, 3
-#: A phrase known from a single rated text is believed only in less than this share of these texts: a turn of speech is in more.
-OWN_SINGLE = 0.05
+#: Of texts without a known phrase: share of these texts that must hold a phrase; purity; rounds of propagation.
+OWN_LEAST, OWN_PURITY, ROUNDS = 4e-3, 0.6, 3
+#: A phrase of one subject is in no more of these texts than so many times an even share of them (1 / number of subjects); a turn of speech is.
+#: One known from a single rated text is believed up to the smaller figure.
+OWN_MOST, OWN_SINGLE = 1.5, 0.6
 #: A text of whose words at least this share is common in the activities is in their language, whose phrases are known: it teaches none of its own.
 SAME_LANGUAGE = 0.15
 #: Below this share of sentences with a known phrase a text is read again with the phrases found in such texts.
@@ -80,18 +81,19 @@ def learn_phrases(counts: DataFrame, n: int) -> list[tuple[str, str]]:
     every = counts.unionByName(bare).where(F.size(F.split("phrase", " ")) <= MOST_WORDS)
     good = _top(every, "phrase").where((F.col("n") >= max(LEAST, SUPPORT * n)) & (F.col("top") >= PURITY * F.col("n")))
     good = good.where(~F.col("phrase").isin(leads) & ~F.col("phrase").rlike(r"\bact$") & (F.length("phrase") > 3))
-    return _minimal({r.phrase: r.subject for r in good.select("phrase", "subject").collect()})
+    return _minimal({r.phrase: (r.subject, r.n) for r in good.select("phrase", "subject", "n").collect()})
 
 
-def _minimal(found: dict[str, str]) -> list[tuple[str, str]]:
-    """Without phrases that only extend another one of the same subject."""
-    kept: dict[str, str] = {}
+def _minimal(found: dict[str, tuple[str, int]]) -> list[tuple[str, str]]:
+    """Phrases with their subjects, from phrase: (subject, records). Without those that only extend another one of the same
+    subject, and those that extend one of another subject in less than a quarter of its records, which is chance."""
+    kept: dict[str, tuple[str, int]] = {}
     for p in sorted(found, key=lambda p: (p.count(" "), p)):
         w = p.split()
-        inner = (" ".join(w[i:j]) for i in range(len(w)) for j in range(i + 1, len(w) + 1) if j - i < len(w))
-        if not any(kept.get(x) == found[p] for x in inner):
+        inner = [kept[x] for i in range(len(w)) for j in range(i + 1, len(w) + 1) if j - i < len(w) and (x := " ".join(w[i:j])) in kept]
+        if all(s != found[p][0] and 4 * found[p][1] >= n for s, n in inner):
             kept[p] = found[p]
-    return sorted(kept.items())
+    return sorted((p, s) for p, (s, _) in kept.items())
 
 
 class Finder:
@@ -251,7 +253,7 @@ def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]],
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, counts map<string,int>, n_sentences int, own array<string>, text string")
 
 
-def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> list[tuple[str, str]]:
+def learn_own_phrases(read: DataFrame, labels: DataFrame, n_subjects: int, rounds: int = ROUNDS) -> list[tuple[str, str]]:
     """(phrase, subject) of the texts without a known phrase, by propagation from the rated ones among them.
 
     read: doc_id, own. labels: doc_id, subject. In each round a phrase takes the subject that most of the labelled texts
@@ -260,7 +262,7 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS)
     texts = read.where("own is not null")
     n = texts.count()
     every = texts.select("doc_id", F.explode("own").alias("phrase"))
-    few = every.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") >= max(LEAST, OWN_LEAST * n)) & (F.col("df") <= max(2 * LEAST, OWN_MOST * n)))
+    few = every.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") >= max(LEAST, OWN_LEAST * n)) & (F.col("df") <= max(2 * LEAST, OWN_MOST * n / max(1, n_subjects))))
     edges = cut_lineage(every.join(few, "phrase").select("doc_id", "phrase", "df"))
     rated = labels.where("doc_id is not null and subject is not null").select("doc_id", "subject").distinct()
     seeds = cut_lineage(rated.join(texts.select("doc_id"), "doc_id", "left_semi").withColumn("weight", F.lit(1.0)))
@@ -271,7 +273,7 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS)
         held = edges.join(current.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("phrase").agg(F.count(F.lit(1)).alias("held"), F.max("df").alias("df"))
         best = per.groupBy("phrase").agg(F.max(F.struct("w", "subject")).alias("m")).join(held, "phrase")
         # one labelled text may err: it is believed only at first and where no second is to be expected
-        least = F.when((F.col("df") * share < 1.5) & (F.col("df") <= OWN_SINGLE * n), 1).otherwise(2) if r == 0 else F.lit(2)
+        least = F.when((F.col("df") * share < 1.5) & (F.col("df") <= OWN_SINGLE * n / max(1, n_subjects)), 1).otherwise(2) if r == 0 else F.lit(2)
         found = cut_lineage(best.where((F.col("m.w") >= OWN_PURITY * F.col("held")) & (F.col("m.w") >= least)).select("phrase", F.col("m.subject").alias("subject")))
         if r + 1 == rounds:
             break
@@ -279,7 +281,7 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, rounds: int = ROUNDS)
         total = score.groupBy("doc_id").agg(F.max("n").alias("most"))
         spread = score.join(total, "doc_id").where("n >= 2 and n >= 0.4 * most").select("doc_id", "subject", F.lit(1.0).alias("weight"))
         current = cut_lineage(spread.join(seeds.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(seeds))
-    return _minimal({r.phrase: r.subject for r in found.collect()})
+    return _minimal({r.phrase: (r.subject, 1) for r in found.collect()})
 
 
 def common_words(counts: DataFrame, n: int) -> list[str]:
@@ -302,9 +304,9 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     phrases, common = learn_phrases(counts, n), common_words(counts, n)
     acts = label_activities(activities, areas, phrases, common)
     read = cut_lineage(read_documents(documents, [phrases], common))
-    own = learn_own_phrases(read, labels)
+    own = learn_own_phrases(read, labels, areas.select("subject").distinct().count())
     again = read_documents(read.where("text is not null"), [phrases, own])
     counts = read.where("text is null").select("doc_id", "counts").unionByName(again.select("doc_id", "counts"))
     own_only = F.map_keys(F.when(F.size("counts") > 1, F.map_filter("counts", lambda s, n: n > 1)).otherwise(F.col("counts")))
     docs = counts.select(F.lit("document").alias("rec_kind"), F.col("doc_id").alias("rec_id"), F.explode(own_only).alias("subject"))
-    return acts.select(F.lit("activity").alias("rec_kind"), F.col("id").alias("rec_id"), F.explode(F.array_distinct("subjects")).alias("subject")).unionByName(docs)
+    return acts.select(F.lit("activity").alias("rec_kind"), F.col("id").alias("rec_id"), F.explode("subjects").alias("subject")).unionByName(docs).distinct()
