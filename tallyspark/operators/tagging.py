@@ -263,3 +263,11 @@ def prefix_pairs(keys: DataFrame, most_more: int = 3) -> DataFrame:
 
 def quoted(s: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", s)
+
+
+def group_tags(df: DataFrame, groups: Sequence[tuple[str, Sequence[str]]], text: str = "description", most: int = 5, name: str = "groups") -> DataFrame:
+    """df with the labels of the groups of phrases that a text contains (anywhere, any case), the first few by the alphabet: a plain tagger without scores."""
+    table = F.array(*[F.struct(F.lit(n).alias("n"), F.array(*map(F.lit, ps)).alias("ps")) for n, ps in groups])
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    hits = F.filter(table, lambda g: F.exists(g["ps"], lambda p: low.contains(p)))
+    return df.withColumn(name, F.slice(F.array_sort(F.transform(hits, lambda g: g["n"])), 1, most))

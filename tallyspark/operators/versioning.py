@@ -16,16 +16,29 @@ def first_of_repeats(df: DataFrame, keys: Sequence[Column | str], id_col: str =
     return df.join(keep, id_col, "left_semi")
 
 
+def _last(order: Sequence[str]) -> Column:
+    return F.struct(*[F.col(c) for c in order])
+
+
 def latest(df: DataFrame, keys: Sequence[str] = GROUP, order: Sequence[str] = ("filing_date", "id")) -> DataFrame:
-    """The last row of each group by order; null keys form a group, null dates come before all others."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The last row of each group by order; null keys form a group, null dates come before all others.
+
+    A maximum of structs, combined before the shuffle, so a group of any size costs one row per map task; of rows equal in
+    order the largest in the other columns stays.
+    """
+    rest = [c for c in df.columns if c not in order and c not in keys]
+    ahead = [c for c in order if c not in keys]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*ahead, *rest)).alias("_x"))
+    return best.select(*[F.col(c) if c in keys else F.col(f"_x.{c}").alias(c) for c in df.columns])
 
 
-def mark_current(df: DataFrame, keys: Sequence[str] = GROUP, order: Sequence[str] = ("filing_date", "id"), name: str = "is_current") -> DataFrame:
-    """df with name set true on the last row of each group."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn(name, F.row_number().over(w) == 1)
+def mark_current(df: DataFrame, keys: Sequence[str] = GROUP, order: Sequence[str] = ("filing_date", "id"), name: str = "is_current", id_col: str = "id") -> DataFrame:
+    """df with name set true on the last row of each group, else false; ids are unique.
+
+    The last rows are found by a combined maximum and brought back by id, so no group meets in one task.
+    """
+    last = df.groupBy(*keys).agg(F.max(_last(order)).alias("_x")).select(F.col(f"_x.{id_col}").alias(id_col), F.lit(True).alias("_last"))
+    return df.drop(name).join(last, id_col, "left").select(*[c for c in df.columns if c != name], F.coalesce("_last", F.lit(False)).alias(name))
 
 
 def as_of(df: DataFrame, day: str, keys: Sequence[str] = GROUP, order: Sequence[str] = ("filing_date", "id"), date_col: str = "filing_date") -> DataFrame:
@@ -63,4 +76,11 @@ def stratified(df: DataFrame, strata: Sequence[str], n: int, id_col: str = "id",
     """n rows drawn evenly over the strata, in rounds, in an order given by a hash of id and seed: the same rows in every run."""
     h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(seed)))
     w = Window.partitionBy(*strata).orderBy(h, id_col)
-    return df.withColumn("rank", F.row_number().over(w)).orderBy("rank", *strata).limit(n)
+    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).orderBy("rank", *strata).limit(n)  # no stratum gives more than n
+
+
+def fill_from(df: DataFrame, found: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """df with the null values of some columns filled from a table of lookups (one row per key; of repeated ones the largest values)."""
+    once = found.groupBy(key).agg(*[F.max(c).alias(f"_{c}") for c in columns])
+    have = set(df.columns)
+    return df.join(once, key, "left").select(*[c for c in df.columns if c not in columns], *[(F.coalesce(F.col(c), F.col(f"_{c}")) if c in have else F.col(f"_{c}")).alias(c) for c in columns])

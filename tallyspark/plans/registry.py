@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.plans import core_problems, q_measures, q_text, q_trends, q_versions
+from tallyspark.plans import core_problems, q_measures, q_reports, q_text, q_trends, q_versions
 
-MODULES = [core_problems, q_versions, q_measures, q_trends, q_text]
+MODULES = [core_problems, q_versions, q_measures, q_trends, q_text, q_reports]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
