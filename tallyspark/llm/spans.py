@@ -32,6 +32,8 @@ BASE_INVERSE = pow(BASE, -1, 1 << 64)
 MOST_CELLS = 1 << 26
 BLOCK = 1 << 16
 CHARS_AT_ONCE = 1 << 19
+#: Classes of copies up to this size are listed as all their pairs, larger ones as links to their smallest id.
+LISTED = 10
 
 
 def _powers(b: int, n: int) -> np.ndarray:
@@ -214,14 +216,19 @@ def _common(x: str, y: str) -> int:
 def sharing_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Distinct pairs (doc_a, doc_b) of documents that share a run.
 
-    Different texts: every pair, copies included. Copies of one text: each with the smallest id of its class (text_classes
-    gives the rest), so that a class of n documents costs n - 1 rows.
+    Different texts: every pair, copies included. Copies of one text: every pair of a class of up to LISTED documents; in a
+    larger class each with its smallest id (text_classes gives the rest), so that a class of n documents costs n - 1 rows.
     """
     classes = cut_lineage(text_classes(docs, id_col, text_col))
     pairs = shared_runs(docs, id_col, text_col).select("a", "b").distinct()
     member = lambda s: classes.select(F.col("rep").alias(s), F.col("id").alias(f"doc_{s}"))
     out = pairs.join(member("a"), "a").join(member("b"), "b").select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
-    return out.unionByName(classes.where("id <> rep").select(F.col("rep").alias("doc_a"), F.col("id").alias("doc_b")))
+    sized = classes.where("id <> rep").groupBy("rep").agg(F.count(F.lit(1)).alias("n"))  # copies besides the smallest id
+    copies = classes.where("id <> rep").join(sized, "rep")
+    star = copies.select(F.col("rep").alias("doc_a"), F.col("id").alias("doc_b"))
+    few = copies.where(F.col("n") < LISTED)
+    among = few.select("rep", F.col("id").alias("doc_a")).join(few.select("rep", F.col("id").alias("doc_b")), "rep").where("doc_a < doc_b").select("doc_a", "doc_b")
+    return out.unionByName(star).unionByName(among)
 
 
 def shared_share(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -62,6 +62,14 @@ def test_copies_nulls_and_short(spark):
     assert s.sharing_pairs(empty).count() == 0 and s.shared_share(empty).count() == 0
 
 
+def test_small_classes_are_listed_wholly(spark):
+    r = random.Random(13)
+    one, two = random_text(r, 300), random_text(r, 300)
+    got, _ = found(spark, [(i, one) for i in (3, 1, 2, 9)] + [(10 + i, two) for i in range(s.LISTED + 1)])
+    assert {p for p in got if p[0] < 10} == {(1, 2), (1, 3), (1, 9), (2, 3), (2, 9), (3, 9)}
+    assert {p for p in got if p[0] >= 10} == {(10, 10 + i) for i in range(1, s.LISTED + 1)}
+
+
 def test_same_id_twice(spark):
     r = random.Random(5)
     text = random_text(r, 300)
