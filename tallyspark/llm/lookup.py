@@ -11,6 +11,7 @@ import unicodedata
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -84,6 +85,79 @@ class BKTree:
         return sorted(found)
 
 
+class FlatTree:
+    """A BK-tree as arrays, searched for many keys at once: level by level, all (key, node) pairs of a level in one bit-vector pass."""
+
+    WORD = 64
+
+    def __init__(self, tree: BKTree):
+        self.tree = tree
+        self.sizes = np.array([len(k) for k in tree.keys], dtype=np.int64)
+        letters = sorted({c for k in tree.keys for c in k})
+        self.index = {c: i for i, c in enumerate(letters)}
+        self.chars = np.zeros((len(tree.keys), max(1, self.sizes.max(initial=0))), dtype=np.int64)
+        for i, k in enumerate(tree.keys):
+            self.chars[i, : len(k)] = [self.index[c] for c in k]
+        below = [sorted(b.items()) for b in tree.below]
+        self.count = np.array([len(b) for b in below], dtype=np.int64)
+        self.start = np.cumsum(self.count) - self.count
+        self.edges = np.array([e for b in below for e, _ in b], dtype=np.int64)
+        self.children = np.array([c for b in below for _, c in b], dtype=np.int64)
+
+    def within_many(self, keys: list[str], most: list[int]) -> list[list[tuple[int, str]]]:
+        """For each key what BKTree.within gives."""
+        out: list[list[tuple[int, str]]] = [[] for _ in keys]
+        short = [i for i, k in enumerate(keys) if 0 < len(k) <= self.WORD]
+        for i in set(range(len(keys))) - set(short):
+            out[i] = self.tree.within(keys[i], most[i])
+        if not short or not self.tree.keys:
+            return out
+        masks = np.zeros((len(short), len(self.index) or 1), dtype=np.uint64)
+        for row, i in enumerate(short):
+            for bit, c in enumerate(keys[i]):
+                if (at := self.index.get(c)) is not None:
+                    masks[row, at] |= np.uint64(1 << bit)
+        n = np.array([len(keys[i]) for i in short], dtype=np.int64)
+        limit = np.array([most[i] for i in short], dtype=np.int64)
+        q, node = np.arange(len(short)), np.zeros(len(short), dtype=np.int64)
+        while len(q):
+            d = self._distances(masks, n, q, node)
+            for k in np.flatnonzero(d <= limit[q]):
+                out[short[q[k]]].append((int(d[k]), self.tree.keys[node[k]]))
+            times = self.count[node]
+            first = np.repeat(np.cumsum(times) - times, times)
+            at = np.repeat(self.start[node], times) + np.arange(times.sum()) - first
+            q, d = np.repeat(q, times), np.repeat(d, times)
+            near = np.abs(self.edges[at] - d) <= limit[q]
+            q, node = q[near], self.children[at[near]]
+        return [sorted(x) for x in out]
+
+    def _distances(self, masks: np.ndarray, n: np.ndarray, q: np.ndarray, node: np.ndarray) -> np.ndarray:
+        order = np.argsort(-self.sizes[node], kind="stable")
+        qs, nodes = q[order], node[order]
+        sizes = self.sizes[nodes]
+        high = np.uint64(1) << (n[qs] - 1).astype(np.uint64)
+        up, down, d, one = np.full(len(qs), ~np.uint64(0)), np.zeros(len(qs), dtype=np.uint64), n[qs].copy(), np.uint64(1)
+        for t in range(int(sizes.max(initial=0))):
+            k = int(np.searchsorted(-sizes, -t, side="left"))  # pairs whose node is longer than t come first
+            eq, u, w = masks[qs[:k], self.chars[nodes[:k], t]], up[:k], down[:k]
+            x = eq | w
+            y = ((eq & u) + u) ^ u | eq
+            rise, fall = w | ~(y | u), u & y
+            d[:k] += ((rise & high[:k]) != 0).astype(np.int64) - ((fall & high[:k]) != 0)
+            rise, fall = rise << one | one, fall << one
+            up[:k], down[:k] = fall | ~(x | rise), rise & x
+        out = np.empty(len(q), dtype=np.int64)
+        out[order] = d
+        return out
+
+
+def nearest(tree: FlatTree, keys: Iterable[str]) -> dict[str, tuple[int, str] | None]:
+    """Of each key the nearest entry within its tolerance (of ties the smaller), or None."""
+    todo = sorted(set(keys))
+    return {k: (hits[0] if hits else None) for k, hits in zip(todo, tree.within_many(todo, [tolerance(k) for k in todo]))}
+
+
 def tolerance(key: str) -> int:
     """Edits allowed for a key: none below 5 characters, 1 below 12, else 2 (a swap of two letters is two edits)."""
     return 0 if len(key) < 5 else 1 if len(key) < 12 else 2
@@ -103,7 +177,7 @@ def closest(entries: DataFrame, reference: DataFrame, key_col: str = "key", shar
     schema = "key string, ref_key string, distance int"
 
     def search(tree: BKTree, wanted: Iterable[str]) -> pd.DataFrame:
-        best = [(k, *next(((r, d) for d, r in tree.within(k, tolerance(k))), (None, None))) for k in wanted]
+        best = [(k, *(hit[::-1] if hit else (None, None))) for k, hit in nearest(FlatTree(tree), wanted).items()]
         return pd.DataFrame(best, columns=["key", "ref_key", "distance"]).astype({"distance": "Int32"})
 
     if shards == 1:
@@ -198,7 +272,20 @@ class Bills:
                 self.by_number[row[2]].append(row)
             if m := LAW.search(plain(law or "")):
                 self.by_law[int(m[1]), int(m[2])].append(row)
-        self.tree = BKTree(self.by_title)
+        self.tree, self.near = FlatTree(BKTree(self.by_title)), {}
+
+    def look_up(self, entries: Iterable[str | None]) -> None:
+        """Search the titles of entries that are no listed title, all at once."""
+        keys = {self.parts(plain(e or ""))[2] for e in entries}
+        self.near |= nearest(self.tree, [k for k in keys if k and k not in self.by_title and k not in self.near])
+
+    def parts(self, s: str) -> tuple:
+        """(named Congress, year, title key) of a tidy entry."""
+        rest = BILL.sub(" ", s)
+        congress = CONGRESS.search(rest)
+        rest = CONGRESS.sub(" ", rest)
+        year = YEAR.search(rest)
+        return int(congress[1]) if congress else None, int(year[1]) if year else None, title_key(rest)
 
     @staticmethod
     def number(s: str | None) -> str | None:
@@ -213,16 +300,11 @@ class Bills:
         if m := LAW.search(s):
             return [(r[0], r[1], False) for r in self.by_law[int(m[1]), int(m[2])]] if (int(m[1]), int(m[2])) in self.by_law else []
         bill = self.number(s)
-        rest = BILL.sub(" ", s)
-        congress = CONGRESS.search(rest)
-        rest = CONGRESS.sub(" ", rest)
-        year = YEAR.search(rest)
-        of = int(congress[1]) if congress else congress_of(int(year[1])) if year else None
-        key = title_key(rest)
+        congress, year, key = self.parts(s)
+        of = congress or (congress_of(year) if year else None)
         rows = self.by_title.get(key) or []
-        if not rows and key:
-            if near := self.tree.within(key, tolerance(key)):
-                rows = self.by_title[near[0][1]]
+        if not rows and key and (hit := self.near[key] if key in self.near else nearest(self.tree, [key])[key]):
+            rows = self.by_title[hit[1]]
         if not rows and re.fullmatch(r"[a-z]{3,6}", key.replace(" ", "")) and " " not in key:
             titles = self.by_acronym.get(key, [])
             rows = [r for _, r in titles]
@@ -230,7 +312,7 @@ class Bills:
                 return [(r[0], r[1], True) for r in rows]
         if rows:
             if year and any(r[3] for r in rows):
-                rows = [r for r in rows if r[3] == int(year[1])]
+                rows = [r for r in rows if r[3] == year]
             elif of is not None:
                 rows = [r for r in rows if r[1] == of]
             if bill and len(rows) > 1:
@@ -250,7 +332,11 @@ class Agencies:
                 self.by_name[agency_key(name)] = ref_id
             if acronym:
                 self.by_acronym[acronym.lower()] = ref_id
-        self.tree = BKTree(self.by_name)
+        self.tree, self.near = FlatTree(BKTree(self.by_name)), {}
+
+    def look_up(self, entries: Iterable[str | None]) -> None:
+        """Search the names in entries that are no listed name, all at once."""
+        self.near |= nearest(self.tree, [k for k in {agency_key(plain(e or "")) for e in entries} if k and k not in self.by_name and k not in self.near])
 
     def find(self, entry: str | None) -> int | None:
         s = plain(entry or "")
@@ -262,9 +348,8 @@ class Agencies:
             return None
         if key in self.by_name:
             return self.by_name[key]
-        near = self.tree.within(key, tolerance(key))
-        if near:
-            return self.by_name[near[0][1]]
+        if hit := self.near[key] if key in self.near else nearest(self.tree, [key])[key]:
+            return self.by_name[hit[1]]
         m = re.search(r"\(([a-z.]{2,10})\)\s*$", s)
         return self.by_acronym.get(m[1].replace(".", "")) if m else None
 
@@ -288,6 +373,8 @@ def resolve_entries(rules: DataFrame, years: DataFrame, bills: DataFrame, agenci
     def look(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         b, a = Bills(known.value[0]), Agencies(known.value[1])
         for f in frames:
+            b.look_up(f.entry[f.field_name != "entities"])
+            a.look_up(f.entry[f.field_name == "entities"])
             out = []
             for field, entry in zip(f.field_name, f.entry):
                 if field == "entities":

@@ -41,7 +41,10 @@ def test_distance_and_tree():
     for q in words[:30] + ["abc", "zzz"]:
         for most in (0, 1, 2, 4):
             assert tree.within(q, most) == sorted((slow_distance(q, w), w) for w in set(words) if slow_distance(q, w) <= most)
-    assert k.BKTree([]).within("a", 3) == []
+    assert k.BKTree([]).within("a", 3) == [] and k.FlatTree(k.BKTree([])).within_many(["a", ""], [3, 3]) == [[], []]
+    asked = words[:60] + ["abc", "zzz", "", "x" * 64, "abcd " * 20]
+    most = [r.randrange(0, 5) for _ in asked]
+    assert k.FlatTree(tree).within_many(asked, most) == [tree.within(q, m) for q, m in zip(asked, most)]
 
 
 def test_shards_give_what_one_tree_gives(spark):
