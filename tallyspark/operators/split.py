@@ -7,7 +7,7 @@ are put back by array lookup, and the parts are exploded with their positions. A
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,6 +18,8 @@ SINGLE = r"(?<![^\s,;|/\[\](){}\-])'(?:''|\\.|[^'\\])*?'(?=\s*(?:[,;|/\])}\r\n\t
 #: A list mark: a number in or before a parenthesis, or a bullet at the start of a line.
 MARK = r"(?:(?:^|(?<=\s))\(?\d{1,3}\)(?=\s)|(?:^|(?<=[\r\n]))[ \t]*[-*\u2022](?=\s))"
 DELIMITER = rf"(?:[,;|/\r\n\t]|{MARK}|(?<=\s)and(?=\s)|(?<=\s)AND(?=\s))"
+#: White space of any kind.
+SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Names longer in number than this are not put into one pattern but several, tried one after the other.
 NAMES_PER_PATTERN = 500
 
@@ -39,24 +41,49 @@ def split_packed(text: Column, names: Sequence[str] = ()) -> Column:
 
     Null and blank give an empty array. names: values known to hold delimiters (a list of proven, small size).
     """
-    masked, layers = text, []
-    for k, pattern in enumerate(span_patterns(names)):
-        spans, between = F.regexp_extract_all(masked, F.lit(pattern), F.lit(0)), F.split(masked, pattern, -1)
-        n = F.size(spans)
-        mark = lambda i: F.concat(F.lit(OPEN), i.cast("string"), F.lit(f".{k}{CLOSE}"))  # noqa: E731, B023
-        masked = F.array_join(F.transform(between, lambda x, i: F.when(i < n, F.concat(x, mark(i))).otherwise(x)), "")  # noqa: B023
-        layers.append(spans)
-    body = F.regexp_replace(masked, r"^(?U)\s*[\[{(](?!\d{1,3}\)\s)(.*)[\]})]\s*$", "$1")
-    parts = F.transform(F.split(body, DELIMITER, -1), _trim)
-    parts = F.filter(parts, lambda x: (x != "") & ~F.lower(x).isin("and"))
-    for k, spans in reversed(list(enumerate(layers))):
-        parts = F.transform(parts, lambda x: _restore(x, spans, k))  # noqa: B023
-    parts = F.filter(F.transform(parts, _trim), lambda x: x != "")
-    return F.coalesce(parts, F.array().cast("array<string>"))
+
+    def masked(rest: list[tuple[int, str]], x: Column, layers: list[Column]) -> Column:
+        """x with the spans of the remaining patterns replaced, split and put back."""
+        if not rest:
+            return let(_body(x), lambda body: parts(body, layers))
+        (k, pattern), later = rest[0], rest[1:]
+        spans = F.regexp_extract_all(x, F.lit(pattern), F.lit(0))
+
+        def replaced(own: Column) -> Column:
+            between = F.transform(F.split(x, pattern, -1), _marker(k, F.size(own)))
+            return let(F.when(F.size(own) == 0, x).otherwise(F.array_join(between, "")), lambda y: masked(later, y, [*layers, own]))
+
+        return let(spans, replaced)
+
+    def parts(body: Column, layers: list[Column]) -> Column:
+        out = F.filter(F.transform(F.split(body, DELIMITER, -1), _trim), lambda p: (p != "") & (F.lower(p) != "and"))
+        for k, own in reversed(list(enumerate(layers))):
+            out = F.transform(out, _restorer(k, own))
+        return F.filter(F.transform(out, _trim), lambda p: p != "")
+
+    return let(_trim(F.coalesce(text, F.lit(""))), lambda x: masked(list(enumerate(span_patterns(names))), x, []))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value worked out once however often use mentions it."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
+def _body(x: Column) -> Column:
+    """x without brackets around the whole."""
+    return F.when(F.substring(x, 1, 1).isin("[", "{", "("), F.regexp_replace(x, r"^[\[{(](?!\d{1,3}\)\s)((?s:.*))[\]})]$", "$1")).otherwise(x)
+
+
+def _marker(k: int, n: Column) -> Callable[[Column, Column], Column]:
+    return lambda x, i: F.when(i < n, F.concat(x, F.lit(OPEN), i.cast("string"), F.lit(f".{k}{CLOSE}"))).otherwise(x)
+
+
+def _restorer(k: int, spans: Column) -> Callable[[Column], Column]:
+    return lambda x: F.when(x.contains(OPEN), _restore(x, spans, k)).otherwise(x)
 
 
 def _trim(x: Column) -> Column:
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return F.btrim(x, F.lit(SPACE))
 
 
 def _restore(x: Column, spans: Column, k: int) -> Column:
