@@ -74,7 +74,7 @@ def topic_drilldown(spark: SparkSession, d: str) -> DataFrame:
     """Everything on one topic, quarter by quarter: mentions, filings, clients, income, share of all mentions."""
     x = fx.mentions(fx.star(spark, d), ("topics",))
     total = x.groupBy("q").agg(F.count(F.lit(1)).alias("all"))
-    return m.count_mentions(x.where("tag = 'hospitals'"), "q").join(total, "q").select("q", "mentions", "filings", "clients", "income", F.round(F.col("mentions") * 100 / F.col("all"), 6).alias("share"))
+    return m.count_mentions(x.where("tag = 'drug_rebates'"), "q").join(total, "q").select("q", "mentions", "filings", "clients", "income", F.round(F.col("mentions") * 100 / F.col("all"), 6).alias("share"))
 
 
 def normalized_series(spark: SparkSession, d: str) -> DataFrame:
@@ -132,7 +132,7 @@ ORACLE = {
     "sampled_audit": f"""with f as (select sopr_filing_id as k, any_value(coalesce(income, 0)::decimal(20,4)) as income, any_value(filing_type) as filing_type from filings group by 1 order by md5(sopr_filing_id) limit 100),
         l as (select {_KEY} as k, max(struct_pack(a := fetched_at, live := coalesce(try_cast(regexp_replace(upper(income), '[\\s$,]|USD', '', 'g') as decimal(20,4)), 0), t := upper(trim(filing_type)))) as l from filings_mirror group by 1)
         select f.k, l.k is null as missing, coalesce(abs(l.l.live - income) > 0.01, false) as income_off, coalesce(l.l.t <> filing_type, false) as type_off from f left join l using (k)""",
-    "topic_drilldown": f"""with {MENTIONS}, tot as (select q, count(*) as n from x where kind = 'topics' group by 1), g as (select q, filing_id, client_id, any_value(income) as income, count(*) as n from x where kind = 'topics' and tag = 'hospitals' group by 1, 2, 3)
+    "topic_drilldown": f"""with {MENTIONS}, tot as (select q, count(*) as n from x where kind = 'topics' group by 1), g as (select q, filing_id, client_id, any_value(income) as income, count(*) as n from x where kind = 'topics' and tag = 'drug_rebates' group by 1, 2, 3)
         select g.q, cast(sum(g.n) as bigint) as mentions, count(*) as filings, count(distinct client_id) as clients, sum(income) as income, round(sum(g.n) * 100::double / any_value(tot.n), 6) as share from g join tot on tot.q = g.q group by 1""",
     "normalized_series": f"""with {STAR}, n as (select s.q, e.coarse_topic, count(*) as n from activity_extractions_rules e join s using (activity_id) group by 1, 2)
         select q, coarse_topic, n, round(n * 100::double / sum(n) over (partition by q), 6) as share, cast(row_number() over (partition by q order by n desc, coarse_topic nulls first) as int) as place from n""",
