@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyspark.functions.text import let
+
 #: Delimit a placeholder's index; where a text holds them itself, they are protected as spans of their own.
 OPEN, CLOSE = "\ue000", "\ue001"
 DOUBLE = r'"(?:""|\\.|[^"\\])*+"'
@@ -64,11 +66,6 @@ def split_packed(text: Column, names: Sequence[str] = ()) -> Column:
     return let(_trim(F.coalesce(text, F.lit(""))), lambda x: masked(list(enumerate(span_patterns(names))), x, []))
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with value worked out once however often use mentions it."""
-    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
-
-
 def _body(x: Column) -> Column:
     """x without brackets around the whole."""
     return F.when(F.substring(x, 1, 1).isin("[", "{", "("), F.regexp_replace(x, r"^[\[{(](?!\d{1,3}\)\s)((?s:.*))[\]})]$", "$1")).otherwise(x)

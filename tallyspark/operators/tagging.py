@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyspark.functions.canon import coarse_topic, fallback_topic
-from tallyspark.functions.text import squeeze
+from tallyspark.functions.text import let, squeeze
 from tallyspark.operators.versioning import pending
 
 # Fixed values.
@@ -52,7 +52,8 @@ ENTITY_PATTERNS = (
     ("national aeronautics and space administration", "NASA"), ("nasa", "NASA"),
 )
 
-RULE_TYPE = "array<struct<id:string,label:string,issue_codes:array<string>,keywords:array<string>,programs:array<string>,acts:array<string>,exclude:array<string>,allow_single_support_relaxed:boolean>>"
+PHRASES = "array<struct<p:string,needle:string,short:boolean>>"
+RULE_TYPE = f"array<struct<id:string,issue_codes:array<string>,keywords:{PHRASES},programs:{PHRASES},acts:{PHRASES},exclude:{PHRASES},allow_single_support_relaxed:boolean>>"
 
 
 def load_rules(source: str | dict) -> list[dict]:
@@ -69,10 +70,20 @@ def load_rules(source: str | dict) -> list[dict]:
     ]
 
 
-def names_phrase(low: Column, padded: Column, phrase: Column) -> Column:
-    """Whether a text names a phrase: anywhere in it; a single word of at most 4 characters only as a word. padded: words between single blanks."""
-    word = F.regexp_replace(phrase, "[^a-z0-9]+", " ")
-    return F.when(phrase.contains(" ") | (F.length(phrase) > 4), low.contains(phrase)).otherwise(padded.contains(F.concat(F.lit(" "), word, F.lit(" "))))
+def needle(phrase: str) -> dict:
+    """What to look for: the phrase anywhere in the text; a single word of at most 4 characters only as a word, in the padded text."""
+    short = " " not in phrase and len(phrase) <= 4
+    return {"p": phrase, "needle": " " + re.sub("[^a-z0-9]+", " ", phrase) + " " if short else phrase, "short": short}
+
+
+def _named(low: Column, padded: Column, phrase: Column) -> Column:
+    """Whether a text (lower case; and its words between single blanks) names a phrase, a struct as needle gives."""
+    return F.when(phrase["short"], padded.contains(phrase["needle"])).otherwise(low.contains(phrase["needle"]))
+
+
+def _table(phrases: Sequence[tuple[str, str]]) -> Column:
+    """A literal array of phrases and their labels."""
+    return F.from_json(F.lit(json.dumps([needle(p) | {"n": n} for p, n in phrases])), "array<struct<p:string,needle:string,short:boolean,n:string>>")
 
 
 def _padded(low: Column) -> Column:
@@ -87,11 +98,11 @@ def topics(df: DataFrame, rules: Sequence[dict], text: str = "description", code
     """
     x = df.withColumn("_low", F.trim(squeeze(F.lower(F.coalesce(F.col(text), F.lit("")))))).withColumn("_pad", _padded(F.col("_low")))
     key = F.coalesce(F.col(code), F.lit(""))
-    literal = F.from_json(F.lit(json.dumps(list(rules))), RULE_TYPE)
-    hits = lambda phrases, most: F.slice(F.filter(phrases, lambda p: names_phrase(F.col("_low"), F.col("_pad"), p)), 1, most)
+    literal = F.from_json(F.lit(json.dumps([r | {k: list(map(needle, r[k])) for k in ("keywords", "programs", "acts", "exclude")} for r in rules])), RULE_TYPE)
+    hits = lambda phrases, most: F.transform(F.slice(F.filter(phrases, lambda p: _named(F.col("_low"), F.col("_pad"), p)), 1, most), lambda p: p["p"])
     found = F.transform(literal, lambda r: F.struct(
         r["id"].alias("id"), hits(r["keywords"], CAPS["keywords"]).alias("k"), hits(r["programs"], CAPS["programs"]).alias("p"), hits(r["acts"], CAPS["acts"]).alias("a"),
-        F.array_contains(r["issue_codes"], key).alias("code"), F.exists(r["exclude"], lambda p: names_phrase(F.col("_low"), F.col("_pad"), p)).alias("out"), r["allow_single_support_relaxed"].alias("single"),
+        F.array_contains(r["issue_codes"], key).alias("code"), F.exists(r["exclude"], lambda p: _named(F.col("_low"), F.col("_pad"), p)).alias("out"), r["allow_single_support_relaxed"].alias("single"),
     ))
     x = x.withColumn("_f", F.filter(found, lambda f: ~f["out"] & (F.size(f["k"]) + F.size(f["p"]) + F.size(f["a"]) > 0)))
     is_phrase = lambda h: h.rlike(r"[-/&()\d]|\s")
@@ -119,19 +130,27 @@ def topics(df: DataFrame, rules: Sequence[dict], text: str = "description", code
 
     x = x.withColumn("_f", F.filter(F.transform("_f", lambda f: f.withField("tier", tier(f))), lambda f: f["tier"].isNotNull()))
     rank = F.transform("_f", lambda f: F.struct((-F.when(f["tier"] == "strict", f["strict"]).otherwise(f["relaxed"])).alias("minus"), f["id"].alias("id"), f.alias("f")))
-    x = x.withColumn("_r", F.slice(F.array_sort(rank), 1, MOST_TOPICS))
     general, none = fallback_topic(F.col(code)), F.array().cast("array<string>")
-    proof = F.transform("_r", lambda r: F.struct(
-        r["f"]["k"].alias("keyword_hits"), r["f"]["ph"].alias("phrase_keyword_hits"), r["f"]["si"].alias("signal_keyword_hits"), r["f"]["su"].alias("support_keyword_hits"), r["f"]["p"].alias("program_hits"),
-        r["f"]["a"].alias("act_hits"), r["f"]["code"].alias("issue_code_match"), r["f"]["tier"].alias("assignment_tier"),
-    ))
+
+    def proof(r: Column) -> Column:
+        return F.struct(
+            r["f"]["k"].alias("keyword_hits"), r["f"]["ph"].alias("phrase_keyword_hits"), r["f"]["si"].alias("signal_keyword_hits"), r["f"]["su"].alias("support_keyword_hits"), r["f"]["p"].alias("program_hits"),
+            r["f"]["a"].alias("act_hits"), r["f"]["code"].alias("issue_code_match"), r["f"]["tier"].alias("assignment_tier"),
+        )
+
     bare = F.struct(*[none.alias(c) for c in ("keyword_hits", "phrase_keyword_hits", "signal_keyword_hits", "support_keyword_hits", "program_hits", "act_hits")], F.lit(True).alias("issue_code_match"), F.lit("fallback").alias("assignment_tier"))
-    ids, some = F.transform("_r", lambda r: r["id"]), F.size("_r") > 0
-    scores = F.map_from_arrays(ids, F.transform("_r", lambda r: F.round(-r["minus"], 3)))
-    out = x.withColumn("topics", F.when(some, ids).when(general.isNotNull(), F.array(general)).otherwise(none))
-    out = out.withColumn("topic_scores", F.when(some, scores).when(general.isNotNull(), F.create_map(general, F.lit(0.2))).otherwise(F.create_map().cast("map<string,double>")))
-    out = out.withColumn("topic_evidence", F.when(some, F.map_from_arrays(ids, proof)).when(general.isNotNull(), F.create_map(general, bare)))
-    return out.drop("_low", "_pad", "_f", "_r")
+
+    def outcome(ranked: Column) -> Column:
+        ids, some = F.transform(ranked, lambda r: r["id"]), F.size(ranked) > 0
+        scores = F.map_from_arrays(ids, F.transform(ranked, lambda r: F.round(-r["minus"], 3)))
+        return F.struct(
+            F.when(some, ids).when(general.isNotNull(), F.array(general)).otherwise(none).alias("topics"),
+            F.when(some, scores).when(general.isNotNull(), F.create_map(general, F.lit(0.2))).otherwise(F.create_map().cast("map<string,double>")).alias("topic_scores"),
+            F.when(some, F.map_from_arrays(ids, F.transform(ranked, proof))).when(general.isNotNull(), F.create_map(general, bare)).alias("topic_evidence"),
+        )
+
+    # inline makes the three columns of one evaluation; as fields of a struct they would each repeat it
+    return x.select(*df.columns, F.inline(F.array(let(F.slice(F.array_sort(rank), 1, MOST_TOPICS), outcome))))
 
 
 def laws(text: Column) -> Column:
@@ -144,11 +163,11 @@ def laws(text: Column) -> Column:
 
 def entities(*sources: Column, patterns: Sequence[tuple[str, str]] = ENTITY_PATTERNS) -> Column:
     """Labels of the offices named in any of the sources, in the order of the patterns, at most MOST_ENTITIES."""
-    low = F.lower(F.concat_ws(" ", *sources))
-    pad = _padded(low)
-    table = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(n).alias("n")) for p, n in patterns])
-    hits = F.filter(table, lambda e: names_phrase(low, pad, e["p"]))
-    return F.slice(F.array_distinct(F.transform(hits, lambda e: e["n"])), 1, MOST_ENTITIES)
+    def found(low: Column, padded: Column) -> Column:
+        return F.transform(F.filter(_table(patterns), lambda e: _named(low, padded, e)), lambda e: e["n"])
+
+    labels = let(F.lower(F.concat_ws(" ", *sources)), lambda low: let(_padded(low), lambda padded: found(low, padded)))
+    return F.slice(F.array_distinct(labels), 1, MOST_ENTITIES)
 
 
 def extract(activities: DataFrame, done: DataFrame, rules: Sequence[dict], version: str, least: int = 0) -> DataFrame:
@@ -162,10 +181,9 @@ def extract(activities: DataFrame, done: DataFrame, rules: Sequence[dict], versi
 
 def dictionary_matches(df: DataFrame, id_col: str, text_col: str, phrases: Sequence[tuple[str, str]]) -> DataFrame:
     """Rows (id, label, phrase) of a dictionary of (phrase, label) found in texts."""
-    table = F.array(*[F.struct(F.lit(p).alias("phrase"), F.lit(n).alias("label")) for p, n in phrases])
-    x = df.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("low")).withColumn("pad", _padded(F.col("low")))
-    hits = F.filter(table, lambda e: names_phrase(F.col("low"), F.col("pad"), e["phrase"]))
-    return x.select("id", F.explode(hits).alias("m")).select("id", "m.label", "m.phrase")
+    x = df.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("low"))
+    hits = let(_padded(F.col("low")), lambda padded: F.filter(_table(phrases), lambda e: _named(F.col("low"), padded, e)))
+    return x.select("id", F.explode(hits).alias("m")).select("id", F.col("m.n").alias("label"), F.col("m.p").alias("phrase"))
 
 
 def mining_terms(text: Column) -> Column:
