@@ -24,8 +24,8 @@ Q = 4
 #: and that of all letters, a swap Q + 1), so of the rarest ERRORS * (Q + 1) + 1 two such spellings share one. Spellings further apart are linked through those between them.
 ERRORS = 1
 PREFIX = ERRORS * (Q + 1) + 1
-#: Errors in one word that the verification accepts.
-MOST_EDITS = 2
+#: Errors that the verification accepts in a name: names that differ in two are as often two names.
+MOST_EDITS = 1
 LEAST_SIMILARITY = 0.8
 #: A word is frequent if at least this share of the distinct spellings holds it (and 10 at least): so there are at most 1 / share * words per name.
 FREQUENT_SHARE = 0.002
@@ -153,10 +153,14 @@ class Reader:
                     self.by_deletion.setdefault(d, set()).add(w)
 
     def mend(self, w: str) -> str:
-        if w in self.frequent or len(w) < 4:
+        if w in GENERIC or len(w) < 4:
             return w
         if w + "s" in self.frequent:
             return w + "s"
+        if len(w) > 4 and len(longer := [g for g in GENERIC if g.startswith(w)]) == 1:
+            return longer[0]
+        if w in self.frequent:
+            return w
         if w[-1] == "y" and w[:-1] + "ies" in self.frequent:
             return w[:-1] + "ies"
         if w[-1] == "s" and w[:-1] in self.frequent:
@@ -209,15 +213,16 @@ def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = Non
             return 0.0
         joined = min(near("".join(p), "".join(q)) for p in permutations(a) for q in permutations(b))
         return 1 - joined / max(len(x), len(y)) if joined <= 1 else 0.0
-    left, total, got = list(b), 0.0, 0.0
+    left, total, got, edits = list(b), 0.0, 0.0, 0
     for w in sorted(a, key=lambda w: (w not in b, -len(w), w)):
         best = min(left, key=lambda v: (near(w, v), v))
         left.remove(best)
         n = (weight or {}).get(w, usual)
         total += n
         d = near(w, best)
+        edits += d
         got += n * (1 - d / max(len(w), len(best)) if d <= MOST_EDITS else 0)
-    return got / total
+    return got / total if edits <= MOST_EDITS else min(got / total, LEAST_SIMILARITY / 2)
 
 
 def components(edges: DataFrame, nodes: DataFrame, most_rounds: int = 60) -> DataFrame:
