@@ -117,8 +117,9 @@ def movers(legs: DataFrame, floor: float = 1e5, new_floor: float = 2.5e5) -> Dat
 def dense_series(counts: DataFrame, key: str, quarters: int = 20, last: int | None = None) -> DataFrame:
     """key, series: counts of the last quarters in order, 0 where there are none. counts: key, q, n."""
     last = last if last is not None else counts.agg(F.max("q")).first()[0]
-    spine = counts.sparkSession.range(last - quarters + 1, last + 1).select(F.col("id").cast("int").alias("q"))
-    dense = counts.select(key).distinct().crossJoin(F.broadcast(spine)).join(counts, [key, "q"], "left")
+    if last is None:
+        return counts.select(key).limit(0).withColumn("series", F.array().cast("array<bigint>"))
+    dense = counts.select(key).distinct().withColumn("q", F.explode(F.sequence(F.lit(last - quarters + 1), F.lit(last)))).join(counts, [key, "q"], "left")
     return dense.groupBy(key).agg(F.expr("transform(array_sort(collect_list(struct(q, coalesce(n, 0) as n))), x -> x.n)").alias("series"))
 
 

@@ -85,8 +85,8 @@ def quarter_distribution(spark: SparkSession, d: str) -> DataFrame:
     """Of the quarterly counts of each label: least, median, 90th percentile (nearest rank) and most, and the sums of the last and the previous four quarters."""
     labels, acts, filings = _codes(spark, d)
     n = labels.join(acts, "activity_id").join(filings.withColumn("q", periods.q_index()), "filing_id").groupBy("label", "q").agg(F.count(F.lit(1)).alias("n"))
-    spine = n.agg(F.min("q").alias("a"), F.max("q").alias("b")).select(F.explode(F.sequence("a", "b")).alias("q"))
-    dense = n.select("label").distinct().crossJoin(F.broadcast(spine)).join(n, ["label", "q"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    ends = n.agg(F.min("q").alias("a"), F.max("q").alias("b")).first()
+    dense = n.select("label").distinct().withColumn("q", F.explode(F.sequence(F.lit(ends.a or 0), F.lit(ends.b or 0)))).join(n, ["label", "q"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
     s = dense.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("q", "n"))).alias("s"))  # one entry per quarter
     values = F.sort_array(F.col("s.n"))
     total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, x: a + x)
