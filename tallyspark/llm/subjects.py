@@ -304,7 +304,8 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     phrases, common = learn_phrases(counts, n), common_words(counts, n)
     acts = label_activities(activities, areas, phrases, common)
     read = cut_lineage(read_documents(documents, [phrases], common))
-    own = learn_own_phrases(read, labels, areas.select("subject").distinct().count())
+    usual = set(common)  # words that the languages have in common say nothing here
+    own = [(p, s) for p, s in learn_own_phrases(read, labels, areas.select("subject").distinct().count()) if not usual.issuperset(p.split())]
     again = read_documents(read.where("text is not null"), [phrases, own])
     counts = read.where("text is null").select("doc_id", "counts").unionByName(again.select("doc_id", "counts"))
     own_only = F.map_keys(F.when(F.size("counts") > 1, F.map_filter("counts", lambda s, n: n > 1)).otherwise(F.col("counts")))
