@@ -215,13 +215,13 @@ def label_activities(activities: DataFrame, areas: DataFrame, phrases: list[tupl
 
 
 def own_phrases(plain: str) -> list[str]:
-    """Words, pairs of words, and words joined by a short one, of a text, each once, within sentences."""
+    """Words, every pair of words, and words joined by a short one, of a text, each once, within sentences."""
     out = set()
     for s in plain.split("\x00"):
         w = [x if x.isalpha() else "" for x in s.split()]
-        out.update(x for x in w if len(x) > 3)
-        out.update(f"{x} {y}" for x, y in zip(w, w[1:]) if len(x) > 3 and len(y) > 3)
-        out.update(f"{x} {y} {z}" for x, y, z in zip(w, w[1:], w[2:]) if len(x) > 3 and 0 < len(y) < 4 and len(z) > 3)
+        out.update(x for x in w if x)
+        out.update(f"{x} {y}" for x, y in zip(w, w[1:]) if x and y)
+        out.update(f"{x} {y} {z}" for x, y, z in zip(w, w[1:], w[2:]) if x and 0 < len(y) < 5 and z)
     return sorted(out)
 
 
@@ -262,7 +262,11 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, n_subjects: int, round
     texts = read.where("own is not null")
     n = texts.count()
     every = texts.select("doc_id", F.explode("own").alias("phrase"))
-    few = every.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") >= max(LEAST, OWN_LEAST * n)) & (F.col("df") <= max(2 * LEAST, OWN_MOST * n / max(1, n_subjects))))
+    most = max(2 * LEAST, OWN_MOST * n / max(1, n_subjects))
+    df = cut_lineage(every.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= max(LEAST, OWN_LEAST * n)))
+    # words in more texts are function words, short ones are listed only for that; phrases of nothing else name no subject
+    function = [r[0] for r in df.where((F.col("df") > most) & ~F.col("phrase").contains(" ")).select("phrase").collect()]
+    few = df.where((F.col("df") <= most) & (F.size(F.array_except(F.split("phrase", " "), F.lit(function).cast("array<string>"))) > 0) & (F.length("phrase") > 3))
     edges = cut_lineage(every.join(few, "phrase").select("doc_id", "phrase", "df"))
     rated = labels.where("doc_id is not null and subject is not null").select("doc_id", "subject").distinct()
     seeds = cut_lineage(rated.join(texts.select("doc_id"), "doc_id", "left_semi").withColumn("weight", F.lit(1.0)))

@@ -85,3 +85,12 @@ def test_given_cases(result):
 def test_empty_tables(spark):
     assert run(spark, [], [], []) == {}
     assert run(spark, [(1, None, "ENE")], [], []) == {("activity", 1): {"energy"}}
+
+
+def test_pairs_with_short_words(spark):
+    assert {"assurance vie", "vie reste", "sur assurance"} <= set(s.own_phrases(s.sentences("Une note sur assurance vie reste.")))
+    docs = [(i, f"Note de la {'assurance vie' if i % 2 else 'assurance grain'} pour {chr(97 + i) * 5}.") for i in range(20)]
+    read = spark.createDataFrame([(i, s.own_phrases(s.sentences(t))) for i, t in docs], "doc_id long, own array<string>")
+    labels = spark.createDataFrame([(i, "finance" if i % 2 else "farms") for i in range(8)], "doc_id long, subject string")
+    own = dict(s.learn_own_phrases(read, labels, 3))
+    assert own["assurance vie"] == "finance" and own["grain"] == "farms" and not {"de la", "note de la", "assurance"} & set(own)
