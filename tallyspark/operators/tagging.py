@@ -11,18 +11,22 @@ import re
 from collections.abc import Iterator, Sequence
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyspark.functions.canon import coarse_topic, fallback_topic
 from tallyspark.functions.text import let, squeeze
 from tallyspark.operators.versioning import pending
+from tallyspark.session import cut_lineage
 
 # Fixed values.
 SIGNAL_WORDS = ("cybersecurity", "privacy", "methane", "tariff", "sanctions", "immigration", "medicare", "medicaid", "telehealth", "blockchain", "cryptocurrency", "semiconductor", "fiduciary", "telemedicine", "ransomware", "usmca")
 STRICT = {"act": 2.8, "program": 2.2, "phrase": 1.6, "signal": 1.1, "support": 0.45, "code": 0.6}
 RELAXED = {"act": 2.4, "program": 1.9, "phrase": 1.3, "signal": 0.9, "support": 0.3, "code": 0.4}
 CAPS = {"keywords": 8, "programs": 5, "acts": 4}
+#: Values of a block of near_variants; two blocks are held at once.
+VARIANT_BLOCK = 500
 MOST_TOPICS, MOST_LAWS, MOST_ENTITIES = 8, 12, 8
 LAW_PATTERNS = (
     r"(?i)\bH\.?\s*R\.?\s*\d+\b", r"(?i)\bS\.?\s*\d+\b", r"(?i)\bP\.?\s*L\.?\s*\d+\-\d+\b", r"(?i)\b\d+\s+U\.?S\.?C\.?\s+§?\s*[0-9A-Za-z\-\.\(\)]+\b", r"(?i)\b\d+\s+C\.?F\.?R\.?\s+§?\s*[0-9A-Za-z\-\.\(\)]+\b",
@@ -246,23 +250,62 @@ def dictionary_loop(docs: DataFrame, seed: Sequence[tuple[str, str]], propose, t
     return phrases, history
 
 
+def _counts(words: Sequence[str], width: int, bins: int) -> np.ndarray:
+    """Of each word how often its runs of some characters fall into each of some bins: shared bins are never fewer than shared runs."""
+    out = np.zeros((len(words), bins), np.uint16)
+    for k, w in enumerate(words):
+        for i in range(len(w) - width + 1):
+            out[k, sum(ord(c) * 31**j for j, c in enumerate(w[i : i + width])) % bins] += 1
+    return out
+
+
+def _common(masks: dict[str, int], n: int, b: str) -> int:
+    """Length of the longest common subsequence of b and a word of n characters, masks having the positions of each."""
+    full = v = (1 << n) - 1
+    for c in b:
+        u = v & masks.get(c, 0)
+        v = ((v + u) | (v - u)) & full
+    return n - v.bit_count()
+
+
+def _close_pairs(left: list[str], right: list[str], ratio: float) -> Iterator[tuple[str, str, float]]:
+    """(a, b, ratio) of the pairs of one word of each side; every filter before the matcher is an upper bound of what it can match."""
+    low = [w.lower() for w in right]
+    size, letters, twos = np.array([len(w) for w in low]), _counts(low, 1, 64), _counts(low, 2, 256)
+    own = [w.lower() for w in left]
+    for x, w, c1, c2 in zip(left, own, _counts(own, 1, 64), _counts(own, 2, 256)):
+        total = size + len(w)
+        need = ratio * total - 1e-9  # twice the matched characters exceed it
+        at = np.flatnonzero(2 * np.minimum(size, len(w)) > need)
+        at = at[2 * np.minimum(letters[at], c1).sum(1) > need[at]]
+        # m matched characters of t in all have at least m - 1 - (t - 2m) neighbours in common
+        at = at[np.minimum(twos[at], c2).sum(1, dtype=np.int64) > 1.5 * need[at] - total[at] - 1]
+        masks: dict[str, int] = {}
+        for i, c in enumerate(w):
+            masks[c] = masks.get(c, 0) | 1 << i
+        for k in at:
+            if low[k] != w and 2 * _common(masks, len(w), low[k]) > need[k]:
+                (a, s), (b, t) = sorted(((x, w), (right[k], low[k])))
+                if ratio < (r := SequenceMatcher(None, s, t).ratio()) < 1:
+                    yield a, b, r
+
+
 def near_variants(values: DataFrame, col: str, least: int = 2, ratio: float = 0.8) -> DataFrame:
-    """Pairs (a, b, ratio) of frequent values that differ but match by more than ratio of their characters (of either order the first smaller).
+    """Pairs (a, b, ratio) of frequent values that differ but match by more than ratio of their characters in any case (of either order the first smaller).
 
-    Only pairs that share a word's first three letters and a similar length are compared.
+    Every two values meet: they are dealt to blocks of bounded size and each two blocks are compared in one group.
     """
-    v = values.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    keys = v.select("v", F.explode(F.array_distinct(F.transform(F.split(F.lower("v"), r"\W+"), lambda w: F.substring(w, 1, 3)))).alias("k")).where(F.length("k") == 3)
-    a, b = keys.select(F.col("v").alias("a"), "k"), keys.select(F.col("v").alias("b"), "k")
-    close = F.least(F.length("a"), F.length("b")) * 2 > F.lit(ratio) * (F.length("a") + F.length("b"))  # no more can match
-    pairs = a.join(b, "k").where((F.col("a") < F.col("b")) & close).select("a", "b").distinct()
-
-    def match(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            r = [SequenceMatcher(None, x, y).ratio() for x, y in zip(f.a, f.b)]
-            yield f.assign(ratio=r)[[ratio < x < 1 for x in r]]
-
-    return pairs.mapInPandas(match, "a string, b string, ratio double")
+    v = cut_lineage(values.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("v"))
+    blocks, spark = 1 + v.count() // VARIANT_BLOCK, values.sparkSession
+    dealt = v.withColumn("h", F.pmod(F.xxhash64("v"), F.lit(blocks))).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = dealt.select("v", F.least("h", "o").alias("i"), F.greatest("h", "o").alias("j"), (F.col("h") <= F.col("o")).alias("first"))
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def match(f: pd.DataFrame) -> pd.DataFrame:
+        left, right = f.v[f["first"]], f.v if f.i.iloc[0] == f.j.iloc[0] else f.v[~f["first"]]
+        return pd.DataFrame(_close_pairs(list(left), list(right), ratio), columns=["a", "b", "ratio"]).drop_duplicates()
+
+    return dealt.repartition(tasks, "i", "j").groupBy("i", "j").applyInPandas(match, "a string, b string, ratio double")
 
 
 def rename_evidence(names: DataFrame, col: str = "name") -> DataFrame:

@@ -1,3 +1,5 @@
+from difflib import SequenceMatcher
+
 from tallyspark.operators import tagging as tg
 from pyspark.sql import functions as F
 import pytest
@@ -48,3 +50,16 @@ def test_pairs(spark):
     assert [tuple(r) for r in tg.prefix_pairs(k).collect()] == [("ACME", "ACME FOODS")]
     n = spark.createDataFrame([("New Co (Formerly Old Co",), ("Plain",), (None,)], "name string")
     assert [(r.present, r.former) for r in tg.rename_evidence(n).collect()] == [("New Co", "Old Co")]
+
+
+def test_near_variants_are_those_of_brute_force(spark, sf, monkeypatch):
+    monkeypatch.setattr(tg, "VARIANT_BLOCK", 40)
+    e = spark.read.parquet(f"{sf}/activity_extractions_rules.parquet").select(F.explode("entities").alias("v"))
+    given = ["BOARD OF MILLS", "Board of Milk", "board of mills", "B.D.F.Y.", "B.I.F.Y.", "Xenate", "Senate", "", "É", "Straße", "STRASSE"]
+    e = e.unionByName(spark.createDataFrame([(x,) for x in given * 2], "v string"))
+    words = sorted(r.v for r in e.where("v is not null").groupBy("v").count().where("count >= 2").collect())
+    brute = {(a, b, r) for i, a in enumerate(words) for b in words[i + 1 :] if 0.8 < (r := SequenceMatcher(None, a.lower(), b.lower()).ratio()) < 1}
+    got = [tuple(r) for r in tg.near_variants(e, "v").collect()]
+    assert len(got) == len(set(got)) and set(got) == brute
+    pairs = {p[:2] for p in got}
+    assert {("BOARD OF MILLS", "Board of Milk"), ("B.D.F.Y.", "B.I.F.Y."), ("Senate", "Xenate")} <= pairs and ("BOARD OF MILLS", "board of mills") not in pairs
