@@ -173,11 +173,10 @@ def subjects_of_description(text: str | None, finder: Finder, common: set[str])
     return found or {h[2] for h in finder.hits(cut_words(text, SENTENCE).replace("\x00 ", ""))}
 
 
-def sentence_counts(text: str | None, finders: list[Finder]) -> tuple[Counter, int]:
+def sentence_counts(text: str | None, finders: list[Finder], common: set[str]) -> tuple[Counter, int]:
     """Of each subject the sentences that deal with it; the number of sentences.
 
-    Where that decides (a subject in one sentence beside others), words of sentences without any are mended, for phrases
-    of several words.
+    In sentences that name none, typing errors are mended (common words are none), for phrases of several words.
     """
     if not text or not text.strip():
         return Counter(), 0
@@ -185,13 +184,16 @@ def sentence_counts(text: str | None, finders: list[Finder]) -> tuple[Counter, i
     ends = [m.start() for m in re.finditer("\x00", plain)]
     seen = {(bisect(ends, h[0]), h[2]) for f in finders for h in f.hits(plain)}
     counts = Counter(s for _, s in seen)
-    if len(counts) > 1 and min(counts.values()) == 1:
-        done = {k for k, _ in seen}
+    done = {k for k, _ in seen}
+    if len(done) <= len(ends):
         for k, sentence in enumerate(plain.split("\x00")):
             if k not in done:
+                words, named = sentence.split(), set()
                 for f in finders:
-                    mended = " " + " ".join(map(f.mend, sentence.split())) + " "
-                    counts.update({h[2] for h in f.hits(mended) if h[3]})
+                    mended = [w if w in common else f.mend(w) for w in words]
+                    if mended != words:
+                        named |= {h[2] for h in f.hits(" " + " ".join(mended) + " ") if h[3]}
+                counts.update(named)
     return counts, len(ends) + 1
 
 
@@ -225,10 +227,10 @@ def own_phrases(plain: str) -> list[str]:
     return sorted(out)
 
 
-def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]], common: list[str] | None = None) -> DataFrame:
+def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]], common: list[str], first: bool = True) -> DataFrame:
     """Rows (doc_id, counts map<subject, sentences>, n_sentences, own, text).
 
-    With common words given, own has the own phrases of texts without a known one in another language than that of these
+    At the first reading own has the own phrases of texts without a known one in another language than that of these
     words, and text the texts in few sentences of which a phrase is known, which are read again; else both are null.
     """
     known = documents.sparkSession.sparkContext.broadcast((lexicons, common))
@@ -238,16 +240,16 @@ def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]],
         return bool(words) and sum(w in usual for w in words) < SAME_LANGUAGE * len(words)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finders, usual = [Finder(x) for x in known.value[0]], set(known.value[1] or ())
+        finders, usual = [Finder(x) for x in known.value[0]], set(known.value[1])
         for b in batches:
             for part in (b.slice(i, 2000) for i in range(0, b.num_rows, 2000)):
                 counts, n, own, again = [], [], [], []
                 for t in part.column(1).to_pylist():
-                    c, k = sentence_counts(t, finders)
+                    c, k = sentence_counts(t, finders, usual)
                     counts.append(list(c.items()))
                     n.append(k)
-                    again.append(t if usual and k and sum(c.values()) < SPARSE * k else None)
-                    own.append(own_phrases(sentences(t)) if usual and k and not c and other_language(t, usual) else None)
+                    again.append(t if first and usual and k and sum(c.values()) < SPARSE * k else None)
+                    own.append(own_phrases(sentences(t)) if first and usual and k and not c and other_language(t, usual) else None)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.map_(pa.string(), pa.int32())), pa.array(n, pa.int32()), pa.array(own, pa.list_(pa.string())), pa.array(again, pa.string())], names=["doc_id", "counts", "n_sentences", "own", "text"])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, counts map<string,int>, n_sentences int, own array<string>, text string")
@@ -310,7 +312,7 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     read = cut_lineage(read_documents(documents, [phrases], common))
     usual = set(common)  # words that the languages have in common say nothing here
     own = [(p, s) for p, s in learn_own_phrases(read, labels, areas.select("subject").distinct().count()) if not usual.issuperset(p.split())]
-    again = read_documents(read.where("text is not null"), [phrases, own])
+    again = read_documents(read.where("text is not null"), [phrases, own], common, first=False)
     counts = read.where("text is null").select("doc_id", "counts").unionByName(again.select("doc_id", "counts"))
     own_only = F.map_keys(F.when(F.size("counts") > 1, F.map_filter("counts", lambda s, n: n > 1)).otherwise(F.col("counts")))
     docs = counts.select(F.lit("document").alias("rec_kind"), F.col("doc_id").alias("rec_id"), F.explode(own_only).alias("subject"))

@@ -94,3 +94,12 @@ def test_pairs_with_short_words(spark):
     labels = spark.createDataFrame([(i, "finance" if i % 2 else "farms") for i in range(8)], "doc_id long, subject string")
     own = dict(s.learn_own_phrases(read, labels, 3))
     assert own["assurance vie"] == "finance" and own["grain"] == "farms" and not {"de la", "note de la", "assurance"} & set(own)
+
+
+def test_errors_are_mended_in_every_document():
+    finders, common = [s.Finder([("crop insurance", "farms"), ("wetland permits", "water"), ("organ transplants", "health")])], {"permit", "cop"}
+    count = lambda t: dict(s.sentence_counts(t, finders, common)[0])
+    assert count("Nobody could explain why crop insuracne cost so much.") == {"farms": 1}
+    assert count("On organ transplants. Organ transplants again. The wetland permts. Also wetlnad permits.") == {"health": 2, "water": 2}
+    assert count("The crop insurance. And crop insurrance.") == {"farms": 2}
+    assert count("A cop insurance. A wetland permit. Nothing.") == {}
