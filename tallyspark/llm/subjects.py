@@ -290,10 +290,10 @@ def learn_own_phrases(read: DataFrame, labels: DataFrame, n_subjects: int, round
     return _minimal({r.phrase: (r.subject, 1) for r in found.collect()})
 
 
-def common_words(counts: DataFrame, n: int) -> list[str]:
-    """Words in a share of SUPPORT of the descriptions, which are no typing errors: a list of bounded length."""
-    words = counts.select(F.explode(F.array_distinct(F.split("phrase", " "))).alias("w"), "n").groupBy("w").agg(F.sum("n").alias("n"))
-    return [r[0] for r in words.where(F.col("n") >= max(2 * LEAST, 2 * SUPPORT * n)).select("w").collect()]
+def common_words(activities: DataFrame, n: int) -> list[str]:
+    """Words in a share of SUPPORT of the n descriptions, which are no typing errors: a list of bounded length."""
+    words = activities.where("description is not null").select(F.explode(F.array_distinct(F.split(F.lower("description"), r"(?U)[^\p{L}\p{N}]+"))).alias("w"))
+    return [r[0] for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= max(2 * LEAST, 2 * SUPPORT * n)) & (F.col("w") != "")).select("w").collect()]
 
 
 def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labels: DataFrame) -> DataFrame:
@@ -307,7 +307,7 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     documents = documents.where("doc_id is not null")
     counts = cut_lineage(phrase_counts(coded(activities, areas)))
     n = activities.where("description is not null").count()
-    phrases, common = learn_phrases(counts, n), common_words(counts, n)
+    phrases, common = learn_phrases(counts, n), common_words(activities, n)
     acts = label_activities(activities, areas, phrases, common)
     read = cut_lineage(read_documents(documents, [phrases], common))
     usual = set(common)  # words that the languages have in common say nothing here

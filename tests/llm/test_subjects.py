@@ -103,3 +103,9 @@ def test_errors_are_mended_in_every_document():
     assert count("On organ transplants. Organ transplants again. The wetland permts. Also wetlnad permits.") == {"health": 2, "water": 2}
     assert count("The crop insurance. And crop insurrance.") == {"farms": 2}
     assert count("A cop insurance. A wetland permit. Nothing.") == {}
+
+
+def test_common_words_of_long_descriptions(spark):
+    long = "the registrant keeps watch over everything that the committees of both houses and their members discuss in these months"
+    rows = spark.createDataFrame([(i, long if i % 2 else "hogs in 2024") for i in range(20)] + [(99, None)], "id long, description string")
+    assert {"registrant", "committees", "hogs", "2024"} <= set(s.common_words(rows, 20))
