@@ -14,7 +14,7 @@ def _documents(spark: SparkSession, d: str, *more: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return subjects.subjects(
-        table(spark, d, "activities", "id", "description", "issue_code"), _documents(spark, d), table(spark, d, "subject_areas", "subject", "issue_codes"), table(spark, d, "subject_labels", "doc_id", "subject")
+        table(spark, d, "activities", "id", "description", "issue_code"), _documents(spark, d, "lang"), table(spark, d, "subject_areas", "subject", "issue_codes"), table(spark, d, "subject_labels", "doc_id", "subject")
     )
 
 

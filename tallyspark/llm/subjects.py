@@ -1,49 +1,67 @@
 """Subject areas of records by label propagation (problem 1).
 
-The graph: records (activities, documents) on one side, phrases on the other; two records are neighbours if they share a
-verified phrase, one that is neither rare nor common and whose labelled records agree. Seeds are the activities' issue
-codes and the raters' labels. Labels go from seeds to phrases, from phrases to records, and, for texts in which no phrase
-is known yet (other languages), on through their own phrases in rounds of joins; rated documents keep their labels
-throughout. A record keeps every subject that reaches it. Passing through phrases, a group of records that share one
-costs one edge each, never all pairs.
-
-Only lists of verified phrases are broadcast. A phrase needs a minimal share of all records, which bounds their number
-whatever the input.
+The graph: records (activities, documents) on one side, verified phrases on the other, an edge for each phrase a record
+holds, with the sentence it stands in. Two records are neighbours if they share a phrase; passing through phrases, a group
+of records that share one costs one edge each, never all pairs. The texts are searched for the phrases only to find the
+edges; every label comes from rounds of joins over them:
+
+1. Seeds are the activities' issue codes and the raters' labels of documents. They are clamped: no round changes them. What
+   the codes say to a phrase is therefore the same in each round and is counted once.
+2. A round carries the labels of the records to the phrases, which take the subject that most of their records have, and
+   the labels of the phrases back to the records, which may take several.
+3. The last joins carry the phrases' labels to all records: a description has each subject named, a document those of two
+   sentences or its only one, and a rated document keeps its ratings as well, if a phrase of it agrees or none is known.
+
+Phrases of the activities' language are verified by the codes; texts in which none of them stands (other languages) have
+phrases of their own, which get their labels from the ratings and from each other over the rounds.
+
+Only lists of verified phrases are broadcast. A phrase needs a share of the records of its subject, which bounds their
+number whatever the input and however the subjects are distributed.
 """
 
 from __future__ import annotations
 
 import re
 from bisect import bisect
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyspark.session import cut_lineage
 
-#: Share of the records (and number) that must hold a phrase; a phrase list has at most (phrases per record) / SUPPORT entries.
-SUPPORT, LEAST = 1.5e-4, 3
+#: Share of the activities of its subject (and number) that must hold a phrase; a subject has at most (phrases per activity) / SUPPORT of them.
+SUPPORT, LEAST = 1e-3, 3
+#: A word is common, so no typing error, in this share of all descriptions.
+COMMON = 3e-4
 #: Share of a phrase's labelled records that must agree on its subject.
 PURITY = 0.5
 #: A lead ("the cost of", "issues related to") is no part of a phrase: in this share of the activities, and no subject has more than NEUTRAL of it.
 LEAD_SUPPORT, NEUTRAL = 2e-3, 0.35
 MOST_WORDS = 6
-#: Of texts without a known phrase: share of these texts that must hold a phrase; purity; rounds of propagation.
+#: What a document says to a phrase that seeds have verified, beside one seed.
+DAMPING = 0.1
+#: Of texts without a known phrase: share of the texts of one language label that must hold a phrase of their own; purity; rounds of propagation.
 OWN_LEAST, OWN_PURITY, ROUNDS = 4e-3, 0.6, 3
-#: A phrase of one subject is in no more of these texts than so many times an even share of them (1 / number of subjects); a turn of speech is.
+#: A phrase of one subject is in no more of these texts than so many times the largest subject's share of the ratings; a turn of speech is.
 #: One known from a single rated text is believed up to the smaller figure.
 OWN_MOST, OWN_SINGLE = 1.5, 0.6
-#: A text of whose words at least this share is common in the activities is in their language, whose phrases are known: it teaches none of its own.
-SAME_LANGUAGE = 0.15
-#: Below this share of sentences with a known phrase a text is read again with the phrases found in such texts.
+#: The labelled texts that hold it are at least so many times what their share of the texts lets expect: labelled texts seldom hold what names no subject.
+DENSE = 0.4
+#: A document takes a subject in a round from so many of its phrases at least, and from so many for each of its strongest subject.
+TAKES, TAKES_SHARE = 2, 0.4
+#: Below this share of sentences with a known phrase a text is searched for the phrases of texts without any.
 SPARSE = 0.25
+#: A text of whose words at least this share is common in the activities is in their language, whose phrases the codes have verified: it has none of its own
+#: (one wrong rating would else reach, over turns of speech, every text of that language without a subject).
+SAME_LANGUAGE = 0.15
 SENTENCE = re.compile(r"[.?!…][\"”’)\]»]*\s+|[\r\n]+")
 PIECE = re.compile(r"[;,/\r\n]|\sand\s", re.I)
 WORD = re.compile(r"[^\W_]+|\x00")
+SPANS = "array<struct<p:int,s:int,b:int,e:int>>"
 
 
 def code_key(c: Column) -> Column:
@@ -71,69 +89,100 @@ def _top(df: DataFrame, key: str) -> DataFrame:
     return per.groupBy(key).agg(F.sum("n").alias("n"), F.max(F.struct("n", "subject")).alias("m"), F.count(F.lit(1)).alias("k")).select(key, "n", F.col("m.subject").alias("subject"), F.col("m.n").alias("top"), "k")
 
 
-def learn_phrases(counts: DataFrame, n: int) -> list[tuple[str, str]]:
-    """(phrase, subject) of the verified phrases of n coded activities, from phrase_counts."""
+def learn_phrases(counts: DataFrame, sizes: dict[str, int]) -> tuple[list[str], list[str]]:
+    """The verified phrases and the leads, from phrase_counts and the number of coded activities of each subject."""
+    n = sum(sizes.values())
     blanks = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
     cuts = counts.where(blanks > 0).select("phrase", "subject", "n", F.explode(F.sequence(F.lit(1), F.least(blanks, F.lit(4)))).alias("k"))
     cuts = cuts.select("subject", "n", "phrase", F.expr("substring_index(phrase, ' ', k)").alias("lead"))
     leads = [r[0] for r in _top(cuts, "lead").where((F.col("n") >= max(LEAST, LEAD_SUPPORT * n)) & (F.col("top") <= NEUTRAL * F.col("n"))).select("lead").collect()]
-    bare = cuts.where(F.col("lead").isin(leads)).select(F.expr("substring(phrase, length(lead) + 2)").alias("phrase"), "subject", "n") if leads else counts.limit(0)
-    every = counts.unionByName(bare).where(F.size(F.split("phrase", " ")) <= MOST_WORDS)
-    good = _top(every, "phrase").where((F.col("n") >= max(LEAST, SUPPORT * n)) & (F.col("top") >= PURITY * F.col("n")))
+    every = without_leads(counts, leads).where(F.size(F.split("phrase", " ")) <= MOST_WORDS)
+    least = F.coalesce(*[F.when(F.col("subject") == s, float(max(LEAST, SUPPORT * k))) for s, k in sizes.items()], F.lit(float(LEAST)))
+    good = _top(every, "phrase").where((F.col("n") >= least) & (F.col("top") >= PURITY * F.col("n")))
     good = good.where(~F.col("phrase").isin(leads) & ~F.col("phrase").rlike(r"\bact$") & (F.length("phrase") > 3))
-    return _minimal({r.phrase: (r.subject, r.n) for r in good.select("phrase", "subject", "n").collect()})
+    return _minimal({r.phrase: (r.subject, r.n) for r in good.select("phrase", "subject", "n").collect()}), leads
+
 
+def without_leads(counts: DataFrame, leads: list[str]) -> DataFrame:
+    """counts, and once more without the lead for phrases that begin with one."""
+    if not leads:
+        return counts
+    ks = F.sequence(F.lit(1), F.lit(max(x.count(" ") for x in leads) + 1))
+    cut = counts.where(F.col("phrase").contains(" ")).select("phrase", "subject", "n", F.explode(ks).alias("k")).withColumn("lead", F.expr("substring_index(phrase, ' ', k)"))
+    bare = cut.where(F.col("lead").isin(leads) & (F.length("lead") < F.length("phrase"))).select(F.expr("substring(phrase, length(lead) + 2)").alias("phrase"), "subject", "n")
+    return counts.unionByName(bare)
 
-def _minimal(found: dict[str, tuple[str, int]]) -> list[tuple[str, str]]:
-    """Phrases with their subjects, from phrase: (subject, records). Without those that only extend another one of the same
-    subject, and those that extend one of another subject in less than a quarter of its records, which is chance."""
+
+def _minimal(found: dict[str, tuple[str, int]]) -> list[str]:
+    """Phrases, from phrase: (subject, records). Without those that only extend another one of the same subject, and those
+    that extend one of another subject in less than a quarter of its records, which is chance."""
     kept: dict[str, tuple[str, int]] = {}
     for p in sorted(found, key=lambda p: (p.count(" "), p)):
         w = p.split()
         inner = [kept[x] for i in range(len(w)) for j in range(i + 1, len(w) + 1) if j - i < len(w) and (x := " ".join(w[i:j])) in kept]
         if all(s != found[p][0] and 4 * found[p][1] >= n for s, n in inner):
             kept[p] = found[p]
-    return sorted((p, s) for p, (s, _) in kept.items())
+    return sorted(kept)
 
 
-class Finder:
-    """Finds phrases in texts: whole words, the longest first; on demand mends a typing error in a word."""
+class _Mended(dict):
+    """Words and what they are with a typing error mended; common words and words of phrases are none."""
 
-    def __init__(self, phrases: list[tuple[str, str]]):
-        self.tree = ahocorasick.Automaton()
-        for p, s in phrases:
-            self.tree.add_word(f" {p} ", (len(p) + 1, s, " " in p))
-        self.tree.make_automaton()
-        self.any = bool(phrases)
-        self.words = {w for p, _ in phrases for w in p.split()}
+    def __init__(self, phrases: Iterable[str], common: Iterable[str]):
+        self.known = {w for p in phrases for w in p.split()} | {"\x00"}
+        self.common = set(common)
         self.by_deletion: dict[str, set[str]] = {}
-        for w in self.words:
+        for w in self.known:
             if len(w) >= 5:
                 for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w)))):
                     self.by_deletion.setdefault(x, set()).add(w)
-        self.mended: dict[str, str] = {}
-
-    def hits(self, plain: str) -> list[tuple[int, int, str, bool]]:
-        """(first, last, subject, of several words) in a string of words between single blanks, with a blank at both ends."""
-        if not self.any:
-            return []
-        found = [(e - n, e, s, several) for e, (n, s, several) in self.tree.iter(plain)]
-        if len(found) > 1:
-            found = [h for h in found if not any(o[0] <= h[0] and h[1] <= o[1] and o[1] - o[0] > h[1] - h[0] for o in found)]
-        return found
-
-    def mend(self, w: str) -> str:
-        if len(w) < 5 or w in self.words:
-            return w
-        if (m := self.mended.get(w)) is None:
+
+    def __missing__(self, w: str) -> str:
+        m = w
+        if len(w) >= 5 and w not in self.known and w not in self.common:
             near = {c for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w)))) for c in self.by_deletion.get(x, ()) if _one_error(w, c)}
             m = min(near) if near else w
-            if len(self.mended) > 300_000:
-                self.mended.clear()
-            self.mended[w] = m
+        if len(self) > 300_000:
+            self.clear()
+        self[w] = m
         return m
 
 
+class Finder:
+    """Finds phrases in texts, as whole words; the number of a phrase is its place in the list, counted from first."""
+
+    def __init__(self, phrases: Sequence[str], common: Iterable[str] = (), first: int = 0):
+        self.tree = ahocorasick.Automaton()
+        for i, p in enumerate(phrases, first):
+            self.tree.add_word(f" {p} ", (len(p) + 1, i, " " in p))
+        self.tree.make_automaton()
+        self.any = bool(phrases)
+        self.mended = _Mended(phrases, common)
+
+    def every(self, plain: str) -> list[tuple[int, int, int, bool]]:
+        """(begin, end, phrase, of several words) in a string of words between single blanks, with a blank at both ends."""
+        return [(e - n, e, i, several) for e, (n, i, several) in self.tree.iter(plain)] if self.any else []
+
+    def longest(self, plain: str) -> list[tuple[int, int, int, bool]]:
+        """Those of every that are not within a longer one."""
+        found = self.every(plain)
+        if len(found) < 2:
+            return found
+        found.sort(key=lambda h: (-h[1], h[0]))
+        kept, low = [], len(plain)
+        for h in found:
+            if h[0] < low:
+                kept.append(h)
+                low = h[0]
+        return kept
+
+
+@lru_cache(maxsize=4)
+def _finder(phrases: tuple[str, ...], common: tuple[str, ...], first: int) -> Finder:
+    """One per worker, not one per task."""
+    return Finder(phrases, common, first)
+
+
 def _one_error(a: str, b: str) -> bool:
     """Whether one letter more, less or other, or a swap of neighbours, makes a of b; a plural of b is no error."""
     if a + "s" == b or b + "s" == a:
@@ -154,66 +203,61 @@ def sentences(text: str) -> str:
     return cut_words(text, SENTENCE)
 
 
-def subjects_of_description(text: str | None, finder: Finder, common: set[str]) -> set[str]:
-    """Every subject that a description names; in pieces that name none, typing errors are mended (common words are none)."""
+def description_phrases(text: str | None, finder: Finder) -> set[int]:
+    """Every phrase that a description names; in pieces that name none, typing errors are mended (common words are none)."""
     if not text:
         return set()
     plain = cut_words(text, PIECE)
-    hits = finder.hits(plain)
+    hits = finder.longest(plain)
     found = {h[2] for h in hits}
-    ends = [m.start() for m in re.finditer("\x00", plain)]
-    done = {bisect(ends, h[0]) for h in hits}
-    if len(done) <= len(ends):
-        for k, piece in enumerate(plain.split("\x00")):
-            if k not in done:
-                words = piece.split()
-                mended = [w if w in common else finder.mend(w) for w in words]
-                if mended != words:
-                    found |= {h[2] for h in finder.hits(" " + " ".join(mended) + " ")}
-    return found or {h[2] for h in finder.hits(cut_words(text, SENTENCE).replace("\x00 ", ""))}
+    words = plain.split()
+    if (mended := [finder.mended[w] for w in words]) != words:
+        ends = [m.start() for m in re.finditer("\x00", plain)]
+        done = {bisect(ends, h[0]) for h in hits}
+        pieces = " ".join(mended).split("\x00")
+        found |= {h[2] for k, piece in enumerate(pieces) if k not in done for h in finder.longest(f" {piece.strip()} ")}
+    return found or {h[2] for h in finder.longest(cut_words(text, SENTENCE).replace("\x00 ", ""))}
 
 
-def sentence_counts(text: str | None, finders: list[Finder], common: set[str]) -> tuple[Counter, int]:
-    """Of each subject the sentences that deal with it; the number of sentences.
+def document_edges(text: str | None, finder: Finder, nested: bool = False) -> tuple[list[tuple[int, int, int, int]], int, str]:
+    """([(phrase, sentence, begin, end)], number of sentences, words) of a document; nested: also phrases within longer ones.
 
-    In sentences that name none, typing errors are mended (common words are none), for phrases of several words.
+    In sentences that hold no phrase (nested: in all), typing errors are mended (common words are none), for phrases of several words.
     """
     if not text or not text.strip():
-        return Counter(), 0
+        return [], 0, ""
     plain = sentences(text)
     ends = [m.start() for m in re.finditer("\x00", plain)]
-    seen = {(bisect(ends, h[0]), h[2]) for f in finders for h in f.hits(plain)}
-    counts = Counter(s for _, s in seen)
-    done = {k for k, _ in seen}
-    if len(done) <= len(ends):
-        for k, sentence in enumerate(plain.split("\x00")):
-            if k not in done:
-                words, named = sentence.split(), set()
-                for f in finders:
-                    mended = [w if w in common else f.mend(w) for w in words]
-                    if mended != words:
-                        named |= {h[2] for h in f.hits(" " + " ".join(mended) + " ") if h[3]}
-                counts.update(named)
-    return counts, len(ends) + 1
-
-
-def dealt_with(counts: dict[str, int]) -> list[str]:
-    """The subjects of a document: its only one, or of several those of two sentences or more."""
-    return sorted(counts) if len(counts) == 1 else sorted(s for s, n in counts.items() if n > 1)
-
-
-def label_activities(activities: DataFrame, areas: DataFrame, phrases: list[tuple[str, str]], common: list[str]) -> DataFrame:
-    """Rows (id, subjects): those the description names, else those that list the issue code."""
-    sc = activities.sparkSession.sparkContext
-    known = sc.broadcast((phrases, common))
+    find = finder.every if nested else finder.longest
+    edges = [(p, bisect(ends, b), b, e) for b, e, p, _ in find(plain)]
+    words = plain.split()
+    if (mended := [finder.mended[w] for w in words]) != words:
+        done = set() if nested else {x[1] for x in edges}
+        starts = [0, *(e + 1 for e in ends)]
+        old = plain.split("\x00")
+        for k, sentence in enumerate(" ".join(mended).split("\x00")):
+            if k not in done and (new := f" {sentence.strip()} ") != old[k]:
+                edges += [(p, k, starts[k] + b, starts[k] + e) for b, e, p, several in find(new) if several]
+    return edges, len(ends) + 1, plain
+
+
+def _spans(rows: list[list[tuple[int, int, int, int]]]) -> pa.Array:
+    flat = np.array([x for r in rows for x in r], dtype=np.int32).reshape(-1, 4)
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(flat[:, i]) for i in range(4)], ["p", "s", "b", "e"]))
+
+
+def activity_edges(activities: DataFrame, areas: DataFrame, phrases: list[str], common: list[str]) -> DataFrame:
+    """Rows (id, seeds, ps): the phrases that the description names."""
+    known = activities.sparkSession.sparkContext.broadcast((tuple(phrases), tuple(common)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder, usual = Finder(known.value[0]), set(known.value[1])
+        finder = _finder(*known.value, 0)
         for b in batches:
-            named = [sorted(subjects_of_description(t, finder, usual)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([n or s or [] for n, s in zip(named, b.column(2).to_pylist())], pa.list_(pa.string()))], names=["id", "subjects"])
+            ps = [sorted(description_phrases(t, finder)) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ps, pa.list_(pa.int32()))], names=["id", "seeds", "ps"])
 
-    return coded(activities, areas).mapInArrow(run, "id long, subjects array<string>")
+    return coded(activities, areas).mapInArrow(run, "id long, seeds array<string>, ps array<int>")
 
 
 def own_phrases(plain: str) -> list[str]:
@@ -227,93 +271,162 @@ def own_phrases(plain: str) -> list[str]:
     return sorted(out)
 
 
-def read_documents(documents: DataFrame, lexicons: list[list[tuple[str, str]]], common: list[str], first: bool = True) -> DataFrame:
-    """Rows (doc_id, counts map<subject, sentences>, n_sentences, own, text).
+def _pieces(b: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    for i in range(0, b.num_rows, rows):
+        yield b.slice(i, rows)
 
-    At the first reading own has the own phrases of texts without a known one in another language than that of these
-    words, and text the texts in few sentences of which a phrase is known, which are read again; else both are null.
-    """
-    known = documents.sparkSession.sparkContext.broadcast((lexicons, common))
 
-    def other_language(text: str, usual: set[str]) -> bool:
-        words = sentences(text).split()
-        return bool(words) and sum(w in usual for w in words) < SAME_LANGUAGE * len(words)
+def _other_language(plain: str, common: set[str]) -> bool:
+    words = plain.split()
+    return bool(common) and sum(w in common for w in words) < SAME_LANGUAGE * len(words)
+
+
+def document_graph(documents: DataFrame, phrases: list[str], common: list[str]) -> DataFrame:
+    """Rows (doc_id, lang, spans, own, text): own has the phrases of texts without a known one, text the texts in few of
+    whose sentences one is known, which are searched again; else both are null."""
+    known = documents.sparkSession.sparkContext.broadcast((tuple(phrases), tuple(common)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finders, usual = [Finder(x) for x in known.value[0]], set(known.value[1])
+        finder = _finder(*known.value, 0)
         for b in batches:
-            for part in (b.slice(i, 2000) for i in range(0, b.num_rows, 2000)):
-                counts, n, own, again = [], [], [], []
+            for part in _pieces(b):
+                spans, own, again = [], [], []
                 for t in part.column(1).to_pylist():
-                    c, k = sentence_counts(t, finders, usual)
-                    counts.append(list(c.items()))
-                    n.append(k)
-                    again.append(t if first and usual and k and sum(c.values()) < SPARSE * k else None)
-                    own.append(own_phrases(sentences(t)) if first and usual and k and not c and other_language(t, usual) else None)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.map_(pa.string(), pa.int32())), pa.array(n, pa.int32()), pa.array(own, pa.list_(pa.string())), pa.array(again, pa.string())], names=["doc_id", "counts", "n_sentences", "own", "text"])
+                    edges, k, plain = document_edges(t, finder)
+                    spans.append(edges)
+                    again.append(t if k and len({x[:2] for x in edges}) < SPARSE * k else None)
+                    own.append(own_phrases(plain) if k and not edges and _other_language(plain, finder.mended.common) else None)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), _spans(spans), pa.array(own, pa.list_(pa.string())), pa.array(again, pa.string())], names=["doc_id", "lang", "spans", "own", "text"])
+
+    lang = F.lower(F.trim("lang")) if "lang" in documents.columns else F.lit(None).cast("string")
+    return documents.select("doc_id", "text", lang.alias("lang")).mapInArrow(run, f"doc_id long, lang string, spans {SPANS}, own array<string>, text string")
+
+
+def own_edges(texts: DataFrame, phrases: list[str], common: list[str], first: int) -> DataFrame:
+    """Rows (doc_id, spans) of these phrases, numbered from first, in texts (doc_id, text)."""
+    known = texts.sparkSession.sparkContext.broadcast((tuple(phrases), tuple(common)))
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, counts map<string,int>, n_sentences int, own array<string>, text string")
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        finder = _finder(*known.value, first)
+        for b in batches:
+            for part in _pieces(b):
+                yield pa.RecordBatch.from_arrays([part.column(0), _spans([document_edges(t, finder, True)[0] for t in part.column(1).to_pylist()])], names=["doc_id", "spans"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, f"doc_id long, spans {SPANS}")
 
 
-def learn_own_phrases(read: DataFrame, labels: DataFrame, n_subjects: int, rounds: int = ROUNDS) -> list[tuple[str, str]]:
-    """(phrase, subject) of the texts without a known phrase, by propagation from the rated ones among them.
+def own_candidates(graph: DataFrame, common: list[str], largest: float) -> list[tuple[str, int]]:
+    """(phrase, number of texts) of texts without a known phrase: in enough texts of some language label, and in no more of all than one subject accounts for.
 
-    read: doc_id, own. labels: doc_id, subject. In each round a phrase takes the subject that most of the labelled texts
-    with it have, and a text the subjects of its phrases; rated texts are clamped to their ratings.
+    largest: the largest share of a subject. Words in more texts are function words; phrases of nothing else, and of words
+    common in the activities, name no subject. The share makes this a list of bounded length.
     """
-    texts = read.where("own is not null")
-    n = texts.count()
-    every = texts.select("doc_id", F.explode("own").alias("phrase"))
-    most = max(2 * LEAST, OWN_MOST * n / max(1, n_subjects))
-    df = cut_lineage(every.groupBy("phrase").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= max(LEAST, OWN_LEAST * n)))
-    # words in more texts are function words, short ones are listed only for that; phrases of nothing else name no subject
-    function = [r[0] for r in df.where((F.col("df") > most) & ~F.col("phrase").contains(" ")).select("phrase").collect()]
-    few = df.where((F.col("df") <= most) & (F.size(F.array_except(F.split("phrase", " "), F.lit(function).cast("array<string>"))) > 0) & (F.length("phrase") > 3))
-    edges = cut_lineage(every.join(few, "phrase").select("doc_id", "phrase", "df"))
-    rated = labels.where("doc_id is not null and subject is not null").select("doc_id", "subject").distinct()
-    seeds = cut_lineage(rated.join(texts.select("doc_id"), "doc_id", "left_semi").withColumn("weight", F.lit(1.0)))
-    share = seeds.select("doc_id").distinct().count() / max(1, n)
-    current, found = seeds, None
+    texts = graph.where("own is not null")
+    size = {r[0]: r[1] for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per = texts.select("lang", F.explode("own").alias("phrase")).groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("n"))
+    least = F.coalesce(*[F.when(F.col("lang").eqNullSafe(F.lit(k)), float(max(LEAST, OWN_LEAST * n))) for k, n in size.items()], F.lit(float(LEAST)))
+    df = per.groupBy("phrase").agg(F.sum("n").alias("df"), F.max(F.col("n") >= least).alias("enough"))
+    found = df.where("enough").select("phrase", "df").collect()
+    most = max(2 * LEAST, OWN_MOST * largest * sum(size.values()))
+    function = {p for p, n in found if n > most and " " not in p} | set(common)
+    return sorted((p, n) for p, n in found if n <= most and len(p) > 3 and not function.issuperset(p.split()))
+
+
+def propagate(edges: DataFrame, seeds: DataFrame, ratings: DataFrame, nodes: DataFrame, texts: DataFrame, n_rated: int, n_texts: int, largest: float, rounds: int = ROUNDS) -> DataFrame:
+    """Rows (p, subject): the subject of each phrase after some rounds, from seeds that stay as they are.
+
+    edges: doc_id, ps array<int>. seeds: p, subject, n (what the coded activities say, subject null: all of them). ratings:
+    doc_id, subject. nodes: p, df (null for phrases that the seeds have verified, which always have a subject). texts: doc_id of
+    the n_texts texts that hold no such phrase; n_rated of them have ratings.
+    """
+    seeds = seeds.select("p", "subject", F.col("n").cast("double").alias("w"))
+    rated = ratings.groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
+    nodes = F.broadcast(nodes)
+    current, found, labelled = rated, None, n_rated
     for r in range(rounds):
-        per = edges.join(current, "doc_id").groupBy("phrase", "subject").agg(F.sum("weight").alias("w"))
-        held = edges.join(current.select("doc_id").distinct(), "doc_id", "left_semi").groupBy("phrase").agg(F.count(F.lit(1)).alias("held"), F.max("df").alias("df"))
-        best = per.groupBy("phrase").agg(F.max(F.struct("w", "subject")).alias("m")).join(held, "phrase")
-        # one labelled text may err: it is believed only at first and where no second is to be expected
-        least = F.when((F.col("df") * share < 1.5) & (F.col("df") <= OWN_SINGLE * n / max(1, n_subjects)), 1).otherwise(2) if r == 0 else F.lit(2)
-        found = cut_lineage(best.where((F.col("m.w") >= OWN_PURITY * F.col("held")) & (F.col("m.w") >= least)).select("phrase", F.col("m.subject").alias("subject")))
+        share = labelled / max(1, n_texts)
+        # a null subject counts the labelled documents
+        said = edges.join(current, "doc_id").select(F.explode("ps").alias("p"), F.array_append("subjects", F.lit(None).cast("string")).alias("x")).select("p", F.explode("x").alias("subject"))
+        per = said.groupBy("p", "subject").agg(F.count(F.lit(1)).cast("double").alias("w")).join(nodes.where("df is not null").select("p"), "p", "left_semi") if r == 0 else None
+        if r:
+            said = said.groupBy("p", "subject").agg(F.count(F.lit(1)).cast("double").alias("n")).join(nodes, "p")
+            per = said.select("p", "subject", F.when(F.col("df").isNull(), DAMPING * F.col("n")).otherwise(F.col("n")).alias("w"))
+        per = per.unionByName(seeds).groupBy("p", "subject").agg(F.sum("w").alias("w"))
+        best = per.groupBy("p").agg(F.max(F.when(F.col("subject").isNotNull(), F.struct("w", "subject"))).alias("m"), F.max(F.when(F.col("subject").isNull(), F.col("w"))).alias("held")).join(nodes, "p")
+        # one rated text may err: it is believed only at first and where no second is to be expected
+        least = F.when((F.col("df") * share < 1.5) & (F.col("df") <= OWN_SINGLE * largest * n_texts), 1).otherwise(2) if r == 0 else F.lit(2)
+        own = (F.col("m.w") >= OWN_PURITY * F.col("held")) & (F.col("m.w") >= least) & (F.col("held") >= DENSE * share * F.col("df"))
+        found = cut_lineage(best.where(F.col("m").isNotNull() & (F.col("df").isNull() | own)).select("p", F.col("m.subject").alias("subject")))
         if r + 1 == rounds:
-            break
-        score = edges.join(found, "phrase").groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n"))
-        total = score.groupBy("doc_id").agg(F.max("n").alias("most"))
-        spread = score.join(total, "doc_id").where("n >= 2 and n >= 0.4 * most").select("doc_id", "subject", F.lit(1.0).alias("weight"))
-        current = cut_lineage(spread.join(seeds.select("doc_id").distinct(), "doc_id", "left_anti").unionByName(seeds))
-    return _minimal({r.phrase: (r.subject, 1) for r in found.collect()})
+            return found
+        score = edges.select("doc_id", F.explode("ps").alias("p")).join(F.broadcast(found), "p").groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n"))
+        score = score.groupBy("doc_id").agg(F.collect_list(F.struct("subject", "n")).alias("x"), F.max("n").alias("most"))
+        taken = F.transform(F.filter("x", lambda x: (x["n"] >= TAKES) & (x["n"] >= TAKES_SHARE * F.col("most"))), lambda x: x["subject"])
+        spread = score.select("doc_id", taken.alias("subjects")).where(F.size("subjects") > 0)
+        current = cut_lineage(spread.join(rated.select("doc_id"), "doc_id", "left_anti").unionByName(rated))
+        labelled = current.join(texts, "doc_id", "left_semi").count()
+    return found
+
+
+def document_subjects(known: DataFrame, nested: DataFrame, labels: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Rows (doc_id, subjects): the only subject of a document, or of several those of two sentences or more, and its ratings.
+
+    known, nested: doc_id, spans. In nested a phrase does not count within a longer labelled one. A rating is kept if a phrase
+    of its subject stands in the document or no phrase is known there; else the text contradicts it.
+    """
+    hits = lambda df: df.select("doc_id", F.explode("spans").alias("x")).select("doc_id", "x.*").join(F.broadcast(labels), "p")
+    before = Window.partitionBy("doc_id").orderBy(F.desc("e"), "b").rowsBetween(Window.unboundedPreceding, -1)
+    outer = hits(nested).distinct().withColumn("low", F.min("b").over(before)).where("low is null or b < low")
+    rows = hits(known).unionByName(outer, allowMissingColumns=True).select("doc_id", F.struct("subject", "s").alias("x")).unionByName(ratings.select("doc_id", F.struct("subject", F.lit(-1).alias("s")).alias("x")))
+    per = rows.groupBy("doc_id").agg(F.collect_set("x").alias("x"))
+    per = per.select("doc_id", F.filter("x", lambda x: x["s"] >= 0).alias("x"), F.transform(F.filter("x", lambda x: x["s"] < 0), lambda x: x["subject"]).alias("rated"))
+    per = per.withColumn("named", F.array_distinct(F.transform("x", lambda x: x["subject"])))
+    dealt = F.filter("named", lambda k: (F.size("named") == 1) | (F.size(F.filter("x", lambda x: x["subject"] == k)) > 1))
+    clamped = F.when(F.size("named") == 0, F.col("rated")).otherwise(F.array_intersect("rated", "named"))
+    return per.select("doc_id", F.array_union(dealt, clamped).alias("subjects"))
 
 
 def common_words(activities: DataFrame, n: int) -> list[str]:
-    """Words in a share of SUPPORT of the n descriptions, which are no typing errors: a list of bounded length."""
+    """Words in a share of COMMON of the n descriptions, which are no typing errors: a list of bounded length."""
     words = activities.where("description is not null").select(F.explode(F.array_distinct(F.split(F.lower("description"), r"(?U)[^\p{L}\p{N}]+"))).alias("w"))
-    return [r[0] for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= max(2 * LEAST, 2 * SUPPORT * n)) & (F.col("w") != "")).select("w").collect()]
+    return [r[0] for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= max(2 * LEAST, COMMON * n)) & (F.col("w") != "")).select("w").collect()]
 
 
 def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (rec_kind, rec_id, subject), distinct: every record with each subject it deals with.
 
-    activities: id, description, issue_code. documents: doc_id, text. areas: subject, issue_codes. labels: doc_id,
-    subject. Null and blank texts name nothing (an activity then has the subject of its issue code). Records with a null
-    id are left out. Copies of a record get the same subjects.
+    activities: id, description, issue_code. documents: doc_id, text, and lang if there is one. areas: subject, issue_codes.
+    labels: doc_id, subject. Null and blank texts name nothing (an activity then has the subject of its issue code). Records
+    with a null id are left out. Copies of a record get the same subjects; rows of one doc_id are read as one document.
     """
+    spark = activities.sparkSession
     activities = activities.where("id is not null")
     documents = documents.where("doc_id is not null")
-    counts = cut_lineage(phrase_counts(coded(activities, areas)))
-    n = activities.where("description is not null").count()
-    phrases, common = learn_phrases(counts, n), common_words(activities, n)
-    acts = label_activities(activities, areas, phrases, common)
-    read = cut_lineage(read_documents(documents, [phrases], common))
-    usual = set(common)  # words that the languages have in common say nothing here
-    own = [(p, s) for p, s in learn_own_phrases(read, labels, areas.select("subject").distinct().count()) if not usual.issuperset(p.split())]
-    again = read_documents(read.where("text is not null"), [phrases, own], common, first=False)
-    counts = read.where("text is null").select("doc_id", "counts").unionByName(again.select("doc_id", "counts"))
-    own_only = F.map_keys(F.when(F.size("counts") > 1, F.map_filter("counts", lambda s, n: n > 1)).otherwise(F.col("counts")))
-    docs = counts.select(F.lit("document").alias("rec_kind"), F.col("doc_id").alias("rec_id"), F.explode(own_only).alias("subject"))
-    return acts.select(F.lit("activity").alias("rec_kind"), F.col("id").alias("rec_id"), F.explode("subjects").alias("subject")).unionByName(docs).distinct()
+    records = coded(activities, areas)
+    sizes = {r[0]: r[1] for r in records.where("description is not null").select(F.explode_outer("seeds").alias("subject")).groupBy("subject").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
+    sizes.pop(None, None)
+    counts = cut_lineage(phrase_counts(records))
+    phrases, leads = learn_phrases(counts, sizes)
+    common = common_words(activities, n)
+    named = activity_edges(activities, areas, phrases, common)
+    graph = cut_lineage(document_graph(documents, phrases, common))
+    rated = labels.where("doc_id is not null and subject is not null").select("doc_id", "subject").distinct()
+    rated = cut_lineage(rated.join(graph.select("doc_id"), "doc_id", "left_semi"))
+    shares = [r[0] for r in rated.groupBy("subject").agg(F.count(F.lit(1)).alias("n")).select("n").collect()]
+    largest = max(shares, default=1) / max(1, sum(shares)) if shares else 1.0
+    own = own_candidates(graph, common, largest)
+    nested = cut_lineage(own_edges(graph.where("text is not null"), [p for p, _ in own], common, len(phrases)))
+    numbers = spark.createDataFrame([*((i, p) for i, p in enumerate(phrases))], "p int, phrase string")
+    seeds = without_leads(counts, leads).join(F.broadcast(numbers), "phrase").where("subject is not null").groupBy("p", "subject").agg(F.sum("n").alias("n"))
+    nodes = spark.createDataFrame([*((i, None) for i in range(len(phrases))), *((i, k) for i, (_, k) in enumerate(own, len(phrases)))], "p int, df long")
+    unknown = graph.where("own is not null").select("doc_id")  # the others hear these phrases, but teach them nothing
+    ids = F.array_distinct(F.transform("spans", lambda x: x["p"]))
+    edges = graph.where("size(spans) > 0").select("doc_id", ids.alias("ps")).unionByName(nested.where("size(spans) > 0").join(unknown, "doc_id", "left_semi").select("doc_id", ids.alias("ps")))
+    row = unknown.agg(F.count(F.lit(1)).alias("n")).crossJoin(rated.join(unknown, "doc_id", "left_semi").agg(F.count_distinct("doc_id").alias("k"))).first()
+    found = propagate(edges, seeds, rated, nodes, unknown, row.k, row.n, largest)
+    docs = document_subjects(graph.select("doc_id", "spans", F.col("text").isNotNull().alias("again")).where("not again").drop("again"), nested.unionByName(graph.where("text is not null").select("doc_id", "spans")), found, rated)
+    acts = named.where("size(ps) > 0").select("id", F.explode("ps").alias("p")).join(F.broadcast(found), "p").select("id", "subject")
+    acts = acts.unionByName(named.where("size(ps) = 0").select("id", F.explode("seeds").alias("subject")))
+    docs = docs.select(F.lit("document").alias("rec_kind"), F.col("doc_id").alias("rec_id"), F.explode("subjects").alias("subject"))
+    return acts.select(F.lit("activity").alias("rec_kind"), F.col("id").alias("rec_id"), "subject").unionByName(docs).distinct()
