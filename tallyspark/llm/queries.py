@@ -83,9 +83,14 @@ def p10_shares(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_share(_documents(spark, d))
 
 
+def p10_links(spark: SparkSession, d: str) -> DataFrame:
+    """The same as p10_found between different texts, by the smallest doc_id of each; p10_classes has the members."""
+    return spans.text_links(_documents(spark, d))
+
+
 def p10_classes(spark: SparkSession, d: str) -> DataFrame:
     """Of each document of at least 200 characters, the smallest doc_id with the same text."""
     return spans.text_classes(_documents(spark, d)).select(F.col("id").alias("doc_id"), F.col("rep").alias("class_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_volume, p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p9_schedule, p9_shares, p10_found, p10_shares, p10_classes)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_volume, p3_found, p3_unlisted, p5_found, p5_parties, p8_ids, p9_schedule, p9_shares, p10_found, p10_shares, p10_links, p10_classes)}

@@ -4,10 +4,13 @@ Every run of at least RUN characters holds at least one anchor: of each RUN - K
 the one of smallest hash is an anchor, wherever the run stands. So two texts that share such a run share an anchor in it.
 
 1. Each partition counts its anchors in a count-min sketch of saturating counters; the merged sketch never
-   underestimates. 2. A second pass keeps the anchors estimated to occur twice or more, groups these exactly, and extends
-   each match to both sides. None is lost: the sketch only spares the shuffle what occurs once.
+   underestimates. Its cells grow with the anchors. 2. A second pass keeps the anchors estimated to occur twice or more,
+   groups these exactly, and extends each match to both sides. None is lost: the sketch only spares the shuffle what occurs
+   once. Up to MOST_CELLS the sketch is broadcast; beyond it stays in blocks, which the anchors are joined with.
 
-Copies of one text form a class first and are worked on once.
+Copies of one text form a class first and are worked on once. An anchor that stands in many surroundings is not compared in
+pairs: its runs of RUN characters, at most STEP for each place, are grouped themselves. Which way is taken is a matter of
+cost alone; both find the same.
 """
 
 from __future__ import annotations
@@ -28,12 +31,16 @@ STEP = RUN - K + 1
 MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
-#: Cells in a row of the sketch: about 8 for each anchor, up to this; it bounds what is broadcast to 2 rows of this many bits.
+#: A sketch of up to so many cells in a row is broadcast: 2 rows of this many bits, 16 MB.
 MOST_CELLS = 1 << 26
+#: Anchors counted before a partition hands on its blocks.
+ANCHORS_AT_ONCE = 1 << 21
 BLOCK = 1 << 16
 CHARS_AT_ONCE = 1 << 19
-#: Classes of copies up to this size are listed as all their pairs, larger ones as links to their smallest id.
-LISTED = 10
+#: An anchor in more surroundings than this has its runs grouped, which costs up to STEP rows for each, instead of its surroundings compared in pairs.
+MANY = 2 * STEP
+#: Members of a group that meet in one task.
+TOGETHER = 500
 
 
 def _powers(b: int, n: int) -> np.ndarray:
@@ -97,22 +104,33 @@ def _cells(h: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
     return (h & m).astype(np.int64), ((h >> np.uint64(32)) * np.uint64(0x9E3779B1) >> np.uint64(4) & m).astype(np.int64)
 
 
-def repeated_cells(docs: DataFrame, cells: int, text_col: str = "text") -> list[np.ndarray]:
-    """The merged sketch: for each of its two rows, which cells counted two anchors or more (packed bits)."""
+def sketch(docs: DataFrame, cells: int, text_col: str = "text") -> DataFrame:
+    """The merged sketch as rows (block, bits): of each block of either row of cells, which counted two anchors or more."""
     block = min(BLOCK, cells)
+    per_row = cells // block
+
+    def flush(some: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        ks, packed = [], []
+        for r, at in enumerate(_cells(np.concatenate(some), cells)):
+            which, n = np.unique(at, return_counts=True)
+            for k, lo, hi in zip(*_groups(which // block)):
+                counted = np.zeros(block, dtype=np.uint8)
+                counted[which[lo:hi] % block] = np.minimum(n[lo:hi], 2)
+                ks.append(r * per_row + int(k))
+                packed.append(zlib.compress(np.concatenate([np.packbits(counted > 0), np.packbits(counted > 1)]).tobytes(), 1))
+        yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(packed, pa.binary())], names=["block", "bits"])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [np.zeros(cells, dtype=np.uint8) for _ in range(2)]
+        some, size = [], 0
         for b in batches:
             for _, texts in _chunks([0] * b.num_rows, b.column(0).to_pylist()):
-                for row, at in zip(rows, _cells(anchors(texts)[2], cells)):
-                    which, n = np.unique(at, return_counts=True)
-                    row[which] = np.minimum(row[which] + np.minimum(n, 2), 2)
-        for r, row in enumerate(rows):
-            for k in range(cells // block):
-                if (part := row[k * block : (k + 1) * block]).any():
-                    bits = np.concatenate([np.packbits(part > 0), np.packbits(part > 1)])
-                    yield pa.RecordBatch.from_arrays([pa.array([r * (cells // block) + k], pa.int32()), pa.array([zlib.compress(bits.tobytes(), 1)], pa.binary())], names=["block", "bits"])
+                some.append(anchors(texts)[2])
+                size += len(some[-1])
+                if size >= ANCHORS_AT_ONCE:
+                    yield from flush(some)
+                    some, size = [], 0
+        if some:
+            yield from flush(some)
 
     def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once, twice = {}, {}
@@ -124,21 +142,35 @@ def repeated_cells(docs: DataFrame, cells: int, text_col: str = "text") -> list[
                 once[k] = once[k] | o if k in once else o
         for k, t in twice.items():
             if t.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(t.tobytes(), 1)], pa.binary())], names=["block", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([zlib.compress(t.tobytes(), 1)], pa.binary())], names=["block", "bits"])
 
-    parts = docs.select(text_col).coalesce(max(8, docs.sparkSession.sparkContext.defaultParallelism * 2)).mapInArrow(count, "block int, bits binary")
-    merged = parts.repartition("block").mapInArrow(merge, "block int, bits binary")
+    parts = docs.select(text_col)
+    if cells <= MOST_CELLS:  # few blocks: few partitions hand on fewer of them
+        parts = parts.coalesce(max(8, docs.sparkSession.sparkContext.defaultParallelism * 2))
+    return parts.mapInArrow(count, "block long, bits binary").repartition("block").mapInArrow(merge, "block long, bits binary")
+
+
+def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(value, first, last + 1) of the runs of equal values of a sorted array."""
+    first = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, int)
+    return x[first], first, np.append(first[1:], len(x))
+
+
+def _bits(merged: DataFrame, cells: int) -> list[np.ndarray]:
+    """The sketch as two rows of packed bits, at most 2 * MOST_CELLS / 8 bytes."""
+    block = min(BLOCK, cells)
     out = [np.zeros(cells // 8, dtype=np.uint8) for _ in range(2)]
-    for k, bits in merged.collect():  # at most 2 * cells / 8 bytes, whatever the input
+    for k, bits in merged.collect():
         r, k = divmod(k, cells // block)
         out[r][k * block // 8 : (k + 1) * block // 8] = np.frombuffer(zlib.decompress(bits), dtype=np.uint8)
     return out
 
 
 def sketch_cells(docs: DataFrame, text_col: str = "text") -> int:
+    """About 8 cells in a row for each anchor."""
     chars = docs.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
     want = max(BLOCK, 8 * 2 * chars // STEP)
-    return min(MOST_CELLS, 1 << (want - 1).bit_length())
+    return 1 << (want - 1).bit_length()
 
 
 def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -148,55 +180,140 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return d.join(reps, "digest").select("id", "rep", "n_chars")
 
 
-def repeated_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _anchors_of(ids: list, texts: list[str], keep, kind: pa.DataType) -> pa.RecordBatch:
+    """Rows of repeated_anchors; keep(who, h) tells which anchors to give."""
+    who, pos, h = anchors(texts)
+    kept = keep(who, h)
+    places: dict[tuple, list[int]] = {}  # a text that repeats itself: equal surroundings make one row
+    for w, p, x in zip(who[kept].tolist(), pos[kept].tolist(), h[kept].astype(np.int64).tolist()):
+        t = texts[w]
+        places.setdefault((w, x, t[max(0, p - STEP + 1) : p], t[p + K : p + RUN]), []).append(p)
+    out = {n: [] for n in ("id", "pos", "h", "g", "left", "right")}
+    for (w, x, left, right), ps in places.items():
+        g = xxhash.xxh3_64_intdigest(texts[w][ps[0] : ps[0] + K].encode("utf-8", "surrogatepass")) - (1 << 63)
+        for n, v in zip(out, (ids[w], ps, x, g, left, right)):
+            out[n].append(v)
+    return pa.RecordBatch.from_pydict(out, schema=pa.schema([("id", kind), ("pos", pa.list_(pa.int32())), ("h", pa.int64()), ("g", pa.int64()), ("left", pa.string()), ("right", pa.string())]))
+
+
+def repeated_anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cells: int | None = None, most_cells: int = MOST_CELLS) -> DataFrame:
     """Anchors estimated to occur more than once: id, pos (its places), h (hash), g (another hash of the window), and the RUN - K characters on each side."""
-    cells = sketch_cells(docs, text_col)
-    known = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, cells, text_col))
+    cells = cells or sketch_cells(docs, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
+    schema = f"id {kind}, pos array<int>, h long, g long, left string, right string"
+    merged = sketch(docs, cells, text_col)
+    if cells <= most_cells:
+        known = docs.sparkSession.sparkContext.broadcast(_bits(merged, cells))
+
+        def often(_: np.ndarray, h: np.ndarray) -> np.ndarray:
+            keep = np.ones(len(h), dtype=bool)
+            for row, at in zip(known.value, _cells(h, cells)):
+                keep &= (row[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+            return keep
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for ids, texts in _chunks(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    yield _anchors_of(ids, texts, often, b.schema.field(0).type)
+
+        return docs.select(id_col, text_col).mapInArrow(run, schema)
+
+    block = min(BLOCK, cells)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = known.value
+    def set_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for ids, texts in _chunks(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                who, pos, h = anchors(texts)
-                keep = np.ones(len(h), dtype=bool)
-                for row, at in zip(sketch, _cells(h, cells)):
-                    keep &= (row[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-                places: dict[tuple, list[int]] = {}  # a text that repeats itself: equal surroundings make one row
-                for w, p, x in zip(who[keep].tolist(), pos[keep].tolist(), h[keep].astype(np.int64).tolist()):
-                    t = texts[w]
-                    places.setdefault((w, x, t[max(0, p - STEP + 1) : p], t[p + K : p + RUN]), []).append(p)
-                out = {n: [] for n in ("id", "pos", "h", "g", "left", "right")}
-                for (w, x, left, right), ps in places.items():
-                    g = xxhash.xxh3_64_intdigest(texts[w][ps[0] : ps[0] + K].encode("utf-8", "surrogatepass")) - (1 << 63)
-                    for n, v in zip(out, (ids[w], ps, x, g, left, right)):
-                        out[n].append(v)
-                yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("id", b.schema.field(0).type), ("pos", pa.list_(pa.int32())), ("h", pa.int64()), ("g", pa.int64()), ("left", pa.string()), ("right", pa.string())]))
-
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, pos array<int>, h long, g long, left string, right string")
-
-
-def shared_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of runs shared by two different texts: a, b (ids of class representatives, a < b), the places of the common anchor
-    in either (pos_a, pos_b), and how many characters before and after it are common (before, after).
-
-    The pieces of one run overlap and together cover it wholly. Null and short texts share nothing.
-    """
-    reps = text_classes(docs, id_col, text_col).where("id = rep").select("id")
-    found = cut_lineage(repeated_anchors(docs, id_col, text_col).join(reps, "id", "left_semi"))
-    many = found.groupBy("h", "g").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("h", "g")
-    kept = found.join(many, ["h", "g"], "left_semi")
-    side = lambda s: kept.select("h", "g", *[F.col(c).alias(f"{c}_{s}") for c in ("id", "pos", "left", "right")])
-    pairs = side("a").join(side("b"), ["h", "g"]).where("id_a < id_b").drop("h", "g")
-    kind = docs.schema[id_col].dataType.simpleString()
+            for k, bits in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                r, k = divmod(k, cells // block)
+                at = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(bits), dtype=np.uint8))) + k * block
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), r), pa.int32()), pa.array(at, pa.int64())], names=["r", "cell"])
 
-    def extend(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            left = np.array([_common(x[::-1], y[::-1]) for x, y in zip(f.left_a, f.left_b)], dtype=np.int32)
-            right = np.array([_common(x, y) for x, y in zip(f.right_a, f.right_b)], dtype=np.int32)
-            yield pd.DataFrame({"a": f.id_a, "b": f.id_b, "pos_a": f.pos_a, "pos_b": f.pos_b, "before": left, "after": right})[left + right >= RUN - K]
+    def all_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for ids, texts in _chunks(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                who, _, h = anchors(texts)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type).take(pa.array(who)), pa.array(h.astype(np.int64)), *map(pa.array, _cells(h, cells))], names=["id", "h", "c0", "c1"])
 
-    return pairs.mapInPandas(extend, f"a {kind}, b {kind}, pos_a array<int>, pos_b array<int>, before int, after int")
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, t, hs in zip(*(b.column(k).to_pylist() for k in range(3))):
+                yield _anchors_of([i], [t], lambda _, h: np.isin(h, np.array(hs, dtype=np.int64).astype(np.uint64)), b.schema.field(0).type)  # noqa: B023
+
+    twice = cut_lineage(merged.mapInArrow(set_cells, "r int, cell long"))
+    every = docs.select(id_col, text_col).mapInArrow(all_cells, f"id {kind}, h long, c0 long, c1 long")
+    for r in range(2):
+        every = every.join(twice.where(f"r = {r}").select(F.col("cell").alias(f"c{r}")), f"c{r}", "left_semi")
+    hs = every.groupBy("id").agg(F.collect_set("h").alias("hs"))
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(F.length("text") >= RUN).join(hs, "id").select("id", "text", "hs").mapInArrow(chosen, schema)
+
+
+def _shared_anchors(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Anchors in two different texts or more (columns of repeated_anchors and n, the number of rows with the same window), each text once; the classes of copies."""
+    classes = cut_lineage(text_classes(docs, id_col, text_col).distinct())
+    found = cut_lineage(repeated_anchors(docs, id_col, text_col).join(classes.where("id = rep").select("id"), "id", "left_semi"))
+    many = found.groupBy("h", "g").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi").select("h", "g", "n")
+    return cut_lineage(found.join(many, ["h", "g"])), classes
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """rows with one row for each run of RUN characters around the anchor: l characters before it; x, y tell it from the others of its anchor."""
+    side = STEP - 1
+    every = rows.withColumn("l", F.explode(F.sequence(F.greatest(F.lit(0), side - F.length("right")), F.least(F.lit(side), F.length("left")))))
+    before, after = F.expr("right(`left`, l)"), F.expr(f"substring(`right`, 1, {side} - l)")
+    return every.withColumn("x", F.xxhash64(before, after)).withColumn("y", F.xxhash64(F.lit(1), after, before)).drop("left", "right")
+
+
+def _lengths(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of the pairs of surroundings with a common run, the characters before and after the anchor that are common, in place of the surroundings."""
+    for f in frames:
+        f["before"] = np.array([_common(x[::-1], y[::-1]) for x, y in zip(f.left_a, f.left_b)], dtype=np.int32)
+        f["after"] = np.array([_common(x, y) for x, y in zip(f.right_a, f.right_b)], dtype=np.int32)
+        yield f[f.before + f.after >= RUN - K].drop(columns=["left_a", "left_b", "right_a", "right_b"])
+
+
+def pairs_within(members: DataFrame, together: int = TOGETHER) -> DataFrame:
+    """Pairs (a, b), a < b, of the members (k, id) of each group k: its members in blocks, two blocks in a task, so that no task gets a large group."""
+    sized = members.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k", F.ceil(F.col("n") / together).cast("int").alias("blocks"))
+    m = members.join(sized, "k").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    a = m.select("k", F.col("own").alias("i"), F.explode(F.sequence(F.col("own"), F.col("blocks") - 1)).alias("j"), F.col("id").alias("a"))
+    b = m.select("k", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"), F.col("id").alias("b"))
+    met = a.join(b, ["k", "i", "j"]).where("a <> b and (i < j or a < b)")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def linked_texts(kept: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of texts that share a run, from the anchors they share."""
+    kind = kept.schema["id"].dataType.simpleString()
+    few = kept.where(F.col("n") <= MANY)
+    side = lambda s: few.select("h", "g", F.col("id").alias(s), F.col("left").alias(f"left_{s}"), F.col("right").alias(f"right_{s}"))
+    compared = side("a").join(side("b"), ["h", "g"]).where("a < b").drop("h", "g").mapInPandas(_lengths, f"a {kind}, b {kind}, before int, after int").select("a", "b")
+    # of the runs of an anchor in many texts, those that stand in the same texts say the same
+    runs = _runs(kept.where(F.col("n") > MANY).select("h", "g", "id", "left", "right")).select("h", "g", "l", "x", "y", "id").distinct()
+    mark = F.xxhash64("id").cast("decimal(38,0)")
+    texts = runs.groupBy("h", "g", "l", "x", "y").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("id")).alias("u"), F.sum(mark).alias("v")).where("n > 1")
+    one = texts.groupBy("n", "u", "v").agg(F.min(F.struct("h", "g", "l", "x", "y")).alias("r")).select("r.*", F.struct("n", "u", "v").alias("k"))
+    return compared.unionByName(pairs_within(runs.join(one, ["h", "g", "l", "x", "y"]).select("k", "id"))).distinct()
+
+
+def shared_pieces(kept: DataFrame) -> DataFrame:
+    """Rows (id, s, e): the places of runs that a text shares with any other, as pieces that overlap and together cover them. Linear in the anchors."""
+    kept = kept.withColumn("c", F.xxhash64("left", "right"))
+    key = ["h", "g", "c", "left", "right"]
+    around = kept.groupBy(*key).agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    sizes = around.groupBy("h", "g").agg(F.count(F.lit(1)).alias("ways"))
+    around = cut_lineage(around.join(sizes, ["h", "g"]))
+    ends = lambda df, *more: df.select("h", "g", "c", *more)
+    # equal surroundings in two texts: all of them is shared; else what is common with other surroundings
+    whole = ends(around.where("lo < hi"), F.length("left").alias("before"), F.length("right").alias("after"))
+    few = around.where(F.col("ways").between(2, MANY))
+    side = lambda s, df: df.select("h", "g", F.struct("c", "lo", "hi").alias(f"k_{s}"), F.col("left").alias(f"left_{s}"), F.col("right").alias(f"right_{s}"))
+    met = side("a", few.where("lo = hi")).join(side("b", few), ["h", "g"]).where("k_a.c <> k_b.c and (k_b.lo <> k_a.lo or k_b.hi <> k_a.lo)")
+    compared = met.select("h", "g", F.col("k_a.c").alias("c"), "left_a", "left_b", "right_a", "right_b")
+    some = compared.mapInPandas(_lengths, "h long, g long, c long, before int, after int")
+    runs = _runs(around.where(F.col("ways") > MANY).select(*key, "lo", "hi"))
+    twice = runs.groupBy("h", "g", "l", "x", "y").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least < most")
+    grouped = ends(runs.join(twice, ["h", "g", "l", "x", "y"]).where("lo = hi"), F.col("l").alias("before"), (STEP - 1 - F.col("l")).alias("after"))
+    reach = whole.unionByName(some).unionByName(grouped).groupBy("h", "g", "c").agg(F.max("before").alias("before"), F.max("after").alias("after"))
+    return kept.join(reach, ["h", "g", "c"]).select("id", F.explode("pos").alias("p"), "before", "after").select("id", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + K + F.col("after")).alias("e"))
 
 
 def _common(x: str, y: str) -> int:
@@ -214,29 +331,30 @@ def _common(x: str, y: str) -> int:
 
 
 def sharing_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Distinct pairs (doc_a, doc_b) of documents that share a run.
+    """Distinct pairs (doc_a, doc_b) of documents that share a run: every pair, copies included.
 
-    Different texts: every pair, copies included. Copies of one text: every pair of a class of up to LISTED documents; in a
-    larger class each with its smallest id (text_classes gives the rest), so that a class of n documents costs n - 1 rows.
+    Its rows are as many as there are such pairs; text_links and text_classes say the same in a row for each pair of different
+    texts and for each document. Null and short texts share nothing.
     """
-    classes = cut_lineage(text_classes(docs, id_col, text_col))
-    pairs = shared_runs(docs, id_col, text_col).select("a", "b").distinct()
+    kept, classes = _shared_anchors(docs, id_col, text_col)
     member = lambda s: classes.select(F.col("rep").alias(s), F.col("id").alias(f"doc_{s}"))
-    out = pairs.join(member("a"), "a").join(member("b"), "b").select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
-    sized = classes.where("id <> rep").groupBy("rep").agg(F.count(F.lit(1)).alias("n"))  # copies besides the smallest id
-    copies = classes.where("id <> rep").join(sized, "rep")
-    star = copies.select(F.col("rep").alias("doc_a"), F.col("id").alias("doc_b"))
-    few = copies.where(F.col("n") < LISTED)
-    among = few.select("rep", F.col("id").alias("doc_a")).join(few.select("rep", F.col("id").alias("doc_b")), "rep").where("doc_a < doc_b").select("doc_a", "doc_b")
-    return out.unionByName(star).unionByName(among)
+    out = linked_texts(kept).join(member("a"), "a").join(member("b"), "b").select(F.least("doc_a", "doc_b").alias("doc_a"), F.greatest("doc_a", "doc_b").alias("doc_b"))
+    copies = pairs_within(classes.select(F.col("rep").alias("k"), "id"))
+    return out.unionByName(copies.select(F.col("a").alias("doc_a"), F.col("b").alias("doc_b")))
+
+
+def text_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Distinct pairs (class_a, class_b) of different texts that share a run, each by the smallest id with that text."""
+    return linked_texts(_shared_anchors(docs, id_col, text_col)[0]).select(F.col("a").alias("class_a"), F.col("b").alias("class_b"))
 
 
 def shared_share(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, n_spans, shared_chars, share) of all documents: how much of each stands elsewhere in runs of at least RUN characters."""
-    classes = cut_lineage(text_classes(docs, id_col, text_col))
-    runs = shared_runs(docs, id_col, text_col)
-    places = lambda s: runs.select(F.col(s).alias("rep"), F.explode(f"pos_{s}").alias("p"), "before", "after")
-    pieces = places("a").unionByName(places("b")).select("rep", (F.col("p") - F.col("before")).alias("s"), (F.col("p") + K + F.col("after")).alias("e"))
+    """Rows (doc_id, n_spans, shared_chars, share) of all documents: how much of each stands elsewhere in runs of at least RUN characters.
+
+    No pair of documents is made. Null and short texts have 0.
+    """
+    kept, classes = _shared_anchors(docs, id_col, text_col)
+    pieces = shared_pieces(kept).withColumnRenamed("id", "rep")
     copied = classes.where("id <> rep").groupBy("rep").agg(F.max("n_chars").alias("n_chars")).select("rep", F.lit(0).alias("s"), F.col("n_chars").cast("int").alias("e"))
     # of pieces with one start only the longest matters; a text has no more starts than characters
     pieces = pieces.unionByName(copied).groupBy("rep", "s").agg(F.max("e").alias("e"))

@@ -54,20 +54,40 @@ def test_copies_nulls_and_short(spark):
     text, other = random_text(r, 400), random_text(r, 400)
     docs = [(i, text) for i in range(5, 45)] + [(50, text[:300] + other), (51, other), (60, None), (61, ""), (62, "short"), (63, None)]
     got, shares = found(spark, docs)
-    copies = {(5, i) for i in range(6, 45)}  # a class is linked to its smallest id
+    copies = {(i, j) for i in range(5, 45) for j in range(i + 1, 45)}
     assert got == copies | {(i, 50) for i in range(5, 45)} | {(50, 51)}
+    links = {tuple(x) for x in s.text_links(spark.createDataFrame([(i, t, 1, "clash") for i, t in docs], SCHEMA)).collect()}
+    assert links == {(5, 50), (50, 51)}
     assert shares[5] == 400 and shares[50] == 700 and shares[60] == shares[61] == shares[62] == 0
     assert found(spark, docs[:1]) == (set(), {5: 0})
     empty = spark.createDataFrame([], SCHEMA)
     assert s.sharing_pairs(empty).count() == 0 and s.shared_share(empty).count() == 0
 
 
-def test_small_classes_are_listed_wholly(spark):
+def test_a_passage_in_all_documents(spark):
+    """A common footer, and one that is a little too short, in more texts than are compared in pairs."""
     r = random.Random(13)
-    one, two = random_text(r, 300), random_text(r, 300)
-    got, _ = found(spark, [(i, one) for i in (3, 1, 2, 9)] + [(10 + i, two) for i in range(s.LISTED + 1)])
-    assert {p for p in got if p[0] < 10} == {(1, 2), (1, 3), (1, 9), (2, 3), (2, 9), (3, 9)}
-    assert {p for p in got if p[0] >= 10} == {(10, 10 + i) for i in range(1, s.LISTED + 1)}
+    footer, short = random_text(r, 230), random_text(r, 190)
+    docs = [(i, random_text(r, 80 + i % 40) + (footer if i % 3 else short) + random_text(r, 60 + i % 7)) for i in range(2 * s.MANY)]
+    docs += [(1000 + i, footer[10:] + random_text(r, 90 + i)) for i in range(5)]
+    pairs, covered = brute(docs)
+    got, shares = found(spark, docs)
+    assert got == pairs and shares == covered
+
+
+def test_large_groups_meet_in_blocks(spark):
+    rows = [(k, i) for k, n in ((1, 37), (2, 1), (3, 2)) for i in range(n)]
+    got = sorted(tuple(x) for x in s.pairs_within(spark.createDataFrame(rows, "k int, id long"), together=5).collect())
+    assert got == sorted([(i, j) for i in range(37) for j in range(i + 1, 37)] + [(0, 1)])
+
+
+def test_sketch_in_blocks_finds_the_same(spark):
+    r = random.Random(21)
+    texts = [random_text(r, 600) for _ in range(12)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + [t[100:] for t in texts[:4]] + [None, ""])], "doc_id long, text string").repartition(3)
+    cells = 1 << 18
+    few, many = ({(x.id, x.h, x.g, x.left, x.right, tuple(x.pos)) for x in s.repeated_anchors(docs, cells=cells, most_cells=m).collect()} for m in (1 << 26, 1 << 10))
+    assert few and few == many
 
 
 def test_same_id_twice(spark):
@@ -92,7 +112,7 @@ def test_sketch_never_underestimates(spark):
     texts = [random_text(r, 600) for _ in range(20)]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:5])], "doc_id long, text string").repartition(5)
     cells = 1 << 16
-    rows = s.repeated_cells(docs, cells)
+    rows = s._bits(s.sketch(docs, cells), cells)
     _, _, h = s.anchors(texts[:5])
     for row, at in zip(rows, s._cells(h, cells)):
         assert ((row[at >> 3] >> (7 - (at & 7)).astype("uint8")) & 1).all()
