@@ -5,16 +5,14 @@ holds, with the sentence it stands in. Two records are neighbours if they share
 of records that share one costs one edge each, never all pairs. The texts are searched for the phrases only to find the
 edges; every label comes from rounds of joins over them:
 
-1. Seeds are the activities' issue codes and the raters' labels of documents. They are clamped: no round changes them. What
-   the codes say to a phrase is therefore the same in each round and is counted once.
-2. A round carries the labels of the records to the phrases, which take the subject that most of their records have, and
-   the labels of the phrases back to the records, which may take several.
+1. Seeds are the activities' issue codes and the raters' labels of documents. They are clamped: no round changes them. A
+   phrase that the codes have verified listens to seeds alone, so what it hears is the same in each round and is joined once.
+2. Texts in which no such phrase stands (other languages) have phrases of their own. A round carries the labels of the texts
+   to the phrases, which take the subject that most of their labelled texts have, and the labels of the phrases back to the
+   texts, which may take several; rated texts keep their ratings.
 3. The last joins carry the phrases' labels to all records: a description has each subject named, a document those of two
    sentences or its only one, and a rated document keeps its ratings as well, if a phrase of it agrees or none is known.
 
-Phrases of the activities' language are verified by the codes; texts in which none of them stands (other languages) have
-phrases of their own, which get their labels from the ratings and from each other over the rounds.
-
 Only lists of verified phrases are broadcast. A phrase needs a share of the records of its subject, which bounds their
 number whatever the input and however the subjects are distributed.
 """
@@ -332,39 +330,43 @@ def own_candidates(graph: DataFrame, common: list[str], largest: float) -> list[
     return sorted((p, n) for p, n in found if n <= most and len(p) > 3 and not function.issuperset(p.split()))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, ratings: DataFrame, nodes: DataFrame, texts: DataFrame, n_rated: int, n_texts: int, largest: float, rounds: int = ROUNDS) -> DataFrame:
-    """Rows (p, subject): the subject of each phrase after some rounds, from seeds that stay as they are.
+def seeded(seeds: DataFrame, edges: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Rows (p, subject): what the clamped seeds say to the phrases that codes have verified, the same in every round.
+
+    seeds: p, subject, n (coded activities). edges: doc_id, ps array<int>. ratings: doc_id, subject.
+    """
+    said = edges.join(ratings, "doc_id").select(F.explode("ps").alias("p"), "subject").groupBy("p", "subject").agg((DAMPING * F.count(F.lit(1))).alias("w"))
+    said = said.join(F.broadcast(seeds.select("p").distinct()), "p", "left_semi")
+    every = seeds.select("p", "subject", F.col("n").cast("double").alias("w")).unionByName(said).groupBy("p", "subject").agg(F.sum("w").alias("w"))
+    return every.groupBy("p").agg(F.max(F.struct("w", "subject")).alias("m")).select("p", "m.subject")
+
+
+def propagate(edges: DataFrame, ratings: DataFrame, nodes: DataFrame, n_rated: int, n_texts: int, largest: float, rounds: int = ROUNDS) -> DataFrame:
+    """Rows (p, subject): the subject of each phrase that gets one in some rounds over the texts that share them.
 
-    edges: doc_id, ps array<int>. seeds: p, subject, n (what the coded activities say, subject null: all of them). ratings:
-    doc_id, subject. nodes: p, df (null for phrases that the seeds have verified, which always have a subject). texts: doc_id of
-    the n_texts texts that hold no such phrase; n_rated of them have ratings.
+    edges: doc_id, ps array<int>. ratings: doc_id, subject, which stay as they are. nodes: p, df. n_rated of the n_texts texts
+    have ratings.
     """
-    seeds = seeds.select("p", "subject", F.col("n").cast("double").alias("w"))
-    rated = ratings.groupBy("doc_id").agg(F.collect_set("subject").alias("subjects"))
+    rated = cut_lineage(ratings.join(edges.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_set("subject").alias("subjects")))
     nodes = F.broadcast(nodes)
     current, found, labelled = rated, None, n_rated
     for r in range(rounds):
         share = labelled / max(1, n_texts)
-        # a null subject counts the labelled documents
+        # a null subject counts the labelled texts
         said = edges.join(current, "doc_id").select(F.explode("ps").alias("p"), F.array_append("subjects", F.lit(None).cast("string")).alias("x")).select("p", F.explode("x").alias("subject"))
-        per = said.groupBy("p", "subject").agg(F.count(F.lit(1)).cast("double").alias("w")).join(nodes.where("df is not null").select("p"), "p", "left_semi") if r == 0 else None
-        if r:
-            said = said.groupBy("p", "subject").agg(F.count(F.lit(1)).cast("double").alias("n")).join(nodes, "p")
-            per = said.select("p", "subject", F.when(F.col("df").isNull(), DAMPING * F.col("n")).otherwise(F.col("n")).alias("w"))
-        per = per.unionByName(seeds).groupBy("p", "subject").agg(F.sum("w").alias("w"))
+        per = said.groupBy("p", "subject").agg(F.count(F.lit(1)).alias("w"))
         best = per.groupBy("p").agg(F.max(F.when(F.col("subject").isNotNull(), F.struct("w", "subject"))).alias("m"), F.max(F.when(F.col("subject").isNull(), F.col("w"))).alias("held")).join(nodes, "p")
         # one rated text may err: it is believed only at first and where no second is to be expected
         least = F.when((F.col("df") * share < 1.5) & (F.col("df") <= OWN_SINGLE * largest * n_texts), 1).otherwise(2) if r == 0 else F.lit(2)
-        own = (F.col("m.w") >= OWN_PURITY * F.col("held")) & (F.col("m.w") >= least) & (F.col("held") >= DENSE * share * F.col("df"))
-        found = cut_lineage(best.where(F.col("m").isNotNull() & (F.col("df").isNull() | own)).select("p", F.col("m.subject").alias("subject")))
-        if r + 1 == rounds:
-            return found
-        score = edges.select("doc_id", F.explode("ps").alias("p")).join(F.broadcast(found), "p").groupBy("doc_id", "subject").agg(F.count(F.lit(1)).alias("n"))
-        score = score.groupBy("doc_id").agg(F.collect_list(F.struct("subject", "n")).alias("x"), F.max("n").alias("most"))
-        taken = F.transform(F.filter("x", lambda x: (x["n"] >= TAKES) & (x["n"] >= TAKES_SHARE * F.col("most"))), lambda x: x["subject"])
-        spread = score.select("doc_id", taken.alias("subjects")).where(F.size("subjects") > 0)
-        current = cut_lineage(spread.join(rated.select("doc_id"), "doc_id", "left_anti").unionByName(rated))
-        labelled = current.join(texts, "doc_id", "left_semi").count()
+        found = cut_lineage(best.where((F.col("m.w") >= OWN_PURITY * F.col("held")) & (F.col("m.w") >= least) & (F.col("held") >= DENSE * share * F.col("df"))).select("p", F.col("m.subject").alias("subject")))
+        if r + 1 < rounds:
+            score = edges.select("doc_id", F.explode("ps").alias("p")).join(F.broadcast(found), "p").groupBy("doc_id").agg(F.collect_list("subject").alias("x"))
+            counted = F.transform(F.array_distinct("x"), lambda k: F.struct(k.alias("subject"), F.size(F.filter("x", lambda x: x == k)).alias("n")))
+            score = score.select("doc_id", counted.alias("x")).withColumn("most", F.array_max(F.transform("x", lambda x: x["n"])))
+            taken = F.transform(F.filter("x", lambda x: (x["n"] >= TAKES) & (x["n"] >= TAKES_SHARE * F.col("most"))), lambda x: x["subject"])
+            spread = score.select("doc_id", taken.alias("subjects")).where(F.size("subjects") > 0)
+            current = cut_lineage(spread.join(rated.select("doc_id"), "doc_id", "left_anti").unionByName(rated))
+            labelled = current.count()
     return found
 
 
@@ -417,14 +419,16 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     largest = max(shares, default=1) / max(1, sum(shares)) if shares else 1.0
     own = own_candidates(graph, common, largest)
     nested = cut_lineage(own_edges(graph.where("text is not null"), [p for p, _ in own], common, len(phrases)))
-    numbers = spark.createDataFrame([*((i, p) for i, p in enumerate(phrases))], "p int, phrase string")
+    numbers = spark.createDataFrame(list(enumerate(phrases)), "p int, phrase string")
     seeds = without_leads(counts, leads).join(F.broadcast(numbers), "phrase").where("subject is not null").groupBy("p", "subject").agg(F.sum("n").alias("n"))
-    nodes = spark.createDataFrame([*((i, None) for i in range(len(phrases))), *((i, k) for i, (_, k) in enumerate(own, len(phrases)))], "p int, df long")
-    unknown = graph.where("own is not null").select("doc_id")  # the others hear these phrases, but teach them nothing
     ids = F.array_distinct(F.transform("spans", lambda x: x["p"]))
-    edges = graph.where("size(spans) > 0").select("doc_id", ids.alias("ps")).unionByName(nested.where("size(spans) > 0").join(unknown, "doc_id", "left_semi").select("doc_id", ids.alias("ps")))
-    row = unknown.agg(F.count(F.lit(1)).alias("n")).crossJoin(rated.join(unknown, "doc_id", "left_semi").agg(F.count_distinct("doc_id").alias("k"))).first()
-    found = propagate(edges, seeds, rated, nodes, unknown, row.k, row.n, largest)
+    fixed = seeded(cut_lineage(seeds), graph.where("size(spans) > 0").select("doc_id", ids.alias("ps")), rated)
+    nodes = spark.createDataFrame([(i, k) for i, (_, k) in enumerate(own, len(phrases))], "p int, df long")
+    unknown = graph.where("own is not null").select("doc_id")  # other texts hear their phrases, but teach them nothing
+    n_texts, n_rated = unknown.count(), rated.join(unknown, "doc_id", "left_semi").select("doc_id").distinct().count()
+    edges = nested.where("size(spans) > 0").join(unknown, "doc_id", "left_semi").select("doc_id", ids.alias("ps"))
+    found = fixed.unionByName(propagate(cut_lineage(edges), rated, nodes, n_rated, n_texts, largest)) if own else fixed
+    found = cut_lineage(found)
     docs = document_subjects(graph.select("doc_id", "spans", F.col("text").isNotNull().alias("again")).where("not again").drop("again"), nested.unionByName(graph.where("text is not null").select("doc_id", "spans")), found, rated)
     acts = named.where("size(ps) > 0").select("id", F.explode("ps").alias("p")).join(F.broadcast(found), "p").select("id", "subject")
     acts = acts.unionByName(named.where("size(ps) = 0").select("id", F.explode("seeds").alias("subject")))

@@ -93,15 +93,22 @@ def test_pairs_with_short_words(spark):
 
 
 def test_rounds_of_propagation(spark):
-    """Phrase 0 is verified by seeds; 1 and 2 are known from ratings, 3 only over the texts that share 1 and 2."""
+    """1 and 2 are known from ratings, 3 only over the texts that share 1 and 2; a rated text that has them keeps its own rating."""
     f = spark.createDataFrame
-    edges = f([(i, [1, 2] if i < 4 else [1, 2, 3] if i < 12 else [0, 4]) for i in range(20)], "doc_id long, ps array<int>")
-    seeds, ratings = f([(0, "a", 5), (0, "b", 1)], "p int, subject string, n long"), f([(i, "b") for i in range(4)] + [(19, "b")], "doc_id long, subject string")
-    nodes = f([(0, None), (1, 12), (2, 12), (3, 8), (4, 8)], "p int, df long")
-    texts = f([(i,) for i in range(12)], "doc_id long")
-    at = lambda r: {x.p: x.subject for x in s.propagate(edges, seeds, ratings, nodes, texts, 4, 12, 1.0, r).collect()}
-    assert at(1) == {0: "a", 1: "b", 2: "b"}
-    assert at(3) == {0: "a", 1: "b", 2: "b", 3: "b"}
+    edges = f([(i, [1, 2] if i < 4 else [1, 2, 3] if i < 12 else [4]) for i in range(20)], "doc_id long, ps array<int>")
+    ratings = f([(i, "b") for i in range(4)] + [(11, "c")], "doc_id long, subject string")
+    nodes = f([(1, 12), (2, 12), (3, 8), (4, 8)], "p int, df long")
+    at = lambda r: {x.p: x.subject for x in s.propagate(edges, ratings, nodes, 5, 12, 0.1, r).collect()}
+    assert at(1) == {1: "b", 2: "b"}
+    assert at(3) == {1: "b", 2: "b", 3: "b"}
+
+
+def test_seeds_speak_once(spark):
+    f = spark.createDataFrame
+    seeds = f([(0, "a", 5), (0, "b", 1), (1, "a", 2), (1, "b", 2)], "p int, subject string, n long")
+    edges = f([(i, [0, 1, 7]) for i in range(9)], "doc_id long, ps array<int>")
+    got = {x.p: x.subject for x in s.seeded(seeds, edges, f([(1, "b"), (2, "b"), (99, "a")], "doc_id long, subject string")).collect()}
+    assert got == {0: "a", 1: "b"}
 
 
 def test_ratings_are_clamped(spark):
