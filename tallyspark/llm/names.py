@@ -5,18 +5,23 @@ legal form, acronym of itself and words like 'and affiliates'. Its frequent word
 names; short forms and nicknames written out) must agree, which keeps sister companies and chapters apart. Its rare words
 may differ by typing errors: a prefix-filtered join on their q-grams (rarest first) finds candidates, and a soft token
 similarity, in which rare tokens weigh more, decides. Linked spellings are joined to components by iterated joins.
+
+Spellings are numbered by a 64-bit hash, so that the joins are on long numbers.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import permutations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallyspark.llm.spans import pairs_within
 from tallyspark.session import cut_lineage, spread
 
 Q = 4
@@ -29,25 +34,26 @@ MOST_EDITS = 1
 LEAST_SIMILARITY = 0.8
 #: A word is frequent if at least this share of the distinct spellings holds it (and 10 at least): so there are at most 1 / share * words per name.
 FREQUENT_SHARE = 0.002
+#: Words and grams of a smaller share of the spellings all count as equally rare; it bounds the lists of the others to 1 / share * words (grams) per name.
+COUNTED_SHARE = 2e-4
 
 # Fixed values.
 SMALL_WORDS = set("a an and at by for in of on the to y de".split())
 LEGAL_FORMS = set("inc incorporated corp corporation co company llc llp lp lc ltd limited liability plc pllc pc pa gmbh sa nv bv".split())
 FIRM_WORDS = set("group partners advisors strategies consulting associates esq esquire jr sr ii iii iv mr mrs ms dr".split())
 SHORT_FORMS = {
-    "adv": "advisors", "advs": "advisors", "adviser": "advisors", "advisers": "advisors", "advisor": "advisors", "all": "association", "allnce": "association", "alli": "association", "alliance": "association", "admin": "administration",
+    "adv": "advisors", "advs": "advisors", "adviser": "advisors", "advisers": "advisors", "advisor": "advisors", "admin": "administration",
     "assn": "association", "assoc": "association", "asso": "association", "auth": "authority", "bros": "brothers", "chem": "chemical", "chems": "chemical", "comm": "communications", "comms": "communications",
     "consltg": "consulting", "consult": "consulting", "conslt": "consulting", "dev": "development", "devel": "development", "dist": "district", "eng": "engineering", "engg": "engineering", "engr": "engineering",
     "engrg": "engineering", "env": "environmental", "environ": "environmental", "envtl": "environmental", "fin": "financial", "finl": "financial", "govt": "government", "grp": "group", "hldg": "holdings", "hldgs": "holdings",
     "hosp": "hospital", "ins": "insurance", "inst": "institute", "intl": "international", "lab": "laboratories", "labs": "laboratories", "med": "medical", "mfg": "manufacturing", "mfr": "manufacturing", "mgmt": "management",
     "mgt": "management", "natl": "national", "pharm": "pharmaceuticals", "pharma": "pharmaceuticals", "ptnrs": "partners", "rr": "railway", "rwy": "railway", "ry": "railway", "semi": "semiconductor", "st": "state",
     "strat": "strategies", "strategy": "strategies", "strats": "strategies", "svc": "services", "svcs": "services", "sys": "systems", "tech": "technologies", "techs": "technologies", "u": "university", "univ": "university",
-    "util": "utilities", "utils": "utilities", "cty": "county", "cnty": "county", "dept": "department", "ctr": "center", "semicon": "semiconductor", "logis": "logistics", "steelworks": "steel",
+    "util": "utilities", "utils": "utilities", "cty": "county", "cnty": "county", "dept": "department", "ctr": "center", "semicon": "semiconductor", "logis": "logistics",
 }
-GENERIC = set(SHORT_FORMS.values()) | set(
-    "airlines bankers bridge builders chapter cider city clinic college county directors energy farmers foods foundation growers guides harbor home hospital inspectors institute kelp logistics makers mills museum "
-    "northern southern eastern western lakeside nurses paper pilots port producers radio rail reed rural school shippers shipping state steel tile town trust village water".split()
-)
+#: Words for a body of members, which people use for one another ('Tile Makers Alliance of X', 'Assoc. of Tile Makers - X').
+SHORT_FORMS |= dict.fromkeys("all alli allnce alliance".split(), "association")
+GENERIC = set(SHORT_FORMS.values())
 NICKNAMES = {
     "abigail": "abby gail", "alexander": "alex sandy", "andrew": "andy drew", "anthony": "tony", "barbara": "barb babs", "benjamin": "ben benny", "catherine": "cathy", "charles": "charlie chuck chas", "christopher": "chris kit",
     "cynthia": "cindy", "daniel": "dan danny", "david": "dave davy", "deborah": "deb debbie debby debra", "donald": "don donny", "dorothy": "dot dottie", "edward": "ed eddie ned ted", "elizabeth": "liz beth betty eliza lizzie betsy",
@@ -200,17 +206,15 @@ def grams(rare: list[str]) -> set[str]:
 def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = None, usual: float = 10.0) -> float:
     """Soft weighted token similarity, 0 to 1: each word is matched with its nearest on the other side, rare words weigh more.
 
-    Words joined or divided differently count as one word.
+    weight: of words; all others have the usual one. Words joined or divided differently count as one word. More than
+    MOST_EDITS errors in all make it too small.
     """
     if not a or not b:
         return float(a == b)
     x, y = "".join(a), "".join(b)
-    joined = near(x, y)
-    if joined <= 1:
-        return 1 - joined / max(len(x), len(y))
     if len(a) != len(b):
         if abs(len(x) - len(y)) > 1 or max(len(a), len(b)) > 4:
-            return 0.0
+            return 1.0 if x == y else 0.0
         joined = min(near("".join(p), "".join(q)) for p in permutations(a) for q in permutations(b))
         return 1 - joined / max(len(x), len(y)) if joined <= 1 else 0.0
     left, total, got, edits = list(b), 0.0, 0.0, 0
@@ -222,17 +226,19 @@ def similarity(a: list[str], b: list[str], weight: dict[str, float] | None = Non
         d = near(w, best)
         edits += d
         got += n * (1 - d / max(len(w), len(best)) if d <= MOST_EDITS else 0)
-    return got / total if edits <= MOST_EDITS else min(got / total, LEAST_SIMILARITY / 2)
+    if edits > MOST_EDITS:
+        return 1.0 if x == y else min(got / total, LEAST_SIMILARITY / 2)
+    return got / total
 
 
-def components(edges: DataFrame, nodes: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """Rows (node, comp): comp is the smallest node reachable over edges (a, b). Each round is a join, written to the shared folder.
+def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """Rows (node, comp) of the nodes of edges (a, b): comp is the smallest node reachable. Each round is two joins, written to the shared folder.
 
     A round also jumps to the label of the label, so the rounds grow with the logarithm of the longest chain.
     """
     both = cut_lineage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = nodes.select(F.col("node"), F.col("node").alias("comp"))
-    linked = cut_lineage(both.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node")))
+    # the first round needs no join
+    linked = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")))
     for _ in range(most_rounds):
         heard = both.join(linked, both.b == linked.node).groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("heard"))
         stepped = linked.join(heard, "node").select("node", F.least("comp", "heard").alias("comp"), F.col("comp").alias("old"))
@@ -240,79 +246,123 @@ def components(edges: DataFrame, nodes: DataFrame, most_rounds: int = 60) -> Dat
         after = cut_lineage(stepped.join(jump, "comp", "left").select("node", F.least("comp", F.coalesce("further", "comp")).alias("comp"), "old"))
         linked = after.select("node", "comp")
         if after.where("comp < old").isEmpty():
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    return labels.join(linked.withColumnRenamed("comp", "less"), "node", "left").select("node", F.coalesce("less", "comp").alias("comp"))
+            return linked
+    raise RuntimeError("components did not settle")
 
 
-def spellings(rows: DataFrame, id_col: str, name_cols: list[str]) -> DataFrame:
-    """Rows (id, reading) of what the names of a row stand for."""
+def spellings(rows: DataFrame, id_col: str, name_cols: list[str], party: str) -> DataFrame:
+    """Rows (party, id, reading) of what the names of a row stand for, distinct within a row."""
     kind = rows.schema[id_col].dataType.simpleString()
 
-    def read(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = [(i, r) for i, *names in f.itertuples(index=False) for r in {r for n in names if isinstance(n, str) for r in readings(n)}]
-            yield pd.DataFrame(out, columns=["id", "reading"])
-
-    return rows.where(F.col(id_col).isNotNull()).select(id_col, *name_cols).mapInPandas(read, f"id {kind}, reading string")
-
-
-def frequent_words(readings_df: DataFrame, share: float = FREQUENT_SHARE) -> list[str]:
-    """Words in at least that share of the distinct readings: a list of bounded length whatever the input."""
-
-    def split(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"word": [w for r in f.reading for w in set(words_of(r)) if len(w) > 1]})
-
-    distinct = spread(readings_df.select("reading").distinct())
-    n = distinct.count()
-    return [r[0] for r in distinct.mapInPandas(split, "word string").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= max(10, share * n)).select("word").collect()]
-
-
-def linked_rows(rows: DataFrame, id_col: str = "id", name_cols: tuple[str, ...] = ("name", "normalized_name")) -> DataFrame:
-    """Rows (id, comp): comp is the same for all rows whose names stand for one party. Rows without any name are left out."""
-    sc = rows.sparkSession.sparkContext
-    read = cut_lineage(spellings(rows, id_col, list(name_cols)))
-    known = sc.broadcast(frequent_words(read))
-
-    def key(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(known.value)
-        for f in frames:
-            out = []
-            for r in f.reading:
-                out += [(r, signature, rare, f"{signature}|{' '.join(sorted(rare))}") for signature, rare in reader.read_all(r)]
-            yield pd.DataFrame(out, columns=["reading", "signature", "rare", "key"])
-
-    keyed = cut_lineage(spread(read.select("reading").distinct()).mapInPandas(key, "reading string, signature string, rare array<string>, key string"))
-    row_keys = cut_lineage(read.join(keyed.select("reading", "key"), "reading").select("id", "key").distinct())
-    keys = keyed.groupBy("key").agg(F.min("signature").alias("signature"), F.min("rare").alias("rare"))
-    letters = "concat('=', array_join(array_sort(split(array_join(rare, ''), '')), ''))"
-    cut = F.expr(f"array_distinct(array_append(flatten(transform(rare, w -> transform(sequence(1, length(w) + {5 - Q}), i -> substring(concat('^^', w, '$$'), i, {Q})))), {letters}))")
-    exploded = cut_lineage(keys.where(F.size("rare") > 0).select("key", "signature", F.explode(cut).alias("gram")))
-    often = exploded.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    ranked = exploded.join(often, "gram").groupBy("key", "signature").agg(F.slice(F.sort_array(F.collect_list(F.struct("df", "gram"))), 1, PREFIX).alias("g"))
-    prefix = cut_lineage(ranked.select("key", F.explode("g.gram").alias("gram"), F.xxhash64("signature").alias("s")))
-    side = lambda n: prefix.select("gram", "s", F.col("key").alias(n))
-    candidates = side("a").join(side("b"), ["gram", "s"]).where("a < b").select("a", "b").distinct()
-
-    def verify(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = zip(*(c.to_pylist() for c in b.columns[1:]))
+            found = [sorted({r for n in row if isinstance(n, str) for r in readings(n)}) for row in names]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], names=["id", "found"])
+
+    read_rows = rows.where(F.col(id_col).isNotNull()).select(id_col, *name_cols).mapInArrow(read, f"id {kind}, found array<string>")
+    return read_rows.select(F.lit(party).alias("party"), "id", F.explode("found").alias("reading"))
+
+
+def counted_words(readings_df: DataFrame) -> dict[str, tuple[int, dict[str, int]]]:
+    """Of each party, the number of distinct readings, and the words in a share of COUNTED_SHARE of them (and 3 at least) with in how many: lists of bounded length whatever the input."""
+
+    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            words = [[w for w in set(words_of(r)) if len(w) > 1] for r in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.string()))], names=["party", "words"])
+
+    distinct = cut_lineage(spread(readings_df.select("party", "reading").distinct()))
+    sizes = {r[0]: r[1] for r in distinct.groupBy("party").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per = distinct.mapInArrow(split, "party string, words array<string>").select("party", F.explode("words").alias("word")).groupBy("party", "word").agg(F.count(F.lit(1)).alias("n"))
+    out = {p: (n, {}) for p, n in sizes.items()}
+    for r in per.where(F.col("n") >= _least(sizes)).collect():
+        out[r.party][1][r.word] = r.n
+    return out
+
+
+def _least(sizes: dict[str, int]):
+    return F.coalesce(*[F.when(F.col("party") == p, float(max(3, COUNTED_SHARE * n))) for p, n in sizes.items()], F.lit(3.0))
+
+
+def frequent_words(n: int, counts: dict[str, int], share: float = FREQUENT_SHARE) -> list[str]:
+    return sorted(w for w, k in counts.items() if k >= max(10, share * n))
+
+
+def word_weights(n: int, counts: dict[str, int]) -> tuple[dict[str, float], float]:
+    """(weights of the counted words, weight of all rarer ones): the logarithm of how many spellings there are to one with the word."""
+    return {w: max(0.1, math.log(n / k)) for w, k in counts.items()}, max(1.0, math.log(min(n, 1 / COUNTED_SHARE) if n > 1 else 2))
+
+
+@lru_cache(maxsize=8)
+def _reader(frequent: tuple[str, ...]) -> Reader:
+    """One per worker, not one per task."""
+    return Reader(frequent)
+
+
+def linked_rows(tables: dict[str, DataFrame], id_col: str = "id", name_cols: tuple[str, ...] = ("name", "normalized_name")) -> DataFrame:
+    """Rows (party, id, comp): comp is the same for all rows of a table whose names stand for one party. Rows without any name are left out.
+
+    tables: by the name of the party, all worked on in one plan. Rows of different tables are never linked.
+    """
+    sc = next(iter(tables.values())).sparkSession.sparkContext
+    every = [spellings(df, id_col, list(name_cols), party) for party, df in tables.items()]
+    read = every[0]
+    for df in every[1:]:
+        read = read.unionByName(df)
+    read = cut_lineage(read)
+    counted = counted_words(read)
+    frequent = {p: tuple(frequent_words(n, c)) for p, (n, c) in counted.items()}
+    known = sc.broadcast((frequent, {p: word_weights(n, c) for p, (n, c) in counted.items()}))
+
+    def key(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = {n: [] for n in ("party", "id", "key", "grams")}
+            for party, i, r in zip(*(c.to_pylist() for c in b.columns)):
+                for signature, rare in _reader(known.value[0][party]).read_all(r):
+                    for n, v in zip(out, (party, i, f"{signature}|{' '.join(sorted(rare))}", sorted(grams(rare)) if rare else [])):
+                        out[n].append(v)
+            types = (pa.string(), b.schema.field(1).type, pa.string(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], names=list(out))
+
+    kind = read.schema["id"].dataType.simpleString()
+    keyed = spread(read).mapInArrow(key, f"party string, id {kind}, key string, grams array<string>").withColumn("k", F.xxhash64("party", "key"))
+    keyed = cut_lineage(keyed.select("party", "id", "key", "grams", "k"))
+    keys = cut_lineage(keyed.groupBy("k").agg(F.first("party").alias("party"), F.first("key").alias("key"), F.first("grams").alias("grams")))
+    sizes = {p: n for p, (n, _) in counted.items()}
+    often = keys.select("party", F.explode("grams").alias("gram")).groupBy("party", "gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= _least(sizes)).collect()
+    common = sc.broadcast({(r.party, r.gram): r.n for r in often})
+
+    def prefix(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            df = common.value
+            first = [sorted(gs, key=lambda g: (df.get((party, g), 0), g))[:PREFIX] for party, gs in zip(b.column(1).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(first, pa.list_(pa.string()))], names=["k", "party", "key", "grams"])
+
+    cut = keys.where("size(grams) > 0").mapInArrow(prefix, "k long, party string, key string, grams array<string>")
+    # only spellings with the same frequent words meet, and large groups of them in blocks
+    cut = cut.select("*", F.explode("grams").alias("gram")).select(F.xxhash64("party", F.substring_index("key", "|", 1), "gram").alias("k"), F.struct("k", "party", "key").alias("id"))
+    candidates = pairs_within(cut).distinct()
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
             ok = []
-            for a, b in zip(f.a, f.b):
-                (sa, ra), (sb, rb) = a.rsplit("|", 1), b.rsplit("|", 1)
-                ok.append(sa == sb and similarity(ra.split(), rb.split()) >= LEAST_SIMILARITY)
-            yield f[ok]
+            for x, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                (sa, ra), (sb, rb) = x["key"].rsplit("|", 1), y["key"].rsplit("|", 1)
+                ok.append(x["party"] == y["party"] and sa == sb and similarity(ra.split(), rb.split(), *known.value[1][x["party"]]) >= LEAST_SIMILARITY)
+            yield pa.RecordBatch.from_arrays([c.field("k") for c in b.columns], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    similar = spread(candidates).mapInPandas(verify, "a string, b string")
+    similar = candidates.mapInArrow(verify, "a long, b long")
     # the spellings of one row stand for one party
-    first = row_keys.groupBy("id").agg(F.min("key").alias("a"))
-    same_row = row_keys.join(first, "id").where("key <> a").select("a", F.col("key").alias("b")).distinct()
-    comps = components(similar.unionByName(same_row), keys.select(F.col("key").alias("node")))
-    return first.join(comps, first.a == comps.node).select("id", "comp")
+    row_keys = keyed.select("party", "id", "k")
+    first = row_keys.groupBy("party", "id").agg(F.min("k").alias("node"), F.collect_set("k").alias("ks"))
+    first = cut_lineage(first)
+    same_row = first.where("size(ks) > 1").select(F.col("node").alias("a"), F.explode("ks").alias("b")).where("a <> b").distinct()
+    comps = components(similar.unionByName(same_row))
+    return first.join(comps, "node", "left").select("party", "id", F.coalesce("comp", "node").alias("comp"))
 
 
 def linked_pairs(comps: DataFrame) -> DataFrame:
-    """Distinct pairs (id_a, id_b), smaller first, of the rows of one party."""
-    side = lambda n: comps.select("comp", F.col("id").alias(n))
-    return side("id_a").join(side("id_b"), "comp").where("id_a < id_b").select("id_a", "id_b")
+    """Distinct pairs (party, id_a, id_b), smaller id first, of the rows of one party; large parties meet in blocks."""
+    rows = comps.select(F.struct("party", "comp").alias("k"), F.struct("id", "party").alias("id")).distinct()
+    return pairs_within(rows).select("a.party", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))

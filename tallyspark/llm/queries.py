@@ -39,16 +39,19 @@ def p3_unlisted(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(missed, ["activity_id", "field_name", "pos"], "left_semi").groupBy("field_name", "entry").agg(F.count(F.lit(1)).alias("n_entries"))
 
 
+def _parties(spark: SparkSession, d: str) -> DataFrame:
+    return names.linked_rows({party: table(spark, d, t, "id", "name", "normalized_name") for party, t in (("client", "clients"), ("registrant", "registrants"))})
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    one = lambda party, t: names.linked_pairs(names.linked_rows(table(spark, d, t, "id", "name", "normalized_name"))).select(F.lit(party).alias("party"), "id_a", "id_b")
-    return one("client", "clients").unionByName(one("registrant", "registrants"))
+    return names.linked_pairs(_parties(spark, d))
 
 
 def p5_parties(spark: SparkSession, d: str) -> DataFrame:
-    """One row per client with the smallest id of its party."""
-    linked = names.linked_rows(table(spark, d, "clients", "id", "name", "normalized_name"))
-    party = linked.groupBy("comp").agg(F.min("id").alias("party_id"), F.count(F.lit(1)).alias("n_rows"))
-    return linked.join(party, "comp").select("id", "party_id", "n_rows")
+    """One row per client and registrant with the smallest id of its party."""
+    linked = _parties(spark, d)
+    smallest = linked.groupBy("party", "comp").agg(F.min("id").alias("party_id"), F.count(F.lit(1)).alias("n_rows"))
+    return linked.join(smallest, ["party", "comp"]).select("party", "id", "party_id", "n_rows")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
