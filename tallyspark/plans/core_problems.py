@@ -82,7 +82,9 @@ def p6_revisions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return late_events(_paned(spark, d)[0]).withColumnRenamed("key", "sopr_filing_id")
+    paned, periods = _paned(spark, d)
+    panes = pane_partials(paned)
+    return late_events(paned, panes, compose_windows(panes, periods)).withColumnRenamed("key", "sopr_filing_id")
 
 
 def _state(spark: SparkSession, d: str) -> DataFrame:

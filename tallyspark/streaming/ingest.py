@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyspark.operators.versioning import GROUP, mark_current, only_new
+from tallyspark.session import cut_lineage
 from tallyspark.sources.sinks import Store
 
 
@@ -22,16 +23,21 @@ def sweep_start(last_posted: date | None, today: date, overlap: int = 7, slack:
 def load_batch(store: Store, rows: DataFrame) -> DataFrame:
     """Filings (schemas.FILINGS) that are not stored yet, added, with is_current worked out anew for the groups they touch; returns the touched periods.
 
-    Late rows are never dropped: an amendment that comes years later supersedes what it amends.
+    Late rows are never dropped: an amendment that comes years later supersedes what it amends. Only the partitions of the
+    touched periods are read and written, besides the stored keys.
     """
-    old = store.read("filings")
-    new = only_new(rows, old, ["sopr_filing_id"])
+    new = cut_lineage(only_new(rows, store.read("filings"), ["sopr_filing_id"]))
     touched = new.select(*GROUP).distinct()
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"t.{c}")) for c in GROUP]
-    on = same[0] & same[1] & same[2] & same[3]
+    values = store.partition_values("filings", new)
+    if not values:
+        return touched.select("year", "quarter").distinct()
+    old = store.of_partitions("filings", values)
+    on = F.lit(True)
+    for c in GROUP:
+        on = on & F.col(f"a.{c}").eqNullSafe(F.col(f"t.{c}"))
     kept = old.alias("a").join(touched.alias("t"), on, "left_anti")
     again = mark_current(old.alias("a").join(touched.alias("t"), on, "left_semi").unionByName(new.select(*old.columns)))
-    store.replace("filings", kept.unionByName(again.select(*old.columns)))
+    store.replace_partitions("filings", kept.unionByName(again.select(*old.columns)), values)
     return touched.select("year", "quarter").distinct()
 
 

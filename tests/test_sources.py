@@ -2,6 +2,7 @@ import json
 from datetime import date
 
 import fake_api
+import pytest
 from tallyspark import schemas
 from tallyspark.sources import api, sinks
 from tallyspark.streaming.ingest import load_batch, stream_filings, sweep_start
@@ -57,6 +58,37 @@ def test_store_and_incremental_load(spark, tmp_path):
     assert sinks.Store(spark, str(tmp_path / "slim")).read("filings").count() == 3
 
 
+def test_store_as_uri_appends_and_partitions(spark, tmp_path):
+    s = sinks.Store(spark, "file://" + str(tmp_path / "store"))
+    one = lambda i, year: spark.createDataFrame([(i, f"k{i}", 1, 1, year, 1, 1.0, None, "2020-01-01", "Q1", None)], FILING)
+    for i in range(3):
+        s.append("filings", one(i, 2020 + i))
+    assert sorted(r.id for r in s.read("filings").collect()) == [0, 1, 2]
+    before = {p.name for p in (tmp_path / "store/filings/rows").iterdir()}
+    load_batch(s, one(7, 2021))
+    new = [p for p in (tmp_path / "store/filings/rows").iterdir() if p.name not in before]
+    assert [p.name for x in new for p in x.iterdir() if p.is_dir()] == ["year=2021"]  # nothing else is written again
+    assert {r.id: r.is_current for r in s.read("filings").collect()} == {0: None, 1: False, 2: None, 7: True}
+    s.append("filings", one(9, None))
+    s.upsert("filings", one(9, 2022), ["sopr_filing_id"])
+    assert [(r.id, r.year) for r in s.read("filings").where("id = 9").collect()] == [(9, 2022)]
+    other = spark.createDataFrame([(1, "x")], "k int, v string")
+    s.append("other", other)
+    s.append("other", other)
+    s.upsert("other", spark.createDataFrame([(1, "y")], "k int, v string"), ["k"])
+    assert [tuple(r) for r in s.read("other").collect()] == [(1, "y")]
+    with pytest.raises(Exception, match="exist"):  # of two writers one fails
+        s._commit("other", 0, [])
+
+
+def test_store_joins_many_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MOST_PARTS", 2)
+    s = sinks.Store(spark, str(tmp_path / "store"))
+    for i in range(4):
+        s.append("other", spark.createDataFrame([(i,)], "k int"))
+    assert sorted(r.k for r in s.read("other").collect()) == [0, 1, 2, 3] and len(s._latest("other")[1]) == 2
+
+
 def test_stream_of_filings(spark, tmp_path):
     s = sinks.Store(spark, str(tmp_path / "store"))
     for rows in (((1, "a", "2020-04-01"),), ((1, "a", "2020-04-01"), (2, "b", "2021-01-01")), ((3, "c", "2020-05-01"),)):
