@@ -19,6 +19,8 @@ from tallyspark.session import spread
 
 #: Reference entries up to which the list is broadcast to all workers.
 MOST_BROADCAST = 50_000
+#: Keys that one task searches in one shard of a longer list.
+KEYS_PER_BLOCK = 200_000
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -196,7 +198,7 @@ def closest(entries: DataFrame, reference: DataFrame, key_col: str = "key", shar
         return search(BKTree(own.ref_key), wanted.key)
 
     # each shard of the list meets the keys in blocks, so no task holds all of either side
-    blocks = 64
+    blocks = blocks_of(keys)
     every = keys.select("key", F.pmod(F.xxhash64("key"), F.lit(blocks).cast("long")).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     parts = ref.select("ref_key", F.pmod(F.xxhash64("ref_key"), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
     found = every.groupBy("shard", "block").cogroup(parts.groupBy("shard", "block")).applyInPandas(shard, schema)
@@ -256,18 +258,23 @@ def agency_key(name: str) -> str:
     return CHAMBERS.get(s, s)
 
 
+Row = tuple[int, int | None, str | None, int | None, str]  # ref_id, congress, number, year, title key
+Ranked = tuple[int, int, str, list[Row]]  # level of the evidence, distance, key, rows
+BY_LAW, BY_TITLE, NEAR_TITLE, BY_SHORT, BY_NUMBER = range(5)
+
+
 class Bills:
-    """The listed bills: found by public law, title (exact, acronym or within the tolerance), or number."""
+    """Some of the listed bills: found by public law, title (exact, within the tolerance, or its short form), or number."""
 
-    def __init__(self, rows: list[tuple]):
-        self.by_title, self.by_number, self.by_law, self.by_acronym = (defaultdict(list) for _ in range(4))
+    def __init__(self, rows: Iterable[tuple]):
+        self.by_title, self.by_number, self.by_law, self.by_short = (defaultdict(list) for _ in range(4))
         for ref_id, title, number, congress, law in rows:
             year = YEAR.search(title or "")
-            row = (ref_id, congress, self.number(number), int(year[1]) if year else None)
+            key = title_key(title) if title else ""
+            row = (ref_id, congress, bill_number(number), int(year[1]) if year else None, key)
             if title:
-                key = title_key(title)
                 self.by_title[key].append(row)
-                self.by_acronym["".join(w[0] for w in key.split()) + "a"].append((key, row))
+                self.by_short["".join(w[0] for w in key.split()) + "a"].append(row)
             if row[2]:
                 self.by_number[row[2]].append(row)
             if m := LAW.search(plain(law or "")):
@@ -276,56 +283,69 @@ class Bills:
 
     def look_up(self, entries: Iterable[str | None]) -> None:
         """Search the titles of entries that are no listed title, all at once."""
-        keys = {self.parts(plain(e or ""))[2] for e in entries}
+        keys = {named_parts(plain(e or ""))[2] for e in entries}
         self.near |= nearest(self.tree, [k for k in keys if k and k not in self.by_title and k not in self.near])
 
-    def parts(self, s: str) -> tuple:
-        """(named Congress, year, title key) of a tidy entry."""
-        rest = BILL.sub(" ", s)
-        congress = CONGRESS.search(rest)
-        rest = CONGRESS.sub(" ", rest)
-        year = YEAR.search(rest)
-        return int(congress[1]) if congress else None, int(year[1]) if year else None, title_key(rest)
-
-    @staticmethod
-    def number(s: str | None) -> str | None:
-        m = BILL.search(plain(s or ""))
-        return m and ("h" if m[1][0] == "h" else "s") + m[2]
-
-    def find(self, entry: str | None) -> list[tuple[int, int, bool]]:
-        """(ref_id, congress, whether only for filings of that Congress) of what the entry may mean."""
+    def find(self, entry: str | None) -> Ranked | None:
+        """The rows that the best evidence in an entry points to. Of several parts of the list, the least of the results holds."""
         s = plain(entry or "")
         if not s:
-            return []
+            return None
         if m := LAW.search(s):
-            return [(r[0], r[1], False) for r in self.by_law[int(m[1]), int(m[2])]] if (int(m[1]), int(m[2])) in self.by_law else []
-        bill = self.number(s)
-        congress, year, key = self.parts(s)
-        of = congress or (congress_of(year) if year else None)
-        rows = self.by_title.get(key) or []
-        if not rows and key and (hit := self.near[key] if key in self.near else nearest(self.tree, [key])[key]):
-            rows = self.by_title[hit[1]]
-        if not rows and re.fullmatch(r"[a-z]{3,6}", key.replace(" ", "")) and " " not in key:
-            titles = self.by_acronym.get(key, [])
-            rows = [r for _, r in titles]
-            if len({t for t, _ in titles}) > 1 and of is None and not bill:  # one short form of several titles: that of the filing's Congress
-                return [(r[0], r[1], True) for r in rows]
-        if rows:
-            if year and any(r[3] for r in rows):
-                rows = [r for r in rows if r[3] == year]
-            elif of is not None:
-                rows = [r for r in rows if r[1] == of]
-            if bill and len(rows) > 1:
-                rows = [r for r in rows if r[2] == bill] or rows
-            bare = len(rows) > 1 and of is None
-            return [(r[0], r[1], bare) for r in rows]
-        if bill:
-            return [(r[0], r[1], of is None) for r in self.by_number.get(bill, []) if of in (None, r[1])]
-        return []
+            rows = self.by_law.get((int(m[1]), int(m[2])))
+            return (BY_LAW, 0, "", rows) if rows else None
+        key = named_parts(s)[2]
+        if rows := self.by_title.get(key):
+            return (BY_TITLE, 0, key, rows)
+        if key and (hit := self.near[key] if key in self.near else nearest(self.tree, [key])[key]):
+            return (NEAR_TITLE, *hit, self.by_title[hit[1]])
+        if re.fullmatch(r"[a-z]{3,6}", key) and (rows := self.by_short.get(key)):
+            return (BY_SHORT, 0, "", rows)
+        number = bill_number(s)
+        if number and (rows := self.by_number.get(number)):
+            return (BY_NUMBER, 0, "", rows)
+        return None
+
+
+def named_parts(s: str) -> tuple[int | None, int | None, str]:
+    """(named Congress, year, title key) of a tidy entry."""
+    rest = BILL.sub(" ", s)
+    at = CONGRESS.search(rest)
+    rest = CONGRESS.sub(" ", rest)
+    year = YEAR.search(rest)
+    return int(at[1]) if at else None, int(year[1]) if year else None, title_key(rest)
+
+
+def bill_number(s: str | None) -> str | None:
+    m = BILL.search(plain(s or ""))
+    return m and ("h" if m[1][0] == "h" else "s") + m[2]
+
+
+def meant(entry: str | None, level: int, rows: list[Row]) -> list[tuple[int, int | None, bool]]:
+    """(ref_id, congress, whether only for filings of that Congress) of what an entry may mean among the rows its best evidence points to."""
+    s = plain(entry or "")
+    if level == BY_LAW:
+        return [(r[0], r[1], False) for r in rows]
+    bill = bill_number(s)
+    at, year, _ = named_parts(s)
+    of = at or (congress_of(year) if year else None)
+    if level == BY_NUMBER:
+        return [(r[0], r[1], of is None) for r in rows if of in (None, r[1])]
+    if level == BY_SHORT and len({r[4] for r in rows}) > 1 and of is None and not bill:  # one short form of several titles: that of the filing's Congress
+        return [(r[0], r[1], True) for r in rows]
+    if year and any(r[3] for r in rows):
+        rows = [r for r in rows if r[3] == year]
+    elif of is not None:
+        rows = [r for r in rows if r[1] == of]
+    if bill and len(rows) > 1:
+        rows = [r for r in rows if r[2] == bill] or rows
+    return [(r[0], r[1], len(rows) > 1 and of is None) for r in rows]
 
 
 class Agencies:
-    def __init__(self, rows: list[tuple]):
+    """Some of the listed agencies: found by acronym, name (exact or within the tolerance), or an acronym behind the name."""
+
+    def __init__(self, rows: Iterable[tuple]):
         self.by_name, self.by_acronym = {}, {}
         for ref_id, name, acronym in sorted(rows, key=lambda r: -r[0]):
             if name:
@@ -338,20 +358,89 @@ class Agencies:
         """Search the names in entries that are no listed name, all at once."""
         self.near |= nearest(self.tree, [k for k in {agency_key(plain(e or "")) for e in entries} if k and k not in self.by_name and k not in self.near])
 
-    def find(self, entry: str | None) -> int | None:
+    def find(self, entry: str | None) -> Ranked | None:
         s = plain(entry or "")
+        found = lambda level, d, key, ref: (level, d, key, [(ref, None, None, None, "")])
         letters = re.sub(r"[.\s]", "", s)
         if re.fullmatch(r"[a-z]{2,8}", letters) and letters in self.by_acronym and (" " not in s or "." in s):
-            return self.by_acronym[letters]
+            return found(0, 0, "", self.by_acronym[letters])
         key = agency_key(s)
         if not key:
             return None
         if key in self.by_name:
-            return self.by_name[key]
+            return found(1, 0, "", self.by_name[key])
         if hit := self.near[key] if key in self.near else nearest(self.tree, [key])[key]:
-            return self.by_name[hit[1]]
+            return found(2, *hit, self.by_name[hit[1]])
         m = re.search(r"\(([a-z.]{2,10})\)\s*$", s)
-        return self.by_acronym.get(m[1].replace(".", "")) if m else None
+        ref = self.by_acronym.get(m[1].replace(".", "")) if m else None
+        return None if ref is None else found(3, 0, "", ref)
+
+
+_ROWS = "array<struct<ref_id:long,congress:int,number:string,year:int,title:string>>"
+_RANKED = f"field_name string, entry string, rank struct<level:int,distance:int,key:string>, rows {_ROWS}"
+_FOUND = "field_name string, entry string, fixed long, by_congress array<struct<congress:int,ref_id:long>>"
+LISTS = {"legislation": (Bills, ["ref_id", "title", "bill_no", "congress", "public_law"]), "entities": (Agencies, ["ref_id", "agency_name", "acronym"])}
+
+
+def _ranked(lists: dict[str, Bills | Agencies], f: pd.DataFrame) -> Iterator[tuple[str, str, Ranked]]:
+    for field, part in lists.items():
+        part.look_up(f.entry[f.field_name == field])
+    for field, entry in zip(f.field_name, f.entry):
+        if field in lists and (hit := lists[field].find(entry)):
+            yield field, entry, hit
+
+
+def _settled(field: str, entry: str, level: int, rows: list[Row]) -> tuple:
+    """(field_name, entry, fixed, by_congress): the smallest row meant, or the row for each Congress where the filing's decides."""
+    hits = meant(entry, level, rows) if field == "legislation" else [(r[0], 0, False) for r in rows]
+    if not any(h[2] for h in hits):
+        return field, entry, min((h[0] for h in hits), default=0), None
+    by = {c: r for r, c, _ in sorted(hits, key=lambda h: -h[0])}
+    return field, entry, 0, [{"congress": c, "ref_id": r} for c, r in sorted(by.items(), key=lambda x: (x[0] is not None, x[0]))]
+
+
+def blocks_of(keys: DataFrame) -> int:
+    return max(1, -(-keys.count() // KEYS_PER_BLOCK))
+
+
+def _found_by_broadcast(distinct: DataFrame, lists: dict[str, list[tuple]]) -> DataFrame:
+    known = distinct.sparkSession.sparkContext.broadcast(lists)
+
+    def look(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = {field: LISTS[field][0](rows) for field, rows in known.value.items()}
+        for f in frames:
+            yield pd.DataFrame([_settled(field, entry, hit[0], hit[3]) for field, entry, hit in _ranked(parts, f)], columns=["field_name", "entry", "fixed", "by_congress"])
+
+    return spread(distinct).mapInPandas(look, _FOUND)
+
+
+def _found_in_shards(distinct: DataFrame, tables: dict[str, DataFrame], shards: int) -> DataFrame:
+    """Every shard of a list gives the rows of its best evidence; of all shards the best evidence counts, with its rows of all shards."""
+    blocks = blocks_of(distinct)
+    out = None
+    for field, table in tables.items():
+        kind, cols = LISTS[field]
+        own = distinct.where(F.col("field_name") == field).select("entry", F.pmod(F.xxhash64("entry"), F.lit(blocks)).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+        ref = table.select(*cols, F.pmod(F.xxhash64(cols[0]), F.lit(shards)).cast("int").alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+
+        def search(_: tuple, asked: pd.DataFrame, part: pd.DataFrame, field=field, kind=kind, cols=cols) -> pd.DataFrame:
+            rows = [tuple(x) for x in part[cols].astype(object).where(part[cols].notna(), None).itertuples(index=False)]
+            hits = _ranked({field: kind(rows)}, asked.assign(field_name=field))
+            dicts = lambda rs: [dict(zip(("ref_id", "congress", "number", "year", "title"), r)) for r in rs]
+            return pd.DataFrame([(f, e, {"level": h[0], "distance": h[1], "key": h[2]}, dicts(h[3])) for f, e, h in hits], columns=["field_name", "entry", "rank", "rows"])
+
+        found = own.groupBy("shard", "block").cogroup(ref.groupBy("shard", "block")).applyInPandas(search, _RANKED)
+        out = found if out is None else out.unionByName(found)
+    best = out.groupBy("field_name", "entry").agg(F.min("rank").alias("best"), F.collect_list(F.struct("rank", "rows")).alias("x"))
+    best = best.select("field_name", "entry", F.col("best.level").alias("level"), F.flatten(F.transform(F.filter("x", lambda x: x["rank"] == F.col("best")), lambda x: x["rows"])).alias("rows"))
+
+    def settle(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = lambda v: None if v is None or v != v else int(v)
+        for f in frames:
+            rows = [[(int(r["ref_id"]), whole(r["congress"]), r["number"], whole(r["year"]), r["title"]) for r in rs] for rs in f["rows"]]
+            yield pd.DataFrame([_settled(*x) for x in zip(f.field_name, f.entry, f.level, rows)], columns=["field_name", "entry", "fixed", "by_congress"])
+
+    return best.mapInPandas(settle, _FOUND)
 
 
 def resolve_entries(rules: DataFrame, years: DataFrame, bills: DataFrame, agencies: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
@@ -360,38 +449,18 @@ def resolve_entries(rules: DataFrame, years: DataFrame, bills: DataFrame, agenci
     Distinct entries are looked up once and joined back. rules: activity_id, legislation, entities. years: activity_id,
     year (of the filing; without one, an entry that needs the Congress is not listed). A short form that several titles of one
     Congress have is read as that of the smallest ref_id. Null arrays give no rows, null,
-    empty and vague entries are not listed. The two lists are fixed tables of checked size.
+    empty and vague entries are not listed. Lists of up to most_broadcast rows are broadcast; longer ones are cut into shards
+    of that size, with the same result.
     """
-    sc = rules.sparkSession.sparkContext
-    lists = [[tuple(r) for r in t.limit(most_broadcast + 1).collect()] for t in (bills.select("ref_id", "title", "bill_no", "congress", "public_law"), agencies.select("ref_id", "agency_name", "acronym"))]
-    if max(map(len, lists)) > most_broadcast:
-        raise ValueError(f"a list of more than {most_broadcast} rows is searched in shards: see closest()")
-    known = sc.broadcast(lists)
+    tables = {field: t.select(*LISTS[field][1]).where("ref_id is not null") for field, t in (("legislation", bills), ("entities", agencies))}
     one = lambda c: rules.where("activity_id is not null").select("activity_id", F.lit(c).alias("field_name"), F.posexplode(c).alias("p", "entry"))
     entries = one("legislation").unionByName(one("entities"))
-
-    def look(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b, a = Bills(known.value[0]), Agencies(known.value[1])
-        for f in frames:
-            b.look_up(f.entry[f.field_name != "entities"])
-            a.look_up(f.entry[f.field_name == "entities"])
-            out = []
-            for field, entry in zip(f.field_name, f.entry):
-                if field == "entities":
-                    hits = [(r, 0, False)] if (r := a.find(entry)) is not None else []
-                else:
-                    hits = b.find(entry)
-                if hits and not any(h[2] for h in hits):
-                    out.append((field, entry, min(h[0] for h in hits), None))
-                elif hits:
-                    by = {}
-                    for r, c, _ in sorted(hits, reverse=True):
-                        by[c] = r
-                    out.append((field, entry, 0, [{"congress": c, "ref_id": r} for c, r in sorted(by.items())]))
-            yield pd.DataFrame(out, columns=["field_name", "entry", "fixed", "by_congress"])
-
-    distinct = spread(entries.where("entry is not null").select("field_name", "entry").distinct())
-    found = distinct.mapInPandas(look, "field_name string, entry string, fixed long, by_congress array<struct<congress:int,ref_id:long>>")
+    distinct = entries.where("entry is not null").select("field_name", "entry").distinct()
+    lists = {field: [tuple(r) for r in t.limit(most_broadcast + 1).collect()] for field, t in tables.items()}
+    if max(map(len, lists.values())) <= most_broadcast:
+        found = _found_by_broadcast(distinct, lists)
+    else:
+        found = _found_in_shards(distinct, tables, max(-(-t.count() // most_broadcast) for t in tables.values()))
     year = years.where("activity_id is not null").groupBy("activity_id").agg(F.max("year").alias("year"))
     joined = entries.join(found, ["field_name", "entry"], "left")
     plain_rows = joined.where("by_congress is null").select("activity_id", "field_name", (F.col("p") + 1).alias("pos"), F.coalesce("fixed", F.lit(0).cast("long")).alias("ref_id"))

@@ -57,8 +57,8 @@ def test_shards_give_what_one_tree_gives(spark):
     assert k.closest(e, l, most_broadcast=50).count() == len(one) and k.closest(e.limit(0), l).count() == 0 and k.closest(e, l.limit(0)).where("ref_key is not null").count() == 0
 
 
-@pytest.fixture(scope="module")
-def resolved(spark):
+@pytest.fixture(scope="module", params=[50_000, 2], ids=["broadcast", "shards"])
+def resolved(spark, request):
     rules = [(i, [x], None, 5) for i, (x, _, _) in enumerate(LAWS)] + [(1000, None, list(NAMES), 5), (1001, [], [], 5), (None, ["H.R. 10"], None, 5)]
     years = [(i, y) for i, (_, y, _) in enumerate(LAWS)]
     frame = spark.createDataFrame
