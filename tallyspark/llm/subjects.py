@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 
@@ -58,7 +59,9 @@ SPARSE = 0.25
 SAME_LANGUAGE = 0.15
 SENTENCE = re.compile(r"[.?!…][\"”’)\]»]*\s+|[\r\n]+")
 PIECE = re.compile(r"[;,/\r\n]|\sand\s", re.I)
-WORD = re.compile(r"[^\W_]+|\x00")
+DELIMITER = re.compile(r"[;,/\r\n()\"“”]|\.(?=\s|$)|\s[-–—]\s|\sand\s")
+LETTERS, DIGIT = re.compile(r"[^\W_]+"), re.compile(r"\d")
+WORD_OR_CUT = {cut: re.compile(r"[^\W_]+|" + cut.pattern, cut.flags) for cut in (SENTENCE, PIECE)}
 SPANS = "array<struct<p:int,s:int,b:int,e:int>>"
 
 
@@ -72,13 +75,39 @@ def coded(activities: DataFrame, areas: DataFrame) -> DataFrame:
     return activities.select("id", "description", code_key(F.col("issue_code")).alias("code")).join(codes, "code", "left").select("id", "description", "seeds")
 
 
-def phrase_counts(records: DataFrame) -> DataFrame:
-    """Rows (phrase, subject, n) of the pieces of descriptions between delimiters; subject null without a seed."""
-    pieces = F.split(F.lower("description"), r"(?U)[;,/\r\n()\"“”]|\.(?=\s|$)|\s[-–—]\s|\sand\s")
-    pieces = F.transform(pieces, lambda x: F.trim(F.regexp_replace(x, r"(?U)[^\p{L}\p{N}]+", " ")))
-    pieces = F.filter(F.array_distinct(pieces), lambda x: (x != "") & ~x.rlike(r"\d") & (F.length(x) <= 80))
-    rows = records.where("description is not null").select(F.explode(pieces).alias("phrase"), "seeds")
-    return rows.select("phrase", F.explode_outer("seeds").alias("subject")).groupBy("phrase", "subject").agg(F.count(F.lit(1)).alias("n"))
+def seed_counts(records: DataFrame) -> DataFrame:
+    """Rows (what, text, subject, n) of the descriptions of coded activities, counted in each task before the shuffle.
+
+    what: 'phrase', the pieces between delimiters with the subjects of their seeds (null without one); 'word', in how many
+    descriptions; 'size', the descriptions of each subject.
+    """
+
+    def flush(phrases: Counter, words: Counter, sizes: Counter) -> pa.RecordBatch:
+        text = [*(x for x, _ in phrases), *words, *[""] * len(sizes)]
+        subject = [*(k for _, k in phrases), *[None] * len(words), *sizes]
+        what = ["phrase"] * len(phrases) + ["word"] * len(words) + ["size"] * len(sizes)
+        n = [*phrases.values(), *words.values(), *sizes.values()]
+        return pa.RecordBatch.from_arrays([pa.array(what), pa.array(text), pa.array(subject, pa.string()), pa.array(n, pa.int64())], names=["what", "text", "subject", "n"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [Counter(), Counter(), Counter()]
+        for b in batches:
+            for part in _pieces(b):
+                for text, seeds in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    low, seeds = text.lower(), seeds or (None,)
+                    pieces = {" ".join(LETTERS.findall(x)) for x in DELIMITER.split(low)}
+                    seen[0].update([(x, k) for x in pieces if x and len(x) <= 80 and not DIGIT.search(x) for k in seeds])
+                    seen[1].update(set(LETTERS.findall(low)))
+                    seen[2].update(seeds)
+                if len(seen[0]) + len(seen[1]) > 300_000:
+                    yield flush(*seen)
+                    for x in seen:
+                        x.clear()
+        if seen[2]:
+            yield flush(*seen)
+
+    counted = records.where("description is not null").select("description", "seeds").mapInArrow(run, "what string, text string, subject string, n long")
+    return counted.groupBy("what", "text", "subject").agg(F.sum("n").alias("n"))
 
 
 def _top(df: DataFrame, key: str) -> DataFrame:
@@ -88,7 +117,7 @@ def _top(df: DataFrame, key: str) -> DataFrame:
 
 
 def learn_phrases(counts: DataFrame, sizes: dict[str, int]) -> tuple[list[str], list[str]]:
-    """The verified phrases and the leads, from phrase_counts and the number of coded activities of each subject."""
+    """The verified phrases and the leads, from the phrases of seed_counts and the number of coded activities of each subject."""
     n = sum(sizes.values())
     blanks = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
     cuts = counts.where(blanks > 0).select("phrase", "subject", "n", F.explode(F.sequence(F.lit(1), F.least(blanks, F.lit(4)))).alias("k"))
@@ -127,14 +156,23 @@ class _Mended(dict):
     """Words and what they are with a typing error mended; common words and words of phrases are none."""
 
     def __init__(self, phrases: Iterable[str], common: Iterable[str]):
-        self.known = {w for p in phrases for w in p.split()} | {"\x00"}
+        self.words = {w for p in phrases for w in p.split()} | {"\x00"}
+        self.known = set(self.words)
         self.common = set(common)
         self.by_deletion: dict[str, set[str]] = {}
-        for w in self.known:
+        for w in self.words:
             if len(w) >= 5:
                 for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w)))):
                     self.by_deletion.setdefault(x, set()).add(w)
 
+    def any(self, words: list[str]) -> bool:
+        """Whether one of the words has an error. Words found to have none are remembered as known."""
+        found = False
+        for w in set(words).difference(self.known):
+            if self[w] != w:
+                found = True
+        return found
+
     def __missing__(self, w: str) -> str:
         m = w
         if len(w) >= 5 and w not in self.known and w not in self.common:
@@ -142,7 +180,10 @@ class _Mended(dict):
             m = min(near) if near else w
         if len(self) > 300_000:
             self.clear()
+            self.known = set(self.words)
         self[w] = m
+        if m == w:
+            self.known.add(w)
         return m
 
 
@@ -192,29 +233,33 @@ def _one_error(a: str, b: str) -> bool:
     return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[:2][::-1] and x[2:] == y[2:])
 
 
-def cut_words(text: str, cut: re.Pattern) -> str:
-    """The words of a text between single blanks, with a zero character where it is cut."""
-    return " " + " ".join(WORD.findall(cut.sub(" \x00 ", text.replace("\x00", " ")).lower())) + " "
+def cut_words(text: str, cut: re.Pattern) -> list[str]:
+    """The lower-case words of a text, with a zero character where it is cut."""
+    return [w if w.isalnum() else "\x00" for w in WORD_OR_CUT[cut].findall(text.lower())]
+
+
+def between_blanks(words: Sequence[str]) -> str:
+    return f" {' '.join(words)} "
 
 
 def sentences(text: str) -> str:
-    return cut_words(text, SENTENCE)
+    return between_blanks(cut_words(text, SENTENCE))
 
 
 def description_phrases(text: str | None, finder: Finder) -> set[int]:
     """Every phrase that a description names; in pieces that name none, typing errors are mended (common words are none)."""
     if not text:
         return set()
-    plain = cut_words(text, PIECE)
+    words = cut_words(text, PIECE)
+    plain = between_blanks(words)
     hits = finder.longest(plain)
     found = {h[2] for h in hits}
-    words = plain.split()
-    if (mended := [finder.mended[w] for w in words]) != words:
+    if finder.mended.any(words):
         ends = [m.start() for m in re.finditer("\x00", plain)]
         done = {bisect(ends, h[0]) for h in hits}
-        pieces = " ".join(mended).split("\x00")
+        pieces = " ".join([finder.mended[w] for w in words]).split("\x00")
         found |= {h[2] for k, piece in enumerate(pieces) if k not in done for h in finder.longest(f" {piece.strip()} ")}
-    return found or {h[2] for h in finder.longest(cut_words(text, SENTENCE).replace("\x00 ", ""))}
+    return found or {h[2] for h in finder.longest(between_blanks([w for w in cut_words(text, SENTENCE) if w != "\x00"]))}
 
 
 def document_edges(text: str | None, finder: Finder, nested: bool = False) -> tuple[list[tuple[int, int, int, int]], int, str]:
@@ -224,16 +269,19 @@ def document_edges(text: str | None, finder: Finder, nested: bool = False) -> tu
     """
     if not text or not text.strip():
         return [], 0, ""
-    plain = sentences(text)
-    ends = [m.start() for m in re.finditer("\x00", plain)]
+    words = cut_words(text, SENTENCE)
+    plain = between_blanks(words)
     find = finder.every if nested else finder.longest
-    edges = [(p, bisect(ends, b), b, e) for b, e, p, _ in find(plain)]
-    words = plain.split()
-    if (mended := [finder.mended[w] for w in words]) != words:
+    hits, errors = find(plain), finder.mended.any(words)
+    if not hits and not errors:
+        return [], plain.count("\x00") + 1, plain
+    ends = [m.start() for m in re.finditer("\x00", plain)]
+    edges = [(p, bisect(ends, b), b, e) for b, e, p, _ in hits]
+    if errors:
         done = set() if nested else {x[1] for x in edges}
         starts = [0, *(e + 1 for e in ends)]
         old = plain.split("\x00")
-        for k, sentence in enumerate(" ".join(mended).split("\x00")):
+        for k, sentence in enumerate(" ".join([finder.mended[w] for w in words]).split("\x00")):
             if k not in done and (new := f" {sentence.strip()} ") != old[k]:
                 edges += [(p, k, starts[k] + b, starts[k] + e) for b, e, p, several in find(new) if several]
     return edges, len(ends) + 1, plain
@@ -388,12 +436,6 @@ def document_subjects(known: DataFrame, nested: DataFrame, labels: DataFrame, ra
     return per.select("doc_id", F.array_union(dealt, clamped).alias("subjects"))
 
 
-def common_words(activities: DataFrame, n: int) -> list[str]:
-    """Words in a share of COMMON of the n descriptions, which are no typing errors: a list of bounded length."""
-    words = activities.where("description is not null").select(F.explode(F.array_distinct(F.split(F.lower("description"), r"(?U)[^\p{L}\p{N}]+"))).alias("w"))
-    return [r[0] for r in words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") >= max(2 * LEAST, COMMON * n)) & (F.col("w") != "")).select("w").collect()]
-
-
 def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (rec_kind, rec_id, subject), distinct: every record with each subject it deals with.
 
@@ -405,12 +447,13 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     activities = activities.where("id is not null")
     documents = documents.where("doc_id is not null")
     records = coded(activities, areas)
-    sizes = {r[0]: r[1] for r in records.where("description is not null").select(F.explode_outer("seeds").alias("subject")).groupBy("subject").agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = cut_lineage(seed_counts(records))
+    sizes = {r[0]: r[1] for r in seen.where("what = 'size'").select("subject", "n").collect()}
     n = sum(sizes.values())
     sizes.pop(None, None)
-    counts = cut_lineage(phrase_counts(records))
+    counts = seen.where("what = 'phrase'").select(F.col("text").alias("phrase"), "subject", "n")
     phrases, leads = learn_phrases(counts, sizes)
-    common = common_words(activities, n)
+    common = [r[0] for r in seen.where((F.col("what") == "word") & (F.col("n") >= max(2 * LEAST, COMMON * n))).select("text").collect()]
     named = activity_edges(activities, areas, phrases, common)
     graph = cut_lineage(document_graph(documents, phrases, common))
     rated = labels.where("doc_id is not null and subject is not null").select("doc_id", "subject").distinct()

@@ -152,7 +152,10 @@ def test_small_subjects_in_a_skewed_corpus(spark):
     assert sum(got.get(("document", i)) == {k} for i, k in want.items()) >= 0.9 * len(want)
 
 
-def test_common_words_of_long_descriptions(spark):
+def test_words_of_long_descriptions_count(spark):
     long = "the registrant keeps watch over everything that the committees of both houses and their members discuss in these months"
-    rows = spark.createDataFrame([(i, long if i % 2 else "hogs in 2024") for i in range(20)] + [(99, None)], "id long, description string")
-    assert {"registrant", "committees", "hogs", "2024"} <= set(s.common_words(rows, 20))
+    rows = spark.createDataFrame([(i, long if i % 2 else "hogs in 2024; hogs", ["farms"] if i % 2 else None) for i in range(20)] + [(99, None, None)], "id long, description string, seeds array<string>")
+    got = {(r.what, r.text, r.subject): r.n for r in s.seed_counts(rows).collect()}
+    assert got["word", "registrant", None] == got["word", "hogs", None] == got["word", "2024", None] == 10
+    assert got["phrase", "hogs", None] == 10 and got["size", "", "farms"] == got["size", "", None] == 10
+    assert got["phrase", "their members discuss in these months", "farms"] == 10 and not any("2024" in t for w, t, _ in got if w == "phrase")
