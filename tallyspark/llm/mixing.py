@@ -2,9 +2,10 @@
 
 The total is filled with each source's target share, as far as its size times its allowed repeats goes; what such a source
 cannot give goes to the others in proportion to their targets. Each source has a weight schedule over the training run;
-its integral, inverted at a document's place in the source's cumulative tokens, is the document's training position, and
-the documents are range-sorted by it. Cumulative sums go over hash buckets of bounded size, so a source that holds most of
-the corpus is never in one task.
+its integral, inverted at a document's place in the source's cumulative tokens, is the time of the schedules at which the
+document is due; the demand of all sources up to that time, as a part of all tokens, is its training position, and the
+documents are range-sorted by it. Cumulative sums go over hash buckets of bounded size, and over blocks of these, so a source
+that holds most of the corpus is never in one task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,10 @@ from tallyspark.session import cut_lineage
 
 #: Rows of a hash bucket, on average.
 BUCKET_ROWS = 20_000
+#: Buckets whose sums are added up in one task.
+BLOCK_BUCKETS = 1000
+#: Sources up to which the plan is broadcast (a table of targets has one row for each).
+MOST_BROADCAST = 10_000
 
 
 def source_key(c: Column) -> Column:
@@ -43,9 +48,9 @@ def allocate(sizes: dict[str, int], targets: dict[str, tuple[float, int]], total
 
 
 def inverse_schedule(u: Column, slope: Column) -> Column:
-    """The position x in [0, 1] at which a source of linear weight 1 + slope * (1 - 2x) has used the part u of its tokens.
+    """The time t in [0, 1] at which a source of linear weight 1 + slope * (1 - 2t) has used the part u of its tokens.
 
-    The integral of the weight is (1 + slope) x - slope x^2; slope in [-1, 1]: 1 starts at twice its mean weight and fades
+    The integral of the weight is (1 + slope) t - slope t^2; slope in [-1, 1]: 1 starts at twice its mean weight and fades
     out, -1 the reverse, 0 is even.
     """
     a = 1 + slope
@@ -53,10 +58,15 @@ def inverse_schedule(u: Column, slope: Column) -> Column:
     return F.when(F.abs(slope) < 1e-9, u).otherwise((a - root) / (2 * slope))
 
 
+def consumed(t: Column, slope: float) -> Column:
+    """The part of all tokens used up to time t, from the mean slope of the sources by their tokens: at it the shares of the sources add up to one."""
+    return (1 + slope) * t - slope * t * t
+
+
 def mix(sized: DataFrame, targets: DataFrame, slopes: dict[str, float] | None = None, buckets: int = 0) -> tuple[DataFrame, DataFrame]:
     """(schedule, shares) for sized rows (id, source, n_tokens) and targets (source, target_share, max_repeats).
 
-    schedule: position, doc_id, source, pass, n_tokens, sorted by position; each use of a document is a row. shares: one row
+    schedule: position (part of all tokens used before and half of it), doc_id, source, pass, n_tokens, sorted by position; each use of a document is a row. shares: one row
     per source of either table with what was asked, available and reached. Documents without tokens are never drawn; those
     of a null source, or of one without target, have target 0. A null max_repeats counts as 1. slopes: of a source's weight
     schedule (see inverse_schedule), 0 where not given. Repeated rows are documents of their own.
@@ -72,21 +82,26 @@ def mix(sized: DataFrame, targets: DataFrame, slopes: dict[str, float] | None =
     sizes = {r.source: r.tokens for r in totals}
     plan = allocate(sizes, wanted, total)
     spark = sized.sparkSession
-    rows = [(s, wanted[s][0], wanted[s][1], sizes.get(s, 0), plan[s], float((slopes or {}).get(s, 0.0))) for s in sorted(wanted)]
+    slope = lambda x: min(1.0, max(-1.0, float((slopes or {}).get(x, 0.0))))
+    mean_slope = sum(plan[x] * slope(x) for x in plan) / max(1.0, sum(plan.values()))
+    rows = [(s, wanted[s][0], wanted[s][1], sizes.get(s, 0), plan[s], slope(s)) for s in sorted(wanted)]
     plans = spark.createDataFrame(rows, "source string, share double, repeats int, tokens long, planned double, slope double")
     buckets = buckets or max(1, -(-n // BUCKET_ROWS))
 
-    drawn = docs.where("n_tokens > 0").join(F.broadcast(plans.where("planned > 0")), "source")  # one row per target
+    some = plans.where("planned > 0")
+    drawn = docs.where("n_tokens > 0").join(F.broadcast(some) if len(rows) <= MOST_BROADCAST else some, "source")
     passes = F.ceil(F.col("planned") / F.col("tokens")).cast("int")
     uses = drawn.select("*", F.explode(F.sequence(F.lit(0), F.greatest(passes - 1, F.lit(0)))).alias("pass"))
     uses = uses.withColumn("h", F.xxhash64("id", "pass")).withColumn("bucket", F.pmod(F.shiftrightunsigned("h", 1), F.lit(buckets)).cast("int"))
     group = ["source", "pass", "bucket"]
-    before = Window.partitionBy("source").orderBy("pass", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = uses.groupBy(*group).agg(F.sum("n_tokens").alias("sum")).select(*group, F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("start"))
+    cells = uses.groupBy(*group).agg(F.sum("n_tokens").alias("sum")).withColumn("block", F.floor((F.col("pass").cast("long") * buckets + F.col("bucket")) / BLOCK_BUCKETS))
+    earlier = lambda *by: Window.partitionBy("source", *by[:-2]).orderBy(*by[-2:]).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = cells.groupBy("source", "block").agg(F.sum("sum").alias("sum")).select("source", "block", F.coalesce(F.sum("sum").over(earlier("block", "sum")), F.lit(0)).alias("ahead"))
+    starts = cells.withColumn("own", F.coalesce(F.sum("sum").over(earlier("block", "pass", "bucket")), F.lit(0))).join(blocks, ["source", "block"]).select(*group, (F.col("ahead") + F.col("own")).alias("start"))
     within = Window.partitionBy(*group).orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0)
     placed = uses.join(starts, group).withColumn("end", F.col("start") + F.sum("n_tokens").over(within))
     middle = F.col("end") - F.col("n_tokens") / 2
-    kept = placed.where(middle <= F.col("planned")).select(inverse_schedule(F.least(middle / F.col("planned"), F.lit(1.0)), F.col("slope")).alias("position"), F.col("id").alias("doc_id"), "source", "pass", "n_tokens")
+    kept = placed.where(middle <= F.col("planned")).select(consumed(inverse_schedule(F.least(middle / F.col("planned"), F.lit(1.0)), F.col("slope")), mean_slope).alias("position"), F.col("id").alias("doc_id"), "source", "pass", "n_tokens")
     schedule = kept.orderBy("position", "source", "pass", "doc_id")
 
     reached = kept.groupBy("source").agg(F.sum("n_tokens").alias("reached_tokens"), F.count(F.lit(1)).alias("n_uses"))

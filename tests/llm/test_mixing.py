@@ -32,12 +32,29 @@ def test_shares_repeats_and_order(spark):
     positions = [r.position for r in schedule]
     assert positions == sorted(positions) and all(0 <= p <= 1 for p in positions)
     assert abs(sum(r.reached_share for r in shares.values()) - 1) < 1e-9
-    # a falling schedule puts more of its source into the first half
-    early = sum(r.n_tokens for r in schedule if r.source == "filing_narrative" and r.position < 0.5) / shares["filing_narrative"].reached_tokens
-    assert 0.6 < early < 0.65  # the integral of 1 + 0.5 (1 - 2x) up to 0.5 is 0.625
+    # a position is the part of all tokens used so far
+    done, every = 0, sum(r.n_tokens for r in schedule)
+    for r in schedule:
+        assert abs(r.position - (done + r.n_tokens / 2) / every) < 0.02
+        done += r.n_tokens
     assert [tuple(r) for r in schedule] == [tuple(r) for r in mix(spark, docs, goals, slopes={"filing_narrative": 0.5}, buckets=5)[0]]
 
 
+def test_schedules_shift_shares_along_the_run(spark):
+    docs = [(i, "a", 10) for i in range(4000)] + [(5000 + i, "b", 10) for i in range(4000)]
+    schedule, _ = mix(spark, docs, [("a", 0.5, 1), ("b", 0.5, 1)], slopes={"a": 0.5, "b": -0.5}, buckets=9)
+    part = lambda lo, hi: [r.source for r in schedule if lo <= r.position < hi].count("a") / max(1, sum(lo <= r.position < hi for r in schedule))
+    # at position x the share of a is (1 + 0.5 (1 - 2x)) / 2, as the slopes of the two cancel out
+    assert [abs(part(x, x + 0.1) - (1 + 0.5 * (1 - 2 * (x + 0.05))) / 2) < 0.03 for x in (0.0, 0.3, 0.6, 0.9)] == [True] * 4
+
+
+def test_blocks_of_buckets(spark, monkeypatch):
+    docs = [(i, "a", 1 + i % 5) for i in range(500)]
+    want = [tuple(r) for r in mix(spark, docs, [("a", 1.0, 1)], buckets=23)[0]]
+    monkeypatch.setattr(m, "BLOCK_BUCKETS", 3)
+    assert [tuple(r) for r in mix(spark, docs, [("a", 1.0, 1)], buckets=23)[0]] == want and len(want) == 500
+
+
 def test_target_is_met_closely(spark):
     docs = [(i, "a", 10) for i in range(3000)] + [(5000 + i, "b", 10) for i in range(3000)]
     _, shares = mix(spark, docs, [("a", 0.5, 1), ("b", 0.5, 1)])
