@@ -16,20 +16,20 @@ def allocated_income(labels: DataFrame, activities: DataFrame, filings: DataFram
 
 
 def count_mentions(mentions: DataFrame, *more: str) -> DataFrame:
-    """Of each tag: mentions (each activity's counts), filings and clients (distinct), income (each filing once).
+    """Of each tag: mentions (each activity's counts), filings and clients (distinct keys), income (each filing once).
 
     Distinct filings first, so that income is summed once per filing and the distinct counts are plain ones.
     """
     by = ["kind", "tag", *more]
-    filings = mentions.groupBy(*by, "filing_id").agg(F.count(F.lit(1)).alias("n"), F.first("income").alias("income"), F.first("client_id").alias("client_id"))
-    clients = filings.groupBy(*by, "client_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("filings"), F.sum("income").alias("income"))
-    return clients.groupBy(*by).agg(F.sum("n").alias("mentions"), F.sum("filings").alias("filings"), F.count("client_id").alias("clients"), F.sum("income").alias("income"))
+    filings = mentions.groupBy(*by, "filing_id").agg(F.count(F.lit(1)).alias("n"), F.first("income").alias("income"), F.first("client_key").alias("client_key"))
+    clients = filings.groupBy(*by, "client_key").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("filings"), F.sum("income").alias("income"))
+    return clients.groupBy(*by).agg(F.sum("n").alias("mentions"), F.sum("filings").alias("filings"), F.count("client_key").alias("clients"), F.sum("income").alias("income"))
 
 
 def tag_clients(mentions: DataFrame) -> DataFrame:
-    """Income of each (kind, tag, client), each filing once."""
-    filings = mentions.groupBy("kind", "tag", "filing_id").agg(F.first("income").alias("income"), F.first("client_id").alias("client_id"), F.first("client_name").alias("client_name"))
-    return filings.groupBy("kind", "tag", "client_id").agg(F.sum("income").alias("income"), F.max("client_name").alias("client_name"))
+    """Income of each (kind, tag, client), each filing once; a client in several spellings is one, with the greatest of its names."""
+    filings = mentions.groupBy("kind", "tag", "filing_id").agg(F.first("income").alias("income"), F.first("client_key").alias("client_key"), F.first("client_name").alias("client_name"))
+    return filings.groupBy("kind", "tag", "client_key").agg(F.sum("income").alias("income"), F.max("client_name").alias("client_name"))
 
 
 def top_per_group(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

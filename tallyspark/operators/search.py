@@ -17,14 +17,11 @@ def search(items: DataFrame, query: str, name: str = "name", weight: str = "n",
     return x.where("score is not null").orderBy(F.desc("score"), F.desc(weight), name).limit(most)
 
 
-def merged_movers(parts: dict[str, DataFrame], name: str = "tag", most: int = 30) -> DataFrame:
-    """Movers of several categories in one list: of equal names that of the higher count, ordered by the size of the score."""
-    every = None
-    for category, df in parts.items():
-        df = df.select(F.lit(category).alias("category"), name, "count", "delta_pp", "score")
-        every = df if every is None else every.unionByName(df)
+def merged_movers(movers: DataFrame, name: str = "tag", most: int = 30) -> DataFrame:
+    """Movers (category, name, count, delta_pp, score) in one list: of equal names that of the higher count, ordered by the size of the score."""
     w = Window.partitionBy(F.lower(name)).orderBy(F.desc("count"), "category")
-    return every.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn").orderBy(F.desc(F.abs("score")), name).limit(most)
+    one = movers.select("category", name, "count", "delta_pp", "score").withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    return one.orderBy(F.desc(F.abs("score")), name).limit(most)
 
 
 def hero_picks(movers: DataFrame, name: str = "tag", n: int = 3, least: int = 100) -> DataFrame:

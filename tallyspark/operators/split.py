@@ -24,6 +24,11 @@ DELIMITER = rf"(?:[,;|/\r\n\t]|{MARK}|(?<=\s)and(?=\s)|(?<=\s)AND(?=\s))"
 SPACE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Names longer in number than this are not put into one pattern but several, tried one after the other.
 NAMES_PER_PATTERN = 500
+#: Characters of spans, list marks and escapes. A text without them and without a protected name is only split.
+SPECIAL = "\"'[](){}*\u2022-\\" + OPEN + CLOSE
+PLAIN_DELIMITER = r"[,;|/\r\n\t]|(?<=\s)(?:and|AND)(?=\s)"
+#: Words of protected names that a text is looked through for, up to this many; with more of them every text takes the longer way.
+MOST_WORDS = 100
 
 
 def span_patterns(names: Sequence[str]) -> list[str]:
@@ -34,6 +39,12 @@ def span_patterns(names: Sequence[str]) -> list[str]:
     return [rf"[{OPEN}{CLOSE}]|{DOUBLE}|{SINGLE}" + "".join("|" + q for q in chunks[0])] + ["|".join(c) for c in chunks[1:]]
 
 
+def risky_words(names: Sequence[str]) -> set[str]:
+    """A word of each protected name, in lower case: a text without any of them holds no such name."""
+    words = ([w.lower() for w in re.findall(r"[A-Za-z]+", n)] for n in names if n and re.search(r"""[,;|/\r\n\t"']|\sand\s|\d\)""", n, re.I))
+    return {max(ws, key=lambda w: (len(w), w)) if ws else "" for ws in words}
+
+
 def _quote(s: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", s)
 
@@ -63,7 +74,19 @@ def split_packed(text: Column, names: Sequence[str] = ()) -> Column:
             out = F.transform(out, _restorer(k, own))
         return F.filter(F.transform(out, _trim), lambda p: p != "")
 
-    return let(_trim(F.coalesce(text, F.lit(""))), lambda x: masked(list(enumerate(span_patterns(names))), x, []))
+    words = risky_words(names)
+
+    def either(x: Column) -> Column:
+        full = masked(list(enumerate(span_patterns(names))), x, [])
+        if len(words) > MOST_WORDS:
+            return full
+        plain = F.length(F.translate(x, SPECIAL, "")) == F.length(x)
+        for w in sorted(words):
+            plain = plain & ~F.lower(x).contains(w)
+        cut = F.filter(F.transform(F.split(x, PLAIN_DELIMITER, -1), _trim), lambda p: (p != "") & (F.lower(p) != "and"))
+        return F.when(plain, cut).otherwise(full)
+
+    return let(_trim(F.coalesce(text, F.lit(""))), either)
 
 
 def _body(x: Column) -> Column:

@@ -316,10 +316,15 @@ def rename_evidence(names: DataFrame, col: str = "name") -> DataFrame:
 
 
 def prefix_pairs(keys: DataFrame, most_more: int = 3) -> DataFrame:
-    """Pairs (shorter, longer) of keys where one begins with the other's words and has up to most_more more; joined on the first word."""
-    k = keys.select("key").where("key <> ''").distinct().withColumn("w", F.split("key", " ")).withColumn("first", F.get("w", F.lit(0)))
-    a, b = k.select("first", F.col("key").alias("shorter"), F.size("w").alias("n")), k.select("first", F.col("key").alias("longer"), F.size("w").alias("m"))
-    return a.join(b, "first").where((F.col("m") > F.col("n")) & (F.col("m") <= F.col("n") + most_more) & F.col("longer").startswith(F.concat("shorter", F.lit(" ")))).select("shorter", "longer")
+    """Pairs (shorter, longer) of keys where one begins with the other's words and has up to most_more more.
+
+    A key is joined on its own beginnings, so its rows are few however many keys share a first word.
+    """
+    k = keys.select("key").where("key <> ''").distinct()
+    words = F.split("key", " ")
+    more = F.sequence(F.lit(1), F.least(F.lit(most_more), F.size(words) - 1))
+    begins = k.where(F.size(words) > 1).select(F.col("key").alias("longer"), F.explode(F.transform(more, lambda n: F.array_join(F.slice(words, F.lit(1), F.size(words) - n), " "))).alias("shorter"))
+    return begins.join(k.withColumnRenamed("key", "shorter"), "shorter").select("shorter", "longer").distinct()
 
 
 def quoted(s: str) -> str:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyspark.functions import periods
 from tallyspark.operators import facts as fx, measures as m
+from tallyspark.plans.keys_sql import CLIENT_KEYS
 from tallyspark.sources.tables import table
 
 
@@ -58,7 +59,7 @@ def tag_counts_by_quarter(spark: SparkSession, d: str) -> DataFrame:
 
 def top_clients_per_tag(spark: SparkSession, d: str) -> DataFrame:
     per = m.tag_clients(fx.mentions(fx.star(spark, d), ("topics", "entities")))
-    return m.top_per_group(per, ["kind", "tag"], [F.desc("income"), F.asc("client_id")], 10)
+    return m.top_per_group(per, ["kind", "tag"], [F.desc("income"), F.asc("client_key")], 10)
 
 
 def example_filings_per_tag(spark: SparkSession, d: str) -> DataFrame:
@@ -133,12 +134,14 @@ def top_terms_capped(spark: SparkSession, d: str) -> DataFrame:
 
 
 def recent_filings(spark: SparkSession, d: str) -> DataFrame:
-    """The 300 latest filings with their issue codes."""
-    f = table(spark, d, "filings", F.col("id").alias("filing_id"), "client_id", "filing_date", "income", "is_current").where("is_current and filing_date is not null").orderBy(F.desc("filing_date"), F.desc("filing_id")).limit(300)
-    a = table(spark, d, "activities", "filing_id", F.upper(F.trim("issue_code")).alias("code"))
-    c = table(spark, d, "clients", F.col("id").alias("client_id"), "name")
-    x = f.join(a, "filing_id", "left").groupBy("filing_id", "client_id", "filing_date", "income").agg(F.array_join(F.sort_array(F.collect_set(F.nullif("code", F.lit("")))), ",").alias("codes"), F.count("code").alias("n_coded"))
-    return x.join(c, "client_id", "left").drop("client_id")
+    """The 300 latest filings with their topics: the specific ones, and the general ones only where there is no specific one."""
+    f = table(spark, d, "filings", F.col("id").alias("filing_id"), "client_id", "filing_date", "income", "is_current").where("is_current and filing_date is not null").join(fx.keyed_clients(spark, d).select("client_id", F.col("client_name").alias("name")), "client_id")
+    f = f.orderBy(F.desc("filing_date"), F.desc("filing_id")).limit(300)
+    a = table(spark, d, "activities", F.col("id").alias("activity_id"), "filing_id")
+    e = table(spark, d, "activity_extractions_rules", "activity_id", F.explode("topics").alias("topic"))
+    x = f.join(a.join(e, "activity_id"), "filing_id", "left").groupBy("filing_id", "filing_date", "income", "name").agg(F.sort_array(F.collect_set("topic")).alias("t"))
+    special = F.filter("t", lambda c: ~c.startswith("general_"))
+    return x.select("filing_id", "filing_date", "income", "name", F.array_join(F.when(F.size(special) > 0, special).otherwise(F.col("t")), ",").alias("topics"))
 
 
 def busiest_quarters(spark: SparkSession, d: str) -> DataFrame:
@@ -191,8 +194,8 @@ QUERIES = {
     f.__name__: f for f in (period_totals, allocated_income, registrant_totals, client_totals, distinct_parties, frequent_codes, tag_counts, tag_counts_by_quarter, top_clients_per_tag, example_filings_per_tag, issue_shares, usual_name, quarter_distribution, month_seasonality, yearly_growth, tagging_coverage, terms_per_code, top_terms_capped, recent_filings, busiest_quarters, last_quarters, quarter_over_year, tag_sets, mirror_drift, coverage_shortfall)
 }
 
-STAR = """s as (select e.activity_id, a.filing_id, f.registrant_id, f.client_id, f.year, f.quarter, f.year * 4 + f.quarter as q, coalesce(f.income, 0) as income, f.filing_date, a.issue_code, topics, entities, legislation, c.name as client_name
-    from activity_extractions_rules e join activities a on a.id = e.activity_id join filings f on f.id = a.filing_id join clients c on c.id = f.client_id join registrants r on r.id = f.registrant_id where f.is_current)"""
+STAR = CLIENT_KEYS + """, s as (select e.activity_id, a.filing_id, f.registrant_id, f.client_id, k.client_key, f.year, f.quarter, f.year * 4 + f.quarter as q, coalesce(f.income, 0) as income, f.filing_date, a.issue_code, topics, entities, legislation, c.name as client_name
+    from activity_extractions_rules e join activities a on a.id = e.activity_id join filings f on f.id = a.filing_id join clients c on c.id = f.client_id join ck k on k.client_id = f.client_id and not k.excluded join registrants r on r.id = f.registrant_id where f.is_current)"""
 TIDY = "trim(regexp_replace(regexp_replace(x, '[\\s\\x{00A0}]+', ' ', 'g'), '^ | $', '', 'g'))"
 _CHAMBERS = "('HOUSE OF REPRESENTATIVES', 'U.S. HOUSE OF REPRESENTATIVES', 'SENATE', 'U.S. SENATE', 'CONGRESS', 'U.S. CONGRESS')"
 MENTIONS = STAR + f""", t as (select s.* exclude (topics, entities, legislation), 'topics' as kind, {TIDY} as tag from s, unnest(topics) u(x) where {TIDY} <> '' and not starts_with({TIDY}, 'general_')),
@@ -211,11 +214,11 @@ ORACLE = {
     "distinct_parties": f"with {_LABELS} select label, count(distinct client_id) as clients, count(distinct registrant_id) as registrants, count(*) filter (income > 0) as paid, avg(income) as mean_income, min(year) as first_year, max(year) as last_year from l join filings f on f.id = l.filing_id group by 1",
     "frequent_codes": f"with {_LABELS} select label, count(*) as n from l group by 1 having count(*) >= 20",
     "tag_counts": f"""with {MENTIONS}, f as (select kind, tag, filing_id, any_value(income) as income from x group by 1, 2, 3)
-        select kind, tag, count(*) as mentions, count(distinct filing_id) as filings, count(distinct client_id) as clients, (select sum(income) from f where f.kind = x.kind and f.tag = x.tag) as income from x group by kind, tag""",
-    "tag_counts_by_quarter": f"""with {MENTIONS}, g as (select kind, tag, q, filing_id, client_id, any_value(income) as income, count(*) as n from x where kind = 'topics' group by 1, 2, 3, 4, 5)
-        select kind, tag, q, cast(sum(n) as bigint) as mentions, count(*) as filings, count(distinct client_id) as clients, sum(income) as income from g group by 1, 2, 3""",
-    "top_clients_per_tag": f"""with {MENTIONS}, g as (select distinct kind, tag, filing_id, client_id, income, client_name from x where kind <> 'legislation'), h as (select kind, tag, client_id, sum(income) as income, max(client_name) as client_name from g group by 1, 2, 3)
-        select * from (select *, cast(row_number() over (partition by kind, tag order by income desc, client_id) as int) as rank from h) where rank <= 10""",
+        select kind, tag, count(*) as mentions, count(distinct filing_id) as filings, count(distinct client_key) as clients, (select sum(income) from f where f.kind = x.kind and f.tag = x.tag) as income from x group by kind, tag""",
+    "tag_counts_by_quarter": f"""with {MENTIONS}, g as (select kind, tag, q, filing_id, client_key, any_value(income) as income, count(*) as n from x where kind = 'topics' group by 1, 2, 3, 4, 5)
+        select kind, tag, q, cast(sum(n) as bigint) as mentions, count(*) as filings, count(distinct client_key) as clients, sum(income) as income from g group by 1, 2, 3""",
+    "top_clients_per_tag": f"""with {MENTIONS}, g as (select distinct kind, tag, filing_id, client_key, income, client_name from x where kind <> 'legislation'), h as (select kind, tag, client_key, sum(income) as income, max(client_name) as client_name from g group by 1, 2, 3)
+        select * from (select *, cast(row_number() over (partition by kind, tag order by income desc, client_key) as int) as rank from h) where rank <= 10""",
     "example_filings_per_tag": f"""with {MENTIONS}, g as (select distinct tag, filing_id, filing_date, income from x where kind = 'topics')
         select tag, rank, filing_id from (select *, cast(row_number() over (partition by tag order by filing_date desc nulls last, income desc, filing_id desc) as int) as rank from g) where rank <= 8""",
     "issue_shares": f"with {_LABELS}, n as (select label, year, registrant_id, count(*) as n from l join filings f on f.id = l.filing_id group by 1, 2, 3) select *, n / sum(n) over (partition by label, year) as share from n",
@@ -235,8 +238,9 @@ ORACLE = {
     "terms_per_code": """with w as (select upper(trim(issue_code)) as code, unnest(list_distinct(regexp_extract_all(lower(description), '[a-z][a-z0-9-]{2,}'))) as term from activities where description is not null and trim(issue_code) <> ''),
         n as (select code, term, count(*) as in_code from w group by 1, 2) select * from (select *, cast(sum(in_code) over (partition by term) as bigint) as in_all from n) where in_code >= 3""",
     "top_terms_capped": "select code, rank, id from (select id, upper(trim(issue_code)) as code, cast(row_number() over (partition by upper(trim(issue_code)) order by id) as int) as rank from activities where trim(issue_code) <> '' and length(description) > 20) where rank <= 50",
-    "recent_filings": """with f as (select * from filings where is_current and filing_date is not null order by filing_date desc, id desc limit 300), g as (select f.id as filing_id, client_id, filing_date, income, coalesce(string_agg(distinct nullif(upper(trim(issue_code)), ''), ',' order by nullif(upper(trim(issue_code)), '')), '') as codes,
-        count(issue_code) as n_coded from f left join activities a on a.filing_id = f.id group by 1, 2, 3, 4) select filing_id, filing_date, income, codes, n_coded, name from g left join clients c on c.id = client_id""",
+    "recent_filings": f"""with {CLIENT_KEYS}, f as (select f.*, c.name from filings f join ck on ck.client_id = f.client_id and not excluded join clients c on c.id = f.client_id where is_current and filing_date is not null order by filing_date desc, f.id desc limit 300),
+        t as (select f.id, list_sort(list_distinct(list(topic))) as t from f join activities a on a.filing_id = f.id join (select activity_id, unnest(topics) as topic from activity_extractions_rules) e on e.activity_id = a.id where topic is not null group by 1),
+        s as (select *, list_filter(t, lambda x: not starts_with(x, 'general_')) as s from t) select f.id as filing_id, filing_date, income, name, coalesce(array_to_string(case when len(s) > 0 then s else t end, ','), '') as topics from f left join s using (id)""",
     "busiest_quarters": "select year, quarter, count(*) as n from filings group by 1, 2 order by n desc, year, quarter limit 3",
     "last_quarters": "select * from (select year, quarter, count(*) as n, sum(income) as income from filings group by 1, 2 order by year desc, quarter desc limit 8) order by year, quarter",
     "quarter_over_year": "with n as (select year, quarter, count(*) as n, sum(income) as income from filings group by 1, 2), b as (select *, lag(n) over (partition by quarter order by year) as n_before from n) select *, round((n - n_before) * 100::double / n_before, 6) as change_pct from b",

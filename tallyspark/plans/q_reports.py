@@ -27,9 +27,9 @@ def extraction_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def mover_cards(spark: SparkSession, d: str) -> DataFrame:
     """The ten strongest topic movers, each with its top three clients by income and its latest filing."""
-    top = qt._changes(spark, d, qt.QUARTER, "topics", 2).limit(10).select("tag", "count", F.round("delta_pp", 6).alias("delta_pp"))
+    top = qt.tag_changes(spark, d, kinds=("topics",), least=2).where("rank <= 10").select("tag", "count", F.round("delta_pp", 6).alias("delta_pp"))
     x = fx.mentions(fx.star(spark, d), ("topics",)).join(F.broadcast(top.select("tag")), "tag", "left_semi")  # ten rows
-    clients = m.top_per_group(m.tag_clients(x), ["kind", "tag"], [F.desc("income"), F.asc("client_id")], 3).groupBy("tag").agg(F.expr("array_join(transform(array_sort(collect_list(struct(rank, client_id))), x -> string(x.client_id)), ',')").alias("clients"))
+    clients = m.top_per_group(m.tag_clients(x), ["kind", "tag"], [F.desc("income"), F.asc("client_key")], 3).groupBy("tag").agg(F.expr("array_join(transform(array_sort(collect_list(struct(rank, client_key))), x -> x.client_key), ',')").alias("clients"))
     latest = x.groupBy("tag").agg(F.max(F.struct("q", "filing_id")).alias("l")).select("tag", F.col("l.filing_id").alias("latest_filing"))
     return top.join(clients, "tag", "left").join(latest, "tag", "left")
 
@@ -111,7 +111,7 @@ QUERIES = {
 }
 
 _KEY = "regexp_replace(regexp_replace(lower(filing_uuid), '[^0-9a-f]', '', 'g'), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5')"
-_MOVER = qt._change_sql(qt.QUARTER, "topics", 2)
+_MOVER = qt.change_sql("topics", least=2)
 _NAMES = ", ".join(f"('{a}', '{b}')" for a, b in AGENCY_NAMES.items())
 _GROUP_ROWS = ", ".join(f"('{n}', '{p}')" for n, ps in GROUPS for p in ps)
 
@@ -120,8 +120,8 @@ ORACLE = {
         c as (select coarse_topic as name, count(*) as n from activity_extractions_rules where coarse_topic is not null group by 1 order by n desc, name limit 10)
         select 'total' as part, unnest(['rows', 'tagged', 'with_entities', 'with_laws']) as name, unnest([rows, tagged, with_entities, with_laws]) as n from t union all select 'coarse_topic', name, n from c""",
     "mover_cards": f"""with {MENTIONS}, top as (select tag, count, delta_pp, row_number() over () as o from ({_MOVER}) limit 10), y as (select * from x where kind = 'topics' and tag in (select tag from top)),
-        g as (select distinct tag, filing_id, client_id, income from y), h as (select tag, client_id, sum(income) as income from g group by 1, 2), r as (select *, row_number() over (partition by tag order by income desc, client_id) as rank from h),
-        lt as (select tag, max(struct_pack(q := q, f := filing_id)) as z from y group by 1), cl as (select tag, string_agg(cast(client_id as varchar), ',' order by rank) as clients from r where rank <= 3 group by 1)
+        g as (select distinct tag, filing_id, client_key, income from y), h as (select tag, client_key, sum(income) as income from g group by 1, 2), r as (select *, row_number() over (partition by tag order by income desc, client_key) as rank from h),
+        lt as (select tag, max(struct_pack(q := q, f := filing_id)) as z from y group by 1), cl as (select tag, string_agg(client_key, ',' order by rank) as clients from r where rank <= 3 group by 1)
         select top.tag, top.count, top.delta_pp, clients, lt.z.f as latest_filing from top left join cl on cl.tag = top.tag left join lt on lt.tag = top.tag""",
     "narrative_context": """select * from (select 'quarter' as part, cast(year * 4 + quarter as varchar) as name, sum(income) as value from filings where client_id = 1 group by year * 4 + quarter order by year * 4 + quarter desc limit 8)
         union all select * from (select 'code', upper(trim(issue_code)) as code, cast(count(*) as double) as value from activities a join filings f on f.id = a.filing_id where client_id = 1 and trim(issue_code) <> '' group by 2 order by value desc, code limit 5)""",
@@ -132,8 +132,8 @@ ORACLE = {
     "sampled_audit": f"""with f as (select sopr_filing_id as k, any_value(coalesce(income, 0)::decimal(20,4)) as income, any_value(filing_type) as filing_type from filings group by 1 order by md5(sopr_filing_id) limit 100),
         l as (select {_KEY} as k, max(struct_pack(a := fetched_at, live := coalesce(try_cast(regexp_replace(upper(income), '[\\s$,]|USD', '', 'g') as decimal(20,4)), 0), t := upper(trim(filing_type)))) as l from filings_mirror group by 1)
         select f.k, l.k is null as missing, coalesce(abs(l.l.live - income) > 0.01, false) as income_off, coalesce(l.l.t <> filing_type, false) as type_off from f left join l using (k)""",
-    "topic_drilldown": f"""with {MENTIONS}, tot as (select q, count(*) as n from x where kind = 'topics' group by 1), g as (select q, filing_id, client_id, any_value(income) as income, count(*) as n from x where kind = 'topics' and tag = 'drug_rebates' group by 1, 2, 3)
-        select g.q, cast(sum(g.n) as bigint) as mentions, count(*) as filings, count(distinct client_id) as clients, sum(income) as income, round(sum(g.n) * 100::double / any_value(tot.n), 6) as share from g join tot on tot.q = g.q group by 1""",
+    "topic_drilldown": f"""with {MENTIONS}, tot as (select q, count(*) as n from x where kind = 'topics' group by 1), g as (select q, filing_id, client_key, any_value(income) as income, count(*) as n from x where kind = 'topics' and tag = 'drug_rebates' group by 1, 2, 3)
+        select g.q, cast(sum(g.n) as bigint) as mentions, count(*) as filings, count(distinct client_key) as clients, sum(income) as income, round(sum(g.n) * 100::double / any_value(tot.n), 6) as share from g join tot on tot.q = g.q group by 1""",
     "normalized_series": f"""with {STAR}, n as (select s.q, e.coarse_topic, count(*) as n from activity_extractions_rules e join s using (activity_id) group by 1, 2)
         select q, coarse_topic, n, round(n * 100::double / sum(n) over (partition by q), 6) as share, cast(row_number() over (partition by q order by n desc, coarse_topic nulls first) as int) as place from n""",
     "coded_labels": f"select upper(trim(issue_code)) as label, count(*) as n, round(avg(length(description)), 6) as mean_length, count(*) filter (length(description) < 20) as n_short from activities where upper(trim(issue_code)) in ({', '.join(repr(c) for c in canon.CODE_LABELS)}) group by 1",

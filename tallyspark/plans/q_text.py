@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.functions import canon
 from tallyspark.functions.text import squeeze
-from tallyspark.operators import facts as fx, measures as m, search as se, tagging as tg, versioning as v
+from tallyspark.operators import audit as au, facts as fx, measures as m, search as se, tagging as tg, versioning as v
 from tallyspark.plans import q_trends as qt
+from tallyspark.plans.keys_sql import CLIENT_KEYS
 from tallyspark.plans.q_measures import MENTIONS
 from tallyspark.plans.rules import DICTIONARY, RULES
 from tallyspark.sources.tables import table
@@ -99,8 +100,20 @@ def variant_pairs(spark: SparkSession, d: str) -> DataFrame:
     return tg.near_variants(e, "entity")
 
 
+def _client_income(spark: SparkSession, d: str) -> DataFrame:
+    f = table(spark, d, "filings", "client_id", "income", "is_current").where("is_current").groupBy("client_id").agg(F.sum("income").alias("income"))
+    return table(spark, d, "clients", F.col("id").alias("client_id"), "name").join(f, "client_id", "left").select("name", F.coalesce("income", F.lit(0.0)).alias("income"))
+
+
 def rename_evidence(spark: SparkSession, d: str) -> DataFrame:
-    return tg.rename_evidence(table(spark, d, "clients", "id", "name"))
+    """Former names given in names, with what their own keys still hold."""
+    return au.rename_candidates(_client_income(spark, d), 0.0)
+
+
+def quarter_outliers(spark: SparkSession, d: str) -> DataFrame:
+    """The greatest quarter of each client that reaches half a million."""
+    f = table(spark, d, "filings", "client_id", "year", "quarter", F.coalesce("income", F.lit(0.0)).alias("income"), "is_current").where("is_current")
+    return au.quarter_outliers(f.join(canon.client_keys(table(spark, d, "clients", "id", "name")), "client_id"), 5e5)
 
 
 def prefix_pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -137,12 +150,8 @@ def canonical_laws(spark: SparkSession, d: str) -> DataFrame:
 
 
 def alias_review(spark: SparkSession, d: str) -> DataFrame:
-    """Tags that fold into nothing, and numbers without a Congress: the most frequent of either."""
-    x = fx.star(spark, d).select("year", F.explode("legislation").alias("tag"))
-    law = canon.with_legislation(x, "tag", "year")
-    kind = F.when(F.col("law") == "", "dropped").when(F.col("law").rlike(r"^(H\.R\.|S\.) \d+( \(|$)"), "number").when(F.col("law").rlike(r"(?i) act\b"), "titled")
-    n = law.withColumn("kind", kind).where("kind is not null").groupBy("kind", squeeze(F.col("tag")).alias("tag")).agg(F.count(F.lit(1)).alias("n"))
-    return m.top_per_group(n, ["kind"], [F.desc("n"), F.asc("tag")], 12)
+    """Law tags that no table names, of ten mentions or more, and the most frequent that name nothing."""
+    return au.alias_gaps(fx.star(spark, d).select("year", F.explode("legislation").alias("tag")), least=10)
 
 
 def normalized_tags(spark: SparkSession, d: str) -> DataFrame:
@@ -158,7 +167,7 @@ def client_search(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _movers(spark: SparkSession, d: str) -> DataFrame:
-    return se.merged_movers({k: qt._changes(spark, d, qt.QUARTER, k, 2) for k in ("topics", "entities", "legislation")}, most=200)
+    return se.merged_movers(qt.tag_changes(spark, d, least=2).withColumnRenamed("kind", "category"), most=200)
 
 
 def merged_movers(spark: SparkSession, d: str) -> DataFrame:
@@ -176,17 +185,22 @@ def hero_picks(spark: SparkSession, d: str) -> DataFrame:
 def org_ramps(spark: SparkSession, d: str) -> DataFrame:
     """Risers and new entrants in one list by what they added, with strength and direction."""
     x = qt.client_movers(spark, d).where("kind in ('riser', 'new_entrant')")
-    return x.select("client_id", "kind", "delta", se.intensity(F.try_divide("now", "before")).alias("intensity"), se.direction(F.round(m.growth_pct(F.col("now"), F.col("before")), 6)).alias("direction")).orderBy(F.desc("delta"), "client_id").limit(30)
+    return x.select("client_key", "kind", "delta", se.intensity(F.try_divide("now", "before")).alias("intensity"), se.direction(F.round(m.growth_pct(F.col("now"), F.col("before")), 6)).alias("direction")).orderBy(F.desc("delta"), "client_key").limit(30)
 
 
 def client_drilldown(spark: SparkSession, d: str) -> DataFrame:
-    """Filings of the greatest client with their codes, and its rank in each topic."""
-    star = fx.mentions(fx.star(spark, d), ("topics",)).where("client_id = 1")
-    return star.groupBy("tag").agg(F.countDistinct("filing_id").alias("filings"), F.count(F.lit(1)).alias("mentions"), F.min("q").alias("first_q"), F.max("q").alias("last_q"))
+    """The topics of one client (that of id 1, in all its spellings) with its filings and mentions, and its rank among the clients of each topic by mentions."""
+    x = fx.mentions(fx.star(spark, d, excluded=True), ("topics",))
+    per = x.groupBy("tag", "client_key").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("filing_id").alias("filings"), F.min("q").alias("first_q"), F.max("q").alias("last_q"))
+    own = fx.keyed_clients(spark, d, excluded=True).where("client_id = 1").select("client_key")
+    mine = per.join(F.broadcast(own), "client_key").drop("client_key")  # one row
+    # clients of the topic with more mentions, counted instead of ranked, so that a topic of many clients meets in no task
+    more = per.select("tag", F.col("mentions").alias("other")).join(mine.select("tag", "mentions"), "tag").groupBy("tag").agg(F.count_if(F.col("other") > F.col("mentions")).alias("more"))
+    return mine.join(more, "tag").select("tag", "filings", "mentions", "first_q", "last_q", (F.col("more") + 1).alias("rank"))
 
 
 QUERIES = {
-    f.__name__: f for f in (rule_topics, rule_extractions, coarse_topics, law_references, named_entities, dictionary_matches, dictionary_coverage, uncovered, mining_terms, candidate_terms, gap_report, unmapped_sample, variant_pairs, rename_evidence, prefix_pairs, client_keys, identity_review, usual_display_names, canonical_laws, alias_review, normalized_tags, client_search, merged_movers, digest, hero_picks, org_ramps, client_drilldown)
+    f.__name__: f for f in (rule_topics, rule_extractions, coarse_topics, law_references, named_entities, dictionary_matches, dictionary_coverage, uncovered, mining_terms, candidate_terms, gap_report, unmapped_sample, variant_pairs, rename_evidence, quarter_outliers, prefix_pairs, client_keys, identity_review, usual_display_names, canonical_laws, alias_review, normalized_tags, client_search, merged_movers, digest, hero_picks, org_ramps, client_drilldown)
 }
 
 
@@ -221,12 +235,12 @@ _DICT = f"m as (select a.id, t.label, t.p as phrase from activities a join (valu
 _TERMS = f"""w as (select id, upper(trim(issue_code)) as code, list_filter(regexp_extract_all(lower(coalesce(description, '')), '[a-z][a-z0-9\\-]{{2,}}'), lambda x: x not in ({', '.join(map(_q, tg.STOP_WORDS))}) and length(x) <= 32) as w from activities),
     b as (select id, code, list_concat(w, list_filter(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]), lambda x: x not in ({', '.join(map(_q, tg.GENERIC_PAIRS))}))) as t from w)"""
 _LAWS = " union all ".join(f"select id, {i} as k, unnest(regexp_extract_all(description, {_q(p)})) as x, generate_subscripts(regexp_extract_all(description, {_q(p)}), 1) as p from activities where description is not null" for i, p in enumerate(tg.LAW_PATTERNS))
-_MOVERS = " union all ".join(f"select '{k}' as category, tag, count, delta_pp, score from ({qt._change_sql(qt.QUARTER, k, 2)})" for k in ("topics", "entities", "legislation"))
+_MOVERS = " union all ".join(f"select '{k}' as category, tag, count, delta_pp, score from ({qt.change_sql(k, least=2)})" for k in ("topics", "entities", "legislation"))
 _MERGED = f"select category, tag, count, delta_pp, score from (select *, row_number() over (partition by lower(tag) order by count desc, category) as rn from ({_MOVERS})) where rn = 1 order by abs(score) desc, tag limit 200"
 
 ORACLE = {
     "rule_topics": f"""with {_TOPICS} select id, pos, topic, score, tier from o where pos <= 8 union all select a.id, 1, {_GENERAL}, 0.2, 'fallback' from a left join cl on cl.c = a.code where code <> '' and a.id not in (select id from r)""",
-    "coarse_topics": f"""with {_CODE_LABELS}, g as (select * from (values {_values([(c, g) for g, cs in canon.COARSE_CODES.items() for c in cs.split()])}) t(c, coarse)), a as (select upper(trim(issue_code)) as issue_code, upper(trim(issue_code)) as code from activities),
+    "coarse_topics": f"""with {_CODE_LABELS}, g as (select * from (values {_values([(c, g) for g, cs in canon.COARSE_CODES.items() for c in cs])}) t(c, coarse)), a as (select upper(trim(issue_code)) as issue_code, upper(trim(issue_code)) as code from activities),
         x as (select issue_code, case when coalesce(code, '') = '' then 'unknown' else coalesce(g.coarse, 'other') end as coarse, case when code <> '' then {_GENERAL} end as general from a left join g on g.c = code left join cl on cl.c = code)
         select issue_code, coarse, general, 'General: ' || array_to_string(list_transform(string_split(substr(general, 9), '_'), lambda w: upper(w[1]) || w[2:]), ' ') as shown, count(*) as n from x group by 1, 2, 3""",
     "law_references": f"""with x as ({_LAWS}), t as (select id, k, p, trim(regexp_replace(x, '[\\s\\x{{00A0}}]+', ' ', 'g')) as v from x), d as (select * from (select *, row_number() over (partition by id, lower(v) order by k, p) as rn from t where length(v) >= 4) where rn = 1),
@@ -249,7 +263,18 @@ ORACLE = {
         select t, n, tag, trim(lower(tag), '"''` ') as phrase, substr(coalesce(nullif(trim(regexp_replace(lower(t), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'other'), 1, 48) as label from s""",
     "client_search": """with n as (select client_id, count(*) as n from filings group by 1), s as (select c.id as client_id, name, coalesce(n, 0) as n, cast(case when lower(trim(name)) = 'city of' then 100 when starts_with(lower(trim(name)), 'city of') then 80 when contains(lower(name), ' city of') then 60
         when contains(lower(name), 'city of') then 30 end as int) as score from clients c left join n on n.client_id = c.id) select client_id, name, n, score from s where score is not null order by score desc, n desc, name limit 30""",
+    "quarter_outliers": f"""with {CLIENT_KEYS}, p as (select client_key, excluded, year, quarter, sum(coalesce(income, 0)) as income from filings f join ck on ck.client_id = f.client_id where is_current group by 1, 2, 3, 4 having sum(income) >= 5e5)
+        select client_key, excluded, year, quarter, income from (select *, row_number() over (partition by client_key order by income desc, year desc, quarter desc) as rn from p) where rn = 1""",
+    "identity_review": f"""with {CLIENT_KEYS}, k as (select c.id, name, case when name is null then null when starts_with(client_key, '#') then '' else client_key end as key from clients c join ck on ck.client_id = c.id)
+        select key, count(distinct name) as spellings, count(*) as filings, max(income) as greatest from filings f join k on k.id = f.client_id group by 1 having count(distinct name) > 1""",
     "merged_movers": _MERGED,
     "digest": f"select * from (select *, cast(row_number() over (partition by category order by score desc, tag) as int) as rank from ({_MERGED}) where delta_pp > 0) where rank <= case category when 'entities' then 3 else 4 end",
-    "client_drilldown": f"with {MENTIONS} select tag, count(distinct filing_id) as filings, count(*) as mentions, min(q) as first_q, max(q) as last_q from x where kind = 'topics' and client_id = 1 group by 1",
+    "client_drilldown": f"""with {MENTIONS.replace(' and not k.excluded', '')}, p as (select tag, client_key, count(*) as mentions, count(distinct filing_id) as filings, min(q) as first_q, max(q) as last_q from x where kind = 'topics' group by 1, 2),
+        r as (select *, rank() over (partition by tag order by mentions desc) as rank from p) select tag, filings, mentions, first_q, last_q, rank from r where client_key = (select client_key from ck where client_id = 1)""",
+    "org_ramps": f"""select client_key, kind, delta, case when before = 0 then 'new' when now / before >= 5 then 'surge' when now / before >= 2 then 'strong' when now / before >= 1.25 then 'up' else 'steady' end as intensity,
+        case when before = 0 then 'none' when round((now - before) * 100 / before, 6) > 5 then 'up' when round((now - before) * 100 / before, 6) > 2 then 'slightly_up' when round((now - before) * 100 / before, 6) < -5 then 'down' when round((now - before) * 100 / before, 6) < -2 then 'slightly_down' else 'flat' end as direction
+        from ({qt.MOVERS}) where kind in ('riser', 'new_entrant') order by delta desc, client_key limit 30""",
+    "hero_picks": f"""with mm as ({_MERGED}), r as (select *, delta_pp > 0 and count >= 3 as good from mm), f as (select *, good and row_number() over (partition by category order by good desc, abs(score) desc, tag) = 1 as first from r)
+        select category, tag, count, delta_pp, score from f order by first desc, abs(score) desc, tag limit 3""",
+    "client_keys": f"with {CLIENT_KEYS} select client_id as id, case when name is not null then if(starts_with(client_key, '#'), '', client_key) end as key from clients join ck on ck.client_id = clients.id",
 }

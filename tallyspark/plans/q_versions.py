@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyspark import schemas
 from tallyspark.functions import periods
 from tallyspark.functions.text import canonical_uuid, money
 from tallyspark.operators import versioning as v
+from tallyspark.sources import api
 from tallyspark.sources.tables import table
 
 DAY = "2023-08-15"
@@ -53,9 +55,10 @@ def merge_new_filings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def upsert_extractions(spark: SparkSession, d: str) -> DataFrame:
-    """Extractions after those of every third activity were replaced by a new version."""
+    """The stored extractions with new ones of all activities in place of or beside them."""
     e = table(spark, d, "activity_extractions_rules", "activity_id", "l0_issue_code", "extractor_version")
-    return v.upsert(e, e.where("activity_id % 3 = 0").withColumn("extractor_version", F.lit("next")), ["activity_id"])
+    new = table(spark, d, "activities", F.col("id").alias("activity_id"), F.upper(F.trim("issue_code")).alias("l0_issue_code")).withColumn("extractor_version", F.lit("next"))
+    return v.upsert(e, new, ["activity_id"])
 
 
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
@@ -63,12 +66,15 @@ def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parse_filings(spark: SparkSession, d: str) -> DataFrame:
-    """Mirror rows typed: amount from its notation, or 0; kind of report; day as written; required keys present."""
+    """The live copies as the API gives them (nested, period by name), parsed; the kind of report told from its type."""
     m = table(spark, d, "filings_mirror")
-    kind = F.upper(F.trim("filing_type"))
-    amount = F.coalesce(F.nullif(money(F.col("income")), F.lit(0)), F.lit(0)).cast("double")
-    return m.where("filing_uuid is not null and year is not null and quarter is not null").select(
-        canonical_uuid(F.col("filing_uuid")).alias("k"), "audit_id", "fetched_at", amount.alias("amount"), kind.alias("kind"), F.substring(F.ltrim("filing_date"), 1, 10).alias("day"),
+    period = F.element_at(F.array(*map(F.lit, ("1st Quarter (Jan 1 - Mar 31)", "second_quarter", "Q3", "4TH QUARTER"))), F.col("quarter"))
+    party = lambda c: F.struct(F.col(c).cast("string").alias("id"), F.concat(F.lit("  party "), F.col(c).cast("string")).alias("name"))
+    raw = m.select("filing_uuid", F.col("year").alias("filing_year"), period.alias("filing_period"), F.upper(F.trim("filing_type")).alias("filing_type"), "income", "filing_date", party("registrant_id").alias("registrant"), party("client_id").alias("client"))
+    out = api.parse_filings(schemas.migrate(raw, schemas.FILING))
+    kind = F.col("filing_type")
+    return out.select(
+        F.col("sopr_filing_id").alias("k"), "year", "quarter", F.col("income").alias("amount"), kind.alias("kind"), F.substring(F.ltrim("filing_date"), 1, 10).alias("day"), "registrant_sopr", "client_name", F.size("activities").alias("n_activities"),
         F.when(kind.rlike("^[1-4](A|AY)$"), "amendment").when(kind.rlike("^[1-4](T|TY|@|@Y)$"), "termination").when(kind.rlike("^Q[1-4]Y?$"), "original").otherwise("other").alias("family"),
         kind.endswith("Y").alias("no_activity"),
     )
@@ -83,11 +89,15 @@ def parse_periods(spark: SparkSession, d: str) -> DataFrame:
 
 
 def houses_split(spark: SparkSession, d: str) -> DataFrame:
-    """Chambers and agencies told apart: a name is a chamber if it is exactly one."""
+    """Chambers and agencies told apart by the parser, from each activity as a nested filing of its own: a name is a chamber if it is exactly one."""
     a = table(spark, d, "activities", "id", "houses_lobbied", "agencies")
-    names = F.transform(F.split(F.coalesce(F.concat_ws(",", "houses_lobbied", "agencies"), F.lit("")), ","), lambda x: F.upper(F.trim(x)))
-    chamber = lambda x: x.isin("SENATE", "HOUSE OF REPRESENTATIVES")
-    return a.select("id", F.array_join(F.sort_array(F.array_distinct(F.filter(names, chamber))), ",").alias("chambers"), F.size(F.filter(names, lambda x: (x != "") & ~chamber(x))).alias("n_other"))
+    names = F.transform(F.split(F.concat_ws(",", "houses_lobbied", "agencies"), ","), lambda x: F.struct(x.alias("name")))
+    one = F.struct(F.lit("text").alias("description"), F.lit(None).cast("string").alias("specific_issues"), F.lit("TAX").alias("general_issue_code"), names.alias("government_entities"))
+    party = F.struct(F.lit("1").alias("id"), F.lit("name").alias("name"))
+    raw = a.select(F.concat(F.lit("00000000-0000-0000-0000-"), F.lpad(F.col("id").cast("string"), 12, "0")).alias("filing_uuid"), F.lit(2024).alias("filing_year"), F.lit("Q1").alias("filing_period"), party.alias("registrant"), party.alias("client"), F.array(one).alias("lobbying_activities"))
+    x = api.parse_filings(schemas.migrate(raw, schemas.FILING)).select(F.substring("sopr_filing_id", 25, 12).cast("long").alias("id"), F.explode("activities").alias("a")).select("id", "a.*")
+    parts = lambda c: F.transform(F.split(c, ","), lambda p: F.upper(F.trim(p)))
+    return x.select("id", F.array_join(F.sort_array(F.array_distinct(parts("houses_lobbied"))), ",").alias("chambers"), F.size(F.filter(parts("agencies"), lambda p: p != "")).alias("n_other"))
 
 
 def activity_predicates(spark: SparkSession, d: str) -> DataFrame:
@@ -133,11 +143,12 @@ ORACLE = {
     "superseded_counts": f"select year, quarter, count(*) filter (rn > 1) as n_superseded, count(*) as n_filings from (select year, quarter, {_RANK} as rn from filings) group by 1, 2",
     "work_queue": "select id as activity_id, issue_code from activities a left join activity_extractions_rules e on e.activity_id = a.id where e.activity_id is null and length(description) > 20",
     "merge_new_filings": f"""select k, year, quarter from (select distinct on (k) {_HYPHENS.format(_KEY.format('filing_uuid'))} as k, year, quarter from filings_mirror) where k not in (select sopr_filing_id from filings)""",
-    "upsert_extractions": "select activity_id, l0_issue_code, case when activity_id % 3 = 0 then 'next' else extractor_version end as extractor_version from activity_extractions_rules",
+    "upsert_extractions": "select id as activity_id, upper(trim(issue_code)) as l0_issue_code, 'next' as extractor_version from activities union all select activity_id, l0_issue_code, extractor_version from activity_extractions_rules where activity_id not in (select id from activities)",
     "stratified_sample": "select id, year, quarter, cast(rank as int) as rank from (select id, year, quarter, row_number() over (partition by year, quarter order by md5(cast(id as varchar) || '1'), id) as rank from filings) order by rank, year, quarter limit 100",
-    "parse_filings": f"""select {_HYPHENS.format(_KEY.format('filing_uuid'))} as k, audit_id, fetched_at, cast(coalesce(try_cast(regexp_replace(upper(income), '[\\s$,]|USD', '', 'g') as decimal(20,4)), 0) as double) as amount, upper(trim(filing_type)) as kind,
-        substr(ltrim(filing_date), 1, 10) as day, case when regexp_full_match(upper(trim(filing_type)), '[1-4](A|AY)') then 'amendment' when regexp_full_match(upper(trim(filing_type)), '[1-4](T|TY|@|@Y)') then 'termination'
-        when regexp_full_match(upper(trim(filing_type)), 'Q[1-4]Y?') then 'original' else 'other' end as family, ends_with(upper(trim(filing_type)), 'Y') as no_activity from filings_mirror where filing_uuid is not null and year is not null and quarter is not null""",
+    "parse_filings": f"""select {_HYPHENS.format(_KEY.format('filing_uuid'))} as k, year, quarter, cast(coalesce(try_cast(regexp_replace(upper(income), '[\\s$,]|USD', '', 'g') as decimal(20,4)), 0) as double) as amount, upper(trim(filing_type)) as kind,
+        substr(ltrim(filing_date), 1, 10) as day, cast(registrant_id as varchar) as registrant_sopr, 'party ' || client_id as client_name, 0 as n_activities, case when regexp_full_match(upper(trim(filing_type)), '[1-4](A|AY)') then 'amendment' when regexp_full_match(upper(trim(filing_type)), '[1-4](T|TY|@|@Y)') then 'termination'
+        when regexp_full_match(upper(trim(filing_type)), 'Q[1-4]Y?') then 'original' else 'other' end as family, ends_with(upper(trim(filing_type)), 'Y') as no_activity from filings_mirror
+        where filing_uuid is not null and year is not null and quarter is not null and registrant_id is not null and client_id is not null and coalesce(upper(trim(filing_type)), '') not in ('RR', 'RA')""",
     "parse_periods": """select year, quarter, quarter as parsed, year || ' Q' || quarter as label, period_end as last_day, (year - 1) || ' Q' || quarter as year_before, cast((year - 1789) // 2 + 1 as int) as congress,
         ((year - 1789) // 2 + 1) || 'th' as nth from report_periods""",
     "houses_split": """with n as (select id, upper(trim(unnest(string_split(concat_ws(',', houses_lobbied, agencies), ',')))) as x from activities)

@@ -45,5 +45,5 @@ def test_commands(spark, sf, tmp_path, capsys):
     assert "current_filings" in capsys.readouterr().out
     cli.main(["query", "period_totals", sf, "--out", str(tmp_path / "q")])
     assert spark.read.parquet(str(tmp_path / "q")).count() == spark.read.parquet(f"{sf}/filings.parquet").where("is_current").select("year", "quarter").distinct().count()
-    cli.main(["refresh", sf, str(tmp_path / "docs")])
+    cli.main(["refresh", sf, str(tmp_path / "docs"), "--only", "export"])
     assert sorted(p.stem for p in (tmp_path / "docs").iterdir()) == ["alerts", "checks", "clients", "recent", "stats", "timeseries", "trends"]

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 
 def test_income_counts_once_per_filing(spark):
-    rows = [("topics", "a", 1, 10.0, 1), ("topics", "a", 1, 10.0, 1), ("topics", "a", 2, 5.0, 1), ("topics", "b", 2, 5.0, None)]
-    out = {r.tag: (r.mentions, r.filings, r.clients, r.income) for r in m.count_mentions(spark.createDataFrame(rows, "kind string, tag string, filing_id long, income double, client_id long")).collect()}
+    rows = [("topics", "a", 1, 10.0, "k"), ("topics", "a", 1, 10.0, "k"), ("topics", "a", 2, 5.0, "k"), ("topics", "b", 2, 5.0, None)]
+    out = {r.tag: (r.mentions, r.filings, r.clients, r.income) for r in m.count_mentions(spark.createDataFrame(rows, "kind string, tag string, filing_id long, income double, client_key string")).collect()}
     assert out == {"a": (3, 2, 1, 15.0), "b": (1, 1, 0, 5.0)}
 
 
@@ -43,12 +43,30 @@ def test_frames():
     assert (to_date.current.quarter, to_date.current.through, to_date.baseline.through) == (3, "2026-08-22", "2025-08-22")
 
 
+def test_frames_end_with_the_reports():
+    quarter, to_date = tr.frames(date(2027, 6, 15), 2025 * 4 + 4)  # one posting came much later than all
+    assert (quarter.current.q, to_date.current.q, to_date.baseline.q) == (2025 * 4 + 4, 2025 * 4 + 4, 2024 * 4 + 4)
+    assert tr.frames(date(2026, 8, 23), 2026 * 4 + 3) == tr.frames(date(2026, 8, 23))
+
+
 def test_changes_keep_the_asymmetry(spark):
-    now = spark.createDataFrame([("a", 60), ("new", 30)], "tag string, count long")
-    before = spark.createDataFrame([("a", 50), ("gone", 40)], "tag string, count long")
-    x = {r.tag: r for r in tr.changes(now, before, "tag", 1000, 1000).collect()}
-    assert set(x) == {"a", "new"} and x["new"].ratio is None and x["new"].delta_pp == 3.0 and x["a"].confidence == "high" and x["new"].confidence == "medium"
-    assert tr.changes(now.limit(0), before, "tag", 0, 0).count() == 0
+    counts = spark.createDataFrame([("t", "a", 60, 50), ("t", "new", 30, 0), ("t", "gone", 0, 40), ("u", "a", 5, 5)], "kind string, tag string, count long, baseline_count long")
+    totals = spark.createDataFrame([(1000, 1000)], "now long, before long")
+    x = {(r.kind, r.tag): r for r in tr.changes(counts, totals).collect()}
+    assert set(x) == {("t", "a"), ("t", "new"), ("u", "a")} and [x[k].rank for k in sorted(x)] == [2, 1, 1]
+    new, a = x["t", "new"], x["t", "a"]
+    assert new.ratio is None and new.delta_pp == 3.0 and a.confidence == "high" and new.confidence == "medium"
+    assert tr.changes(counts.limit(0), totals).count() == 0
+    assert tr.changes(counts, spark.createDataFrame([(0, 0)], "now long, before long")).first().share == 0.0
+
+
+def test_legs_and_movers_of_clients(spark):
+    rows = [(1, 7, "k", 2024, 4, 10.0, "2025-01-10"), (2, 7, "k", 2024, 4, 30.0, "2025-02-10"), (3, 8, "k", 2023, 4, 5.0, "2024-01-10"), (4, 9, "new", 2024, 4, 50.0, "2025-01-10"), (5, 9, "old", 2023, 1, 50.0, "2023-04-10")]
+    f = spark.createDataFrame([(i, 1, c, k, y, q, x, d) for i, c, k, y, q, x, d in rows], "id long, registrant_id long, client_id long, client_key string, year int, quarter int, income double, filing_date string")
+    frame = tr.Frame("quarter", tr.Leg(2024 * 4 + 4), tr.Leg(2023 * 4 + 4))
+    legs = {r.client_key: (r.now, r.before, r.early) for r in tr.client_legs(f, frame).collect()}
+    assert legs == {"k": (30.0, 5.0, 0.0), "new": (50.0, 0.0, 0.0)}  # an amendment replaces, two rows of one client are one
+    assert {r.client_key: r.kind for r in tr.movers(tr.client_legs(f, frame), floor=20.0, new_floor=40.0).collect()} == {"k": "riser", "new": "new_entrant"}
 
 
 def test_periods(spark):
