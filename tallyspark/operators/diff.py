@@ -56,6 +56,12 @@ def field_differences(paired: DataFrame, fields: Sequence[Field], missing_left:
     return paired.select("key", F.explode(found).alias("d")).select("key", "d.field_name", "d.left_value", "d.right_value")
 
 
+def repeated_keys(paired: DataFrame) -> DataFrame:
+    """Rows (key, field_name 'repeated', left_value, right_value) of keys that stand on a side more than once, with how often on either."""
+    n = lambda c: F.col(c).cast("string")
+    return paired.where("n_left > 1 or n_right > 1").select("key", F.lit("repeated").alias("field_name"), n("n_left").alias("left_value"), n("n_right").alias("right_value"))
+
+
 def _on(differs: str, name: str) -> str:
     """The comparison of one field: l and r are the field's two values."""
     return f"transform(array(named_struct('l', l.{name}, 'r', r.{name})), p -> {_prefixed(differs)})[0]"

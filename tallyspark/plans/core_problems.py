@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyspark.functions.text import canonical_uuid, instant_key, money
-from tallyspark.operators.diff import Field, field_differences, pair_copies
+from tallyspark.operators.diff import Field, field_differences, pair_copies, repeated_keys
 from tallyspark.operators.feed import current_rows, fold_changes
 from tallyspark.operators.panes import compose_windows, late_events, pane_partials, with_panes
 from tallyspark.operators.split import explode_packed
@@ -38,8 +38,9 @@ def _paired(stored: DataFrame, live: DataFrame) -> DataFrame:
 
 
 def p2_differences(spark: SparkSession, d: str) -> DataFrame:
-    """Filings missing on either side, and each differing field with both values."""
-    out = field_differences(_paired(*_sides(spark, d)), FILING_FIELDS, "missing_in_filings", "missing_in_mirror")
+    """Filings missing on either side, each differing field with both values, and keys that a side holds more than once."""
+    paired = _paired(*_sides(spark, d))
+    out = field_differences(paired, FILING_FIELDS, "missing_in_filings", "missing_in_mirror").unionByName(repeated_keys(paired))
     return out.select(F.col("key").alias("sopr_filing_id"), "field_name", "left_value", "right_value")
 
 
@@ -123,6 +124,13 @@ ORACLE = {
     join s using (k) where abs(x.income - s.income) > 0.01 group by 1)
     select 'filings' as table_name, k as row_key, field_name from d where field_name is not null
     union select 'audit_log', cast(id as varchar), 'income_mismatch' from audit_log left join n on id = audit_id where income_mismatch is distinct from coalesce(n, 0)""",
+    "p2_differences": _BOTH.replace("as income, max(upper", "as income, count(*) as n, max(upper").replace("\nd as (", "\nx as (") + f""", ls as (select {_UUID.format('sopr_filing_id')} as k, max(income::decimal(20,4)) as v from filings group by 1),
+    rs as (select {_UUID.format('filing_uuid')} as k, max(try_cast(regexp_replace(upper(income), '[\\s$,]|USD', '', 'g') as decimal(20,4))) as v from filings_mirror group by 1),
+    b as (select coalesce(s.k, m.k) as k, s.k is null as no_s, m.k is null as no_m, coalesce(s.n, 0) as sn, coalesce(m.n, 0) as mn, ls.v as lv, rs.v as rv, abs(s.income - m.income) > 0.01 as off, {', '.join(f's.{c} as s_{c}, m.{c} as m_{c}' for c in ('filing_date', 'filing_type', 'year', 'quarter', 'client_id', 'registrant_id'))}
+        from s full join m on s.k = m.k left join ls on ls.k = s.k left join rs on rs.k = m.k),
+    o as (select k, 'missing_in_mirror' as field_name, null as l, null as r from b where no_m union all select k, 'missing_in_filings', null, null from b where no_s union all select k, 'repeated', cast(sn as varchar), cast(mn as varchar) from b where sn > 1 or mn > 1
+        union all select k, 'income', cast(lv as varchar), cast(rv as varchar) from b where off {' '.join(f"union all select k, '{c}', cast(s_{c} as varchar), cast(m_{c} as varchar) from b where not no_s and not no_m and s_{c} is distinct from m_{c}" for c in ('filing_date', 'filing_type', 'year', 'quarter', 'client_id', 'registrant_id'))})
+    select k as sopr_filing_id, field_name, l as left_value, r as right_value from o""",
     "p6_found": "select distinct sopr_filing_id from filings join report_periods using (year, quarter) where cast(substr(trim(filing_date), 1, 10) as date) > closes_on",
     "p6_revisions": """with f as (select sopr_filing_id, min(struct_pack(day := cast(substr(trim(filing_date), 1, 10) as date), id := id, year := year, quarter := quarter, income := coalesce(income, 0)::decimal(20,2))) as x
         from filings join report_periods using (year, quarter) where cast(substr(trim(filing_date), 1, 10) as date) <= closes_on group by 1),

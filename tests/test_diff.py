@@ -1,5 +1,5 @@
 from tallyspark.functions.text import canonical_uuid, instant_key, money, written_day
-from tallyspark.operators.diff import Field, field_differences, pair_copies
+from tallyspark.operators.diff import Field, field_differences, pair_copies, repeated_keys
 from pyspark.sql import functions as F
 
 FIELDS = [Field("amount", "amount", "amount", "abs(coalesce(l, 0) - coalesce(r, 0)) > 0.01BD"), Field("kind", "kind", "kind")]
@@ -30,6 +30,8 @@ def test_repeated_rows_and_empty_tables(spark):
     assert differences(spark, [row], []) == [("a", "no_right", None, None)]
     n = pair_copies(spark.createDataFrame([row] * 5, SCHEMA), spark.createDataFrame([row], SCHEMA), ("id", "id"), FIELDS).first()
     assert (n.n_left, n.n_right) == (5, 1)
+    paired = pair_copies(spark.createDataFrame([row] * 5 + [("b", None, None, None)], SCHEMA), spark.createDataFrame([row], SCHEMA), ("id", "id"), FIELDS)
+    assert [tuple(r) for r in repeated_keys(paired).collect()] == [("a", "repeated", "5", "1")]
 
 
 def test_notations(spark):
