@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, NGram, RegexTokenizer, SQLTransformer, StopWordsRemover, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def labelled(activities: DataFrame, least: int = 20) -> DataFrame:
@@ -64,6 +64,24 @@ def ask_model(df: DataFrame, id_col: str, prompt_col: str, answer: Callable[[lis
     return x.mapInPandas(run, f"id {kind}, answer string")
 
 
+def phrase_prompt(samples: DataFrame, known: list[str], label_col: str = "label", text_col: str = "text", texts: int = 20, chars: int = 400) -> DataFrame:
+    """Rows (label, prompt): for each label a request for phrases, with some of its texts (by a hash, cut to chars) and the phrases known already."""
+    order = Window.partitionBy(label_col).orderBy(F.md5(text_col), text_col)
+    few = samples.where(F.length(F.trim(text_col)) > 0).withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts)
+    lines = few.groupBy(F.col(label_col).alias("label")).agg(F.array_sort(F.collect_list(F.concat(F.lit("- "), F.substring(F.regexp_replace(text_col, r"\s+", " "), 1, chars)))).alias("lines"))
+    head = F.format_string("Phrases that name the subject %s, as a JSON array of objects with phrase and label. Not these: %s\n", F.col("label"), F.lit(", ".join(known)))
+    return lines.select("label", F.concat(head, F.array_join("lines", "\n")).alias("prompt"))
+
+
+def reply_items(reply: Column, banned: list[str] | None = None, least: int = 3, most: int = 60) -> Column:
+    """array<struct<phrase, label>> of a reply: JSON with or without a fence and words around it; items without a label, too short, too long or banned are left out, a reply that is no JSON gives none."""
+    body = F.regexp_extract(F.coalesce(reply, F.lit("")), r"(?s)(\[.*\])", 1)
+    items = F.coalesce(F.from_json(body, "array<struct<phrase:string,label:string>>"), F.array().cast("array<struct<phrase:string,label:string>>"))
+    tidy = F.transform(items, lambda x: F.struct(F.lower(F.trim(F.regexp_replace(x["phrase"], r"\s+", " "))).alias("phrase"), F.trim(x["label"]).alias("label")))
+    good = lambda x: F.length(x["phrase"]).between(least, most) & (F.length(x["label"]) > 0) & ~x["phrase"].isin(*(banned or [""]))
+    return F.array_distinct(F.filter(tidy, good))
+
+
 def spend(calls: DataFrame, price_in: float, price_out: float) -> DataFrame:
     """Cost of model calls (tokens_in, tokens_out) at prices per million tokens."""
     return calls.agg(F.count(F.lit(1)).alias("calls"), (F.sum("tokens_in") / 1e6 * price_in + F.sum("tokens_out") / 1e6 * price_out).alias("cost"))

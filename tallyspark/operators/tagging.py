@@ -227,10 +227,12 @@ def gap_report(coverage: DataFrame, candidates: DataFrame, snippets: DataFrame,
     return worst.join(t, "code", "left").join(s, "code", "left")
 
 
-def dictionary_loop(docs: DataFrame, seed: Sequence[tuple[str, str]], propose, target: float = 0.9, rounds: int = 5, least_hits: int = 3) -> tuple[list[tuple[str, str]], list[float]]:
+def dictionary_loop(docs: DataFrame, seed: Sequence[tuple[str, str]], propose, target: float = 0.9, rounds: int = 5, least_hits: int = 3, banned: Sequence[str] = (), budget: float | None = None, cost: float = 0.0) -> tuple[list[tuple[str, str]], list[float]]:
     """Grow a dictionary until enough documents (id, text) are covered: apply, measure, let propose(uncovered) give (phrase, label)s, keep those that hit.
 
-    propose gets the uncovered documents as a DataFrame. Ends at the target share, without new phrases, or after the rounds.
+    propose gets the uncovered documents as a DataFrame. Ends at the target share, without new phrases, after the rounds, or
+    before a proposal (of a cost each) would exceed the budget. Banned phrases, and those below 3 or above 60 characters, are
+    never taken.
     Returns the phrases and the coverage of each round.
     """
     phrases, history, total = list(dict.fromkeys(seed)), [], max(1, docs.count())
@@ -239,8 +241,10 @@ def dictionary_loop(docs: DataFrame, seed: Sequence[tuple[str, str]], propose, t
         history.append(covered.count() / total)
         if history[-1] >= target:
             break
+        if budget is not None and cost * len(history) > budget:
+            break
         open_docs = docs.join(covered, "id", "left_anti")
-        new = [(p, n) for p, n in propose(open_docs) if 3 <= len(p) <= 60 and (p, n) not in phrases]
+        new = [(p, n) for p, n in propose(open_docs) if 3 <= len(p) <= 60 and p not in banned and (p, n) not in phrases]
         if new:
             hits = {r.phrase for r in dictionary_matches(open_docs, "id", "text", new).groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_hits).collect()}
             new = [x for x in new if x[0] in hits]

@@ -41,6 +41,9 @@ def test_mining_and_loop(spark):
     docs = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "id long, text string")
     phrases, history = tg.dictionary_loop(docs, [("apple pears", "fruit")], lambda d: [("stone wall", "walls"), ("x", "short"), ("nothing here", "none")])
     assert ("stone wall", "walls") in phrases and history == [0.5, 1.0]
+    wall = lambda d: [("stone wall", "walls")]
+    assert tg.dictionary_loop(docs, [("apple pears", "fruit")], wall, banned=["stone wall"]) == ([("apple pears", "fruit")], [0.5])
+    assert tg.dictionary_loop(docs, [("apple pears", "fruit")], wall, budget=1.0, cost=2.0) == ([("apple pears", "fruit")], [0.5])
 
 
 def test_pairs(spark):
