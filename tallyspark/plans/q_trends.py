@@ -62,7 +62,7 @@ def signal_coordinated(spark: SparkSession, d: str) -> DataFrame:
 
 
 def signals_all(spark: SparkSession, d: str) -> DataFrame:
-    return sg.detect({p: _series(spark, d, p) for p in ("client_id", "registrant_id")}, _spend(spark, d), "code", "client_id")
+    return _rounded(sg.detect({p: _series(spark, d, p) for p in ("client_id", "registrant_id")}, _spend(spark, d), "code", "client_id"))
 
 
 def trend_frames(spark: SparkSession, d: str) -> DataFrame:
@@ -193,6 +193,18 @@ _SPEND = """n as (select filing_id, count(*) as n from activities group by 1), p
     join n on n.filing_id = a.filing_id where income > 0 and client_id is not null and trim(issue_code) <> '' group by 1, 2, 3)"""
 _ENTRANTS = _SPEND + ", e as (select * from (select *, min(q) over (partition by code, client_id) as first from p) where q = (select max(q) from p) and first = q)"
 _NULLS = "cast(null as double)"
+
+
+def _own_history(party: str) -> str:
+    """The history of a party's quarters, as h_ and its name, and its series as s_ and its name."""
+    return _HISTORY.replace("client_id", party).replace("s as (", f"s_{party} as (").replace("h as (", f"h_{party} as (").replace("from s)", f"from s_{party})")
+
+
+def _own_signals(party: str) -> str:
+    return f"""select 'record' as signal_type, cast({party} as varchar) as entity, value as current_value, most_before as prior_value, (value - most_before) / nullif(most_before, 0) as growth_rate, below as historical_pct, value / 1e6 as magnitude, q from h_{party} where last and total >= 1e6 and value > most_before and periods >= 5
+        union all select 'spike', cast(h.{party} as varchar), h.value, b.value, (h.value - b.value) / b.value, below, (h.value - b.value) / 1e6, h.q from h_{party} h join s_{party} b on b.{party} = h.{party} and b.q = h.q - 4 where last and periods >= 5 and b.value >= 5e5 and (h.value - b.value) / b.value >= 1"""
+
+
 _RANK = "row_number() over (partition by registrant_id, client_id, year, quarter order by filing_date desc nulls last, id desc)"
 
 
@@ -231,6 +243,12 @@ ORACLE = {
     "signal_concentration": f"""with {_SPEND}, s as (select *, sum(value) over (partition by code, q) as total, value / sum(value) over (partition by code, q) as share from p), t as (select *, row_number() over (partition by code order by share desc, client_id desc) as rn from s where q = (select max(q) from s x where x.code = s.code))
         select 'concentration' as signal_type, t.code || ': ' || t.client_id as entity, round(t.share, 6) as current_value, round(coalesce(b.share, 0), 6) as prior_value, round(t.share - coalesce(b.share, 0), 6) as growth_rate, {_NULLS} as historical_pct, round(t.total / 1e6, 6) as magnitude, t.q
         from t left join s b on b.code = t.code and b.client_id = t.client_id and b.q = t.q - 4 where rn = 1 and t.total >= 1e5 and t.share >= 0.2 and coalesce(b.share, 0) <= 0.1""",
+    "signals_all": f"""with {', '.join(_own_history(p) for p in ('client_id', 'registrant_id'))}, {_ENTRANTS}, sh as (select *, sum(value) over (partition by code, q) as total, value / sum(value) over (partition by code, q) as share from p),
+        t as (select *, row_number() over (partition by code order by share desc, client_id desc) as rn from sh where q = (select max(q) from sh x where x.code = sh.code)),
+        a as ({' union all '.join(_own_signals(p) for p in ('client_id', 'registrant_id'))}
+        union all select 'concentration', t.code || ': ' || t.client_id, t.share, coalesce(b.share, 0), t.share - coalesce(b.share, 0), null, t.total / 1e6, t.q from t left join sh b on b.code = t.code and b.client_id = t.client_id and b.q = t.q - 4 where rn = 1 and t.total >= 5e5 and t.share >= 0.3 and coalesce(b.share, 0) <= 0.1
+        union all select 'new_entrant', code || ': ' || client_id, value, 0, null, null, value / 1e6, q from e union all select 'coordinated', code, count(*), 0, null, null, sum(value) / 1e6, q from e group by code, q having count(*) >= 3)
+        select signal_type, entity, {', '.join(f'round({c}, 6)::double as {c}' for c in ('current_value', 'prior_value', 'growth_rate', 'historical_pct', 'magnitude'))}, q, cast((q - 1) // 4 as int) as year, cast((q - 1) % 4 + 1 as int) as quarter from a""",
     "signal_entrants": f"with {_ENTRANTS} select 'new_entrant' as signal_type, code || ': ' || client_id as entity, round(value, 6) as current_value, 0.0::double as prior_value, {_NULLS} as growth_rate, {_NULLS} as historical_pct, round(value / 1e6, 6) as magnitude, q from e",
     "signal_coordinated": f"with {_ENTRANTS} select code, q, count(*) as n, round(sum(value), 6) as value from e group by 1, 2 having count(*) >= 3",
     "trend_topics": change_sql("topics"),
