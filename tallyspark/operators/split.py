@@ -27,7 +27,7 @@ NAMES_PER_PATTERN = 500
 #: Characters of spans, list marks and escapes. A text without them and without a protected name is only split.
 SPECIAL = "\"'[](){}*\u2022-\\" + OPEN + CLOSE
 PLAIN_DELIMITER = r"[,;|/\r\n\t]|(?<=\s)(?:and|AND)(?=\s)"
-#: Words of protected names that a text is looked through for, up to this many; with more of them every text takes the longer way.
+#: Protected names that a text is looked through for, by their words, up to this many; with more of them every text takes the longer way.
 MOST_WORDS = 100
 
 
@@ -39,10 +39,10 @@ def span_patterns(names: Sequence[str]) -> list[str]:
     return [rf"[{OPEN}{CLOSE}]|{DOUBLE}|{SINGLE}" + "".join("|" + q for q in chunks[0])] + ["|".join(c) for c in chunks[1:]]
 
 
-def risky_words(names: Sequence[str]) -> set[str]:
-    """A word of each protected name, in lower case: a text without any of them holds no such name."""
-    words = ([w.lower() for w in re.findall(r"[A-Za-z]+", n)] for n in names if n and re.search(r"""[,;|/\r\n\t"']|\sand\s|\d\)""", n, re.I))
-    return {max(ws, key=lambda w: (len(w), w)) if ws else "" for ws in words}
+def risky_words(names: Sequence[str]) -> list[list[str]]:
+    """The words of each protected name, in lower case, the longest first: a text that lacks one of them does not hold the name."""
+    risky = sorted({n for n in names if n and re.search(r"""[,;|/\r\n\t"']|\sand\s|\d\)""", n, re.I)})
+    return [sorted({w.lower() for w in re.findall(r"[A-Za-z]+", n) if len(w) > 2}, key=lambda w: (-len(w), w)) for n in risky]
 
 
 def _quote(s: str) -> str:
@@ -80,9 +80,17 @@ def split_packed(text: Column, names: Sequence[str] = ()) -> Column:
         full = masked(list(enumerate(span_patterns(names))), x, [])
         if len(words) > MOST_WORDS:
             return full
-        plain = F.length(F.translate(x, SPECIAL, "")) == F.length(x)
-        for w in sorted(words):
-            plain = plain & ~F.lower(x).contains(w)
+
+        def named(low: Column) -> Column:
+            found = F.lit(False)
+            for ws in words:
+                whole = F.lit(True)
+                for w in ws:
+                    whole = whole & low.contains(w)
+                found = found | whole
+            return found
+
+        plain = (F.length(F.translate(x, SPECIAL, "")) == F.length(x)) & ~let(F.lower(x), named)
         cut = F.filter(F.transform(F.split(x, PLAIN_DELIMITER, -1), _trim), lambda p: (p != "") & (F.lower(p) != "and"))
         return F.when(plain, cut).otherwise(full)
 
