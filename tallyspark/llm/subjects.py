@@ -21,9 +21,10 @@ from __future__ import annotations
 
 import re
 from bisect import bisect
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -57,11 +58,13 @@ SPARSE = 0.25
 #: A text of whose words at least this share is common in the activities is in their language, whose phrases the codes have verified: it has none of its own
 #: (one wrong rating would else reach, over turns of speech, every text of that language without a subject).
 SAME_LANGUAGE = 0.15
-SENTENCE = re.compile(r"[.?!…][\"”’)\]»]*\s+|[\r\n]+")
-PIECE = re.compile(r"[;,/\r\n]|\sand\s", re.I)
-DELIMITER = re.compile(r"[;,/\r\n()\"“”]|\.(?=\s|$)|\s[-–—]\s|\sand\s")
-LETTERS, DIGIT = re.compile(r"[^\W_]+"), re.compile(r"\d")
-WORD_OR_CUT = {cut: re.compile(r"[^\W_]+|" + cut.pattern, cut.flags) for cut in (SENTENCE, PIECE)}
+#: Where a text whose line ends are \n is cut, one pattern after the other. Each begins with a character or a set of them, which a search skips to.
+SENTENCE = (re.compile(r"[.?!…][\"”’)\]»]*\s+"), re.compile(r"\n\n*"))
+PIECE = (re.compile(r"[^\S\n]and\s"), re.compile(r"[;,/\n]"))
+DELIMITER = (re.compile(r"[^\S\n](?:[-–—]|and)\s"), re.compile(r"\.(?=\s|$)"), re.compile(r"[;,/\n()\"“”]"))
+DIGIT = re.compile(r"\d")
+#: The bytes of UTF-8 with a blank for each that is no letter, digit or zero character of ASCII; the bytes of ASCII.
+BLANKS, ASCII = bytes(i if i > 127 or i == 0 or chr(i).isalnum() else 32 for i in range(256)), bytes(range(128))
 SPANS = "array<struct<p:int,s:int,b:int,e:int>>"
 
 
@@ -82,29 +85,37 @@ def seed_counts(records: DataFrame) -> DataFrame:
     descriptions; 'size', the descriptions of each subject.
     """
 
-    def flush(phrases: Counter, words: Counter, sizes: Counter) -> pa.RecordBatch:
-        text = [*(x for x, _ in phrases), *words, *[""] * len(sizes)]
-        subject = [*(k for _, k in phrases), *[None] * len(words), *sizes]
-        what = ["phrase"] * len(phrases) + ["word"] * len(words) + ["size"] * len(sizes)
-        n = [*phrases.values(), *words.values(), *sizes.values()]
+    def flush(phrases: dict[str | None, Counter], words: Counter, sizes: Counter) -> pa.RecordBatch:
+        text = [*(x for c in phrases.values() for x in c), *words, *[""] * len(sizes)]
+        subject = [*(k for k, c in phrases.items() for _ in c), *[None] * len(words), *sizes]
+        what = ["phrase"] * (len(text) - len(words) - len(sizes)) + ["word"] * len(words) + ["size"] * len(sizes)
+        n = [*(n for c in phrases.values() for n in c.values()), *words.values(), *sizes.values()]
         return pa.RecordBatch.from_arrays([pa.array(what), pa.array(text), pa.array(subject, pa.string()), pa.array(n, pa.int64())], names=["what", "text", "subject", "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [Counter(), Counter(), Counter()]
+        phrases, words, sizes = defaultdict(Counter), Counter(), Counter()
         for b in batches:
             for part in _pieces(b):
-                for text, seeds in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                new = defaultdict(list)
+                seen = []
+                for text, seeds in zip(part.column(0).to_pylist(), _lists(part.column(1))):
                     low, seeds = text.lower(), seeds or (None,)
-                    pieces = {" ".join(LETTERS.findall(x)) for x in DELIMITER.split(low)}
-                    seen[0].update([(x, k) for x in pieces if x and len(x) <= 80 and not DIGIT.search(x) for k in seeds])
-                    seen[1].update(set(LETTERS.findall(low)))
-                    seen[2].update(seeds)
-                if len(seen[0]) + len(seen[1]) > 300_000:
-                    yield flush(*seen)
-                    for x in seen:
+                    pieces = {x.strip() for x in plain_words(low, DELIMITER).split("\x00")}
+                    digits = DIGIT.search(low)
+                    pieces = [x for x in pieces if x and len(x) <= 80 and not (digits and DIGIT.search(x))]
+                    for k in seeds:
+                        new[k] += pieces
+                    seen += set(blanked(low.replace("\x00", "_")).split())
+                    sizes.update(seeds)
+                words.update(seen)
+                for k, x in new.items():
+                    phrases[k].update(x)
+                if len(words) + sum(map(len, phrases.values())) > 300_000:
+                    yield flush(phrases, words, sizes)
+                    for x in (phrases, words, sizes):
                         x.clear()
-        if seen[2]:
-            yield flush(*seen)
+        if sizes:
+            yield flush(phrases, words, sizes)
 
     counted = records.where("description is not null").select("description", "seeds").mapInArrow(run, "what string, text string, subject string, n long")
     return counted.groupBy("what", "text", "subject").agg(F.sum("n").alias("n"))
@@ -152,38 +163,37 @@ def _minimal(found: dict[str, tuple[str, int]]) -> list[str]:
     return sorted(kept)
 
 
-class _Mended(dict):
-    """Words and what they are with a typing error mended; common words and words of phrases are none."""
+class _Mended:
+    """Words with a typing error, mended; common words and words of phrases are none."""
 
     def __init__(self, phrases: Iterable[str], common: Iterable[str]):
         self.words = {w for p in phrases for w in p.split()} | {"\x00"}
-        self.known = set(self.words)
         self.common = set(common)
+        self.right = self.words | self.common
+        self.known, self.wrong = set(self.right), {}
         self.by_deletion: dict[str, set[str]] = {}
         for w in self.words:
             if len(w) >= 5:
                 for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w)))):
                     self.by_deletion.setdefault(x, set()).add(w)
 
-    def any(self, words: list[str]) -> bool:
-        """Whether one of the words has an error. Words found to have none are remembered as known."""
-        found = False
-        for w in set(words).difference(self.known):
-            if self[w] != w:
-                found = True
-        return found
+    def errors(self, words: Iterable[str]) -> dict[str, str]:
+        """The words that have an error, mended. Words found to have none are remembered as known."""
+        return {w: m for w in set(words).difference(self.known) if (m := self.wrong.get(w) or self._mend(w)) != w}
 
-    def __missing__(self, w: str) -> str:
+    def _mend(self, w: str) -> str:
         m = w
-        if len(w) >= 5 and w not in self.known and w not in self.common:
-            near = {c for x in (w, *(w[:i] + w[i + 1 :] for i in range(len(w)))) for c in self.by_deletion.get(x, ()) if _one_error(w, c)}
-            m = min(near) if near else w
-        if len(self) > 300_000:
-            self.clear()
-            self.known = set(self.words)
-        self[w] = m
+        if len(w) >= 5:
+            less = [w[:i] + w[i + 1 :] for i in range(len(w))]
+            less.append(w)
+            if not self.by_deletion.keys().isdisjoint(less):
+                m = min((c for x in less for c in self.by_deletion.get(x, ()) if _one_error(w, c)), default=w)
+        if len(self.known) + len(self.wrong) > 300_000:
+            self.known, self.wrong = set(self.right), {}
         if m == w:
             self.known.add(w)
+        else:
+            self.wrong[w] = m
         return m
 
 
@@ -233,9 +243,25 @@ def _one_error(a: str, b: str) -> bool:
     return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[:2][::-1] and x[2:] == y[2:])
 
 
-def cut_words(text: str, cut: re.Pattern) -> list[str]:
-    """The lower-case words of a text, with a zero character where it is cut."""
-    return [w if w.isalnum() else "\x00" for w in WORD_OR_CUT[cut].findall(text.lower())]
+def blanked(low: str) -> str:
+    """A text with a blank for each character that is no letter, digit or zero character."""
+    raw = low.encode("utf-8", "surrogatepass")
+    out = raw.translate(BLANKS).decode("utf-8", "surrogatepass")
+    if not low.isascii():
+        odd = [c for c in set(raw.translate(None, ASCII).decode("utf-8", "surrogatepass")) if not c.isalnum()]
+        if len(odd) > 20:
+            return out.translate(dict.fromkeys(map(ord, odd), " "))
+        for c in odd:
+            out = out.replace(c, " ")
+    return out
+
+
+def plain_words(low: str, cuts: Iterable[re.Pattern] = ()) -> str:
+    """The words of a lower-case text between single blanks, with a blank at both ends and a zero character where it is cut."""
+    low = low.replace("\x00", "_").replace("\r", "\n")
+    for cut in cuts:
+        low = " \x00 ".join(cut.split(low))
+    return between_blanks(blanked(low).split())
 
 
 def between_blanks(words: Sequence[str]) -> str:
@@ -243,23 +269,35 @@ def between_blanks(words: Sequence[str]) -> str:
 
 
 def sentences(text: str) -> str:
-    return between_blanks(cut_words(text, SENTENCE))
+    return plain_words(text.lower(), SENTENCE)
 
 
 def description_phrases(text: str | None, finder: Finder) -> set[int]:
     """Every phrase that a description names; in pieces that name none, typing errors are mended (common words are none)."""
     if not text:
         return set()
-    words = cut_words(text, PIECE)
-    plain = between_blanks(words)
+    low = text.lower()
+    plain = plain_words(low, PIECE)
     hits = finder.longest(plain)
     found = {h[2] for h in hits}
-    if finder.mended.any(words):
-        ends = [m.start() for m in re.finditer("\x00", plain)]
-        done = {bisect(ends, h[0]) for h in hits}
-        pieces = " ".join([finder.mended[w] for w in words]).split("\x00")
-        found |= {h[2] for k, piece in enumerate(pieces) if k not in done for h in finder.longest(f" {piece.strip()} ")}
-    return found or {h[2] for h in finder.longest(between_blanks([w for w in cut_words(text, SENTENCE) if w != "\x00"]))}
+    if errors := finder.mended.errors(plain.split()):
+        ends, pieces = [m.start() for m in re.finditer("\x00", plain)], plain.split("\x00")
+        for k in {bisect(ends, i) for i in places(plain, errors)} - {bisect(ends, h[0]) for h in hits}:
+            found |= {h[2] for h in finder.longest(mend(pieces[k], errors))}
+    return found or {h[2] for h in finder.longest(plain_words(low))}
+
+
+def places(plain: str, words: Iterable[str]) -> Iterator[int]:
+    """Where the words stand in a string of words between single blanks."""
+    for w in words:
+        i = plain.find(x := f" {w} ")
+        while i >= 0:
+            yield i
+            i = plain.find(x, i + 1)
+
+
+def mend(words: str, errors: dict[str, str]) -> str:
+    return between_blanks([errors.get(w, w) for w in words.split()])
 
 
 def document_edges(text: str | None, finder: Finder, nested: bool = False) -> tuple[list[tuple[int, int, int, int]], int, str]:
@@ -269,26 +307,23 @@ def document_edges(text: str | None, finder: Finder, nested: bool = False) -> tu
     """
     if not text or not text.strip():
         return [], 0, ""
-    words = cut_words(text, SENTENCE)
-    plain = between_blanks(words)
+    plain = sentences(text)
     find = finder.every if nested else finder.longest
-    hits, errors = find(plain), finder.mended.any(words)
+    hits, errors = find(plain), finder.mended.errors(plain.split())
     if not hits and not errors:
         return [], plain.count("\x00") + 1, plain
     ends = [m.start() for m in re.finditer("\x00", plain)]
     edges = [(p, bisect(ends, b), b, e) for b, e, p, _ in hits]
     if errors:
         done = set() if nested else {x[1] for x in edges}
-        starts = [0, *(e + 1 for e in ends)]
-        old = plain.split("\x00")
-        for k, sentence in enumerate(" ".join([finder.mended[w] for w in words]).split("\x00")):
-            if k not in done and (new := f" {sentence.strip()} ") != old[k]:
-                edges += [(p, k, starts[k] + b, starts[k] + e) for b, e, p, several in find(new) if several]
+        starts, old = [0, *(e + 1 for e in ends)], plain.split("\x00")
+        for k in sorted({bisect(ends, i) for i in places(plain, errors)} - done):
+            edges += [(p, k, starts[k] + b, starts[k] + e) for b, e, p, several in find(mend(old[k], errors)) if several]
     return edges, len(ends) + 1, plain
 
 
 def _spans(rows: list[list[tuple[int, int, int, int]]]) -> pa.Array:
-    flat = np.array([x for r in rows for x in r], dtype=np.int32).reshape(-1, 4)
+    flat = np.fromiter(chain.from_iterable(chain.from_iterable(rows)), np.int32).reshape(-1, 4)
     ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(flat[:, i]) for i in range(4)], ["p", "s", "b", "e"]))
 
@@ -322,6 +357,14 @@ def _pieces(b: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
         yield b.slice(i, rows)
 
 
+def _lists(lists: pa.ListArray) -> list[list[str]]:
+    """The lists, a null one empty; each distinct string is made once."""
+    flat = lists.flatten().dictionary_encode()
+    every, ends = flat.dictionary.to_pylist(), np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)).tolist()
+    each = [every[i] for i in flat.indices.to_numpy().tolist()]
+    return [each[i:j] for i, j in zip([0, *ends], ends)]
+
+
 def _other_language(plain: str, common: set[str]) -> bool:
     words = plain.split()
     return bool(common) and sum(w in common for w in words) < SAME_LANGUAGE * len(words)
@@ -426,7 +469,7 @@ def document_subjects(known: DataFrame, nested: DataFrame, labels: DataFrame, ra
     """
     hits = lambda df: df.select("doc_id", F.explode("spans").alias("x")).select("doc_id", "x.*").join(F.broadcast(labels), "p")
     before = Window.partitionBy("doc_id").orderBy(F.desc("e"), "b").rowsBetween(Window.unboundedPreceding, -1)
-    outer = hits(nested).distinct().withColumn("low", F.min("b").over(before)).where("low is null or b < low")
+    outer = hits(nested.repartition("doc_id")).withColumn("low", F.min("b").over(before)).where("low is null or b < low")
     rows = hits(known).unionByName(outer, allowMissingColumns=True).select("doc_id", F.struct("subject", "s").alias("x")).unionByName(ratings.select("doc_id", F.struct("subject", F.lit(-1).alias("s")).alias("x")))
     per = rows.groupBy("doc_id").agg(F.collect_set("x").alias("x"))
     per = per.select("doc_id", F.filter("x", lambda x: x["s"] >= 0).alias("x"), F.transform(F.filter("x", lambda x: x["s"] < 0), lambda x: x["subject"]).alias("rated"))
@@ -436,6 +479,14 @@ def document_subjects(known: DataFrame, nested: DataFrame, labels: DataFrame, ra
     return per.select("doc_id", F.array_union(dealt, clamped).alias("subjects"))
 
 
+def activity_subjects(named: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (id, subject) of activity_edges: the labels of the phrases named, or the seeds if none is. named is read once."""
+    phrase = F.transform("ps", lambda p: F.struct(p.alias("p"), F.lit(None).cast("string").alias("seed")))
+    seed = F.transform("seeds", lambda k: F.struct(F.lit(None).cast("int").alias("p"), k.alias("seed")))
+    each = named.select("id", F.explode(F.when(F.size("ps") > 0, phrase).otherwise(seed)).alias("x")).select("id", "x.p", "x.seed")
+    return each.join(F.broadcast(labels), "p", "left").select("id", F.coalesce("subject", "seed").alias("subject")).where("subject is not null")
+
+
 def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (rec_kind, rec_id, subject), distinct: every record with each subject it deals with.
 
@@ -454,7 +505,6 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     counts = seen.where("what = 'phrase'").select(F.col("text").alias("phrase"), "subject", "n")
     phrases, leads = learn_phrases(counts, sizes)
     common = [r[0] for r in seen.where((F.col("what") == "word") & (F.col("n") >= max(2 * LEAST, COMMON * n))).select("text").collect()]
-    named = activity_edges(activities, areas, phrases, common)
     graph = cut_lineage(document_graph(documents, phrases, common))
     rated = labels.where("doc_id is not null and subject is not null").select("doc_id", "subject").distinct()
     rated = cut_lineage(rated.join(graph.select("doc_id"), "doc_id", "left_semi"))
@@ -473,7 +523,6 @@ def subjects(activities: DataFrame, documents: DataFrame, areas: DataFrame, labe
     found = fixed.unionByName(propagate(cut_lineage(edges), rated, nodes, n_rated, n_texts, largest)) if own else fixed
     found = cut_lineage(found)
     docs = document_subjects(graph.select("doc_id", "spans", F.col("text").isNotNull().alias("again")).where("not again").drop("again"), nested.unionByName(graph.where("text is not null").select("doc_id", "spans")), found, rated)
-    acts = named.where("size(ps) > 0").select("id", F.explode("ps").alias("p")).join(F.broadcast(found), "p").select("id", "subject")
-    acts = acts.unionByName(named.where("size(ps) = 0").select("id", F.explode("seeds").alias("subject")))
+    acts = activity_subjects(activity_edges(activities, areas, phrases, common), found)
     docs = docs.select(F.lit("document").alias("rec_kind"), F.col("doc_id").alias("rec_id"), F.explode("subjects").alias("subject"))
     return acts.select(F.lit("activity").alias("rec_kind"), F.col("id").alias("rec_id"), "subject").unionByName(docs).distinct()

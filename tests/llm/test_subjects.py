@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -159,3 +160,38 @@ def test_words_of_long_descriptions_count(spark):
     assert got["word", "registrant", None] == got["word", "hogs", None] == got["word", "2024", None] == 10
     assert got["phrase", "hogs", None] == 10 and got["size", "", "farms"] == got["size", "", None] == 10
     assert got["phrase", "their members discuss in these months", "farms"] == 10 and not any("2024" in t for w, t, _ in got if w == "phrase")
+
+
+def test_descriptions_are_searched_once(spark):
+    """Labels of named phrases, or seeds where none is named, come from one pass over the activities."""
+    f = spark.createDataFrame
+    acts = f([(1, "hogs; barley", "FAR"), (2, "No specific bills", "TRX"), (3, None, "ENE"), (4, "No specific bills", None)], "id long, description string, issue_code string")
+    out = s.subjects(acts, f([], "doc_id long, text string"), f(AREAS, "subject string, issue_codes array<string>"), f([], "doc_id long, subject string"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    named = f([(1, ["a"], [0, 2]), (2, ["a", "b"], []), (3, None, [1, 5]), (4, None, [])], "id long, seeds array<string>, ps array<int>")
+    got = s.activity_subjects(named, f([(0, "x"), (1, "y"), (2, "z")], "p int, subject string"))
+    assert sorted(map(tuple, got.collect())) == [(1, "x"), (1, "z"), (2, "a"), (2, "b"), (3, "y")]
+
+
+def test_words_and_cuts():
+    """Words and cuts are those that one search from left to right finds."""
+    cuts = {
+        s.SENTENCE: r"[.?!…][\"”’)\]»]*\s+|[\r\n]+",
+        s.PIECE: r"[;,/\r\n]|\sand\s",
+        s.DELIMITER: r"[;,/\r\n()\"“”]|\.(?=\s|$)|\s[-–—]\s|\sand\s",
+        (): r"(?!)",
+    }
+    odd = ["\n", "\r", "\x00", "\x1c", "\x85", " ", "\xa0", " ", ". ", ".", "…", "?”", "’", "»", ")", " and ", "\nand ", ", and\n", " and and ", ";", "/", " - ", " – ", "—", "_", "²", "٣", "á", "i̇", "​", '"', "A.B. ", "\x0b"]
+    r = random.Random(7)
+    for _ in range(3000):
+        low = "".join(r.choice(odd) if r.random() < 0.5 else r.choice(["hogs", "and", "été", "x1"]) for _ in range(r.randrange(12))).lower()
+        for cut, pattern in cuts.items():
+            want = [w if w.isalnum() else "\x00" for w in re.findall(r"[^\W_]+|" + pattern, low)]
+            assert s.plain_words(low, cut) == f" {' '.join(want)} ", (low, pattern)
+    assert s.blanked("a" + "é".join(map(chr, range(0x2190, 0x21D0)))) == "a" + "é".join([" "] * 64)
+
+
+def test_errors_of_words():
+    mended = s.Finder(["crop insurance", "wetland permits"], {"insurances"}).mended
+    for _ in range(2):
+        assert mended.errors(["crop", "insurances", "insuracne", "permts", "permit", "other", "\x00"]) == {"insuracne": "insurance", "permts": "permits"}
